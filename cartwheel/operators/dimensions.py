@@ -27,7 +27,7 @@ def build_products(cleaned: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("n")))
     by_price = (counted.groupBy("stock_code", "unit_price").agg(F.sum("n").alias("n"))
                 .groupBy("stock_code")
-                .agg(to_step(F.percentile("unit_price", 0.5, "n")).cast("double").alias("price"),
+                .agg(to_step(F.percentile("unit_price", 0.5, F.col("n"))).cast("double").alias("price"),
                      F.sum("n").cast("int").alias("total_purchase_count")))
     return (_most_frequent(counted, "stock_code", "description")
             .join(by_price, "stock_code")

@@ -23,8 +23,8 @@ def check_constraints(df: DataFrame, table: str, key: str | None = None) -> Data
                                  for c in NOT_NULL.get(table, ()) if c in df.columns}
     for name, rule in CHECKS.get(table, {}).items():
         broken[name] = F.expr(rule)
-    found = (df.agg(*[F.count_if(c).alias(n) for n, c in broken.items()])
-             .unpivot([], list(broken), "violation", "row_count"))
+    counts = [F.count_if(c).alias(n) for n, c in broken.items()] or [F.lit(0).alias("none")]
+    found = df.agg(*counts).unpivot([], list(broken) or ["none"], "violation", "row_count")
     if key:
         copies = (df.filter(F.col(key).isNotNull()).groupBy(key)
                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

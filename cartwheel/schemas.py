@@ -19,8 +19,15 @@ RANDOM_MIX = {"view": 10, "search": 2, "add_to_cart": 3, "purchase": 1}
 SEED = 42
 
 
+_TYPES = {"STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
+          "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(),
+          "MAP": T.MapType(T.StringType(), T.StringType())}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from 'name TYPE, ...'; unlike a parsed DDL string it needs no session."""
+    fields = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Column names as they stand in the CSV header, and the names used from there on.
@@ -61,7 +68,7 @@ DAILY_METRICS = _struct(
     "conversion_rate DOUBLE, revenue DOUBLE, event_count BIGINT")
 
 METRIC_SAMPLES = _struct(
-    "ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE")
+    "ts TIMESTAMP, metric STRING, labels MAP, value DOUBLE")
 LOG_LINES = _struct("ts TIMESTAMP, container STRING, stream STRING, line STRING")
 
 TABLES = {

@@ -40,10 +40,11 @@ def _start(df: DataFrame, folders: StreamFolders, name: str, mode: str, write,
 def start_raw_events(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
     """Valid events to ``raw_events``; the others, with a reason, to ``rejected_events``.
 
-    ``event_time`` that is missing becomes the ingest time; a bad event never fails a batch.
+    A missing time becomes the ingest time, an unreadable one is a reason to reject; a bad
+    event never fails a batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = validate_events(batch.drop("timestamp")).persist()
+        checked = validate_events(batch).persist()
         try:
             valid, rejected = split_valid(checked)
             append_raw(default_event_time(valid, "event_time"), batch_id,
