@@ -9,30 +9,24 @@ from cartwheel.functions.money import to_step
 from cartwheel.schemas import SEED
 
 
-def _most_frequent(counted: DataFrame, key: str, value: str) -> DataFrame:
-    """Most frequent value per key, the smallest of equals; ``n`` holds the counts."""
-    return (counted.groupBy(key, value).agg(F.sum("n").alias("n"))
-            .groupBy(key).agg(F.min_by(value, F.struct(-F.col("n"), F.col(value))).alias(value)))
-
-
 def build_products(cleaned: DataFrame) -> DataFrame:
-    """Per stock code: usual description, rounded median price, number of lines.
+    """Per stock code: most frequent description, rounded median price, number of lines.
 
-    Equal (code, description, price) lines are counted in the map tasks first, so a code
-    that holds much of the data reaches the later steps as a handful of counted rows. Prices
-    are whole thousands, hence few per code, which bounds the state of the median.
+    Equal (code, description) and equal (code, price) lines are counted in the map tasks,
+    both in one pass, so a code that holds much of the data reaches the last step as counted
+    rows. Prices are whole thousands, hence few per code, which bounds the median's state.
+    Of descriptions equally frequent the smallest is taken.
     """
+    sets = [["stock_code", "description"], ["stock_code", "unit_price"]]
     counted = (cleaned.filter(F.col("stock_code").isNotNull())
-               .groupBy("stock_code", "description", "unit_price")
-               .agg(F.count(F.lit(1)).alias("n")))
-    by_price = (counted.groupBy("stock_code", "unit_price").agg(F.sum("n").alias("n"))
-                .groupBy("stock_code")
-                .agg(to_step(F.percentile("unit_price", 0.5, F.col("n"))).cast("double").alias("price"),
-                     F.sum("n").cast("int").alias("total_purchase_count")))
-    return (_most_frequent(counted, "stock_code", "description")
-            .join(by_price, "stock_code")
-            .select(F.col("stock_code").alias("product_id"), "description", "price",
-                    "total_purchase_count"))
+               .groupingSets(sets, "stock_code", "description", "unit_price")
+               .agg(F.count(F.lit(1)).alias("n"), F.grouping("unit_price").alias("of_text")))
+    votes = F.when(F.col("of_text") == 1, F.struct(-F.col("n"), F.col("description")))
+    priced = F.when(F.col("of_text") == 0, F.col("n"))
+    return counted.groupBy(F.col("stock_code").alias("product_id")).agg(
+        F.min_by("description", votes).alias("description"),
+        to_step(F.percentile("unit_price", 0.5, F.col("n"))).cast("double").alias("price"),
+        F.sum(priced).cast("int").alias("total_purchase_count"))
 
 
 def assign_stock(products: DataFrame, seed: int = SEED) -> DataFrame:

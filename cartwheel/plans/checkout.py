@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 
 from cartwheel.functions.times import Instant
 from cartwheel.operators import commerce as c
+from cartwheel.session import scratch_folder, settle
 
 
 @dataclass(frozen=True)
 class Checkout:
-    """Outcome of a batch. Every output derives from the same input frames."""
+    """Outcome of a batch. What was sold is settled first; every output derives from it."""
 
     events: DataFrame      # one purchase event per unit sold
     totals: DataFrame      # lines and sum per order
@@ -22,15 +23,18 @@ class Checkout:
     contested: DataFrame   # orders that fit alone but not together; not decided here
 
 
-def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "user_id") -> Checkout:
-    """Sell the orders that have no shortage and want no oversold product.
+def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "user_id",
+             work: str | None = None) -> Checkout:
+    """Sell the orders that have no shortage and want no oversold product. Runs jobs.
 
     An order stands or falls as a whole. Which of several contenders came first is not
     guessed: their lines are returned as ``contested``.
     """
+    work = work or scratch_folder(cart.sparkSession, "checkout")
     lines = c.merge_lines(cart, owner)
-    admissible = c.admissible_orders(lines, products, owner)
-    sold, contested = c.split_contested(admissible, products, owner)
+    admissible = settle(c.admissible_orders(lines, products, owner), f"{work}/admissible")
+    uncontested, contested = c.split_contested(admissible, products, owner)
+    sold = settle(uncontested, f"{work}/sold")
     return Checkout(
         events=c.checkout_events(sold, products, at),
         totals=c.order_totals(c.price_cart(sold, products), owner),

@@ -10,7 +10,7 @@ from cartwheel.operators.cleaning import clean_invoice_lines, split_transactions
 from cartwheel.operators.dimensions import assign_stock, build_products, build_users
 from cartwheel.operators.synthesis import synthesize_events
 from cartwheel.schemas import SEED
-from cartwheel.session import scratch_folder
+from cartwheel.session import scratch_folder, settle
 from cartwheel.sinks.files import write_csv
 from cartwheel.sources.files import read_invoice_lines, sample_lines
 
@@ -24,18 +24,12 @@ class Prepared:
     events: DataFrame
 
 
-def _settle(df: DataFrame, path: str) -> DataFrame:
-    """Write once, read back: later steps scan columns they need instead of recomputing."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def prepare(lines: DataFrame, work: str | None = None, seed: int = SEED) -> Prepared:
     """Cleaned lines and both dimensions are written to ``work``, each once; the rest is lazy."""
     work = work or scratch_folder(lines.sparkSession, "preparation")
-    cleaned = _settle(clean_invoice_lines(lines), f"{work}/cleaned")
-    products = _settle(assign_stock(build_products(cleaned), seed), f"{work}/products")
-    users = _settle(build_users(cleaned), f"{work}/users")
+    cleaned = settle(clean_invoice_lines(lines), f"{work}/cleaned")
+    products = settle(assign_stock(build_products(cleaned), seed), f"{work}/products")
+    users = settle(build_users(cleaned), f"{work}/users")
     purchases, refunds = split_transactions(cleaned)
     events = synthesize_events(purchases, refunds, users, products, seed=seed)
     return Prepared(products, users, purchases, refunds, events)

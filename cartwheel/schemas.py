@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Fixed values of the event contract.
 EVENT_TYPES = ("view", "search", "add_to_cart", "purchase", "refund", "signup", "login")
@@ -76,3 +76,7 @@ TABLES = {
     "product_stats": PRODUCT_STATS, "traffic_stats": TRAFFIC_STATS,
     "daily_metrics": DAILY_METRICS,
 }
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

@@ -70,3 +70,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint()
+
+
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once and read it back: later steps scan the columns they need, and every
+    one of them sees the same rows."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,8 +27,8 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, run: str) -> None:
 
 
 def append_windows(batch: DataFrame, batch_id: int, path: str, run: str) -> None:
-    """Windows that the watermark has closed."""
-    write_batch(batch, batch_id, path, run)
+    """Windows that the watermark has closed: a row per minute, so one file holds a batch."""
+    write_batch(batch.repartition(1), batch_id, path, run)
 
 
 def jdbc_write(df: DataFrame, options: dict[str, str], replace: bool = False) -> None:

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cartwheel.schemas import empty_table
+
 _NAME = re.compile(r"^version=(\d+)-(.*)$")
 
 
@@ -59,5 +61,5 @@ def read_snapshot(spark: SparkSession, base: str, schema: StructType) -> DataFra
     """The last complete version; an empty frame before the first one."""
     done = [path for _, _, path, ok in _versions(spark, base) if ok]
     if not done:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(done[-1])

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from cartwheel.schemas import TABLES
+from cartwheel.schemas import TABLES, empty_table
 
 
 def query_table(spark: SparkSession, table: str, sql: str, args: dict[str, Any] | None = None,
@@ -19,7 +19,7 @@ def query_table(spark: SparkSession, table: str, sql: str, args: dict[str, Any]
     """
     if spark.catalog.tableExists(table):
         return spark.sql(sql, args=args or {})
-    return spark.createDataFrame([], schema or TABLES[table.split(".")[-1]])
+    return empty_table(spark, schema or TABLES[table.split(".")[-1]])
 
 
 def jdbc_options(url: str, table: str, user: str, password: str,

@@ -41,19 +41,20 @@ def start_raw_events(events: DataFrame, folders: StreamFolders, once: bool = Fal
     """Valid events to ``raw_events``; the others, with a reason, to ``rejected_events``.
 
     A missing time becomes the ingest time, an unreadable one is a reason to reject; a bad
-    event never fails a batch.
+    event never fails a batch. The ingest time is set in the stream itself, where it is part
+    of the logged batch: a replayed batch gets the same one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         checked = validate_events(batch).persist()
         try:
             valid, rejected = split_valid(checked)
-            append_raw(default_event_time(valid, "event_time"), batch_id,
-                       folders.table("raw_events"), folders.run)
+            append_raw(valid, batch_id, folders.table("raw_events"), folders.run)
             write_batch(rejected, batch_id, folders.table("rejected_events"), folders.run)
         finally:
             checked.unpersist()
 
-    return _start(events, folders, "raw_events", "append", write, once)
+    return _start(default_event_time(events, "event_time"), folders, "raw_events", "append",
+                  write, once)
 
 
 def start_product_stats(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
