@@ -177,4 +177,6 @@ def replay_gaps(log: DataFrame, speed: float = 60.0, longest: float = 5.0,
     ordered = previous_value(instants.filter(F.col(column).isNotNull()), column, "_previous")
     seconds = (F.unix_micros(column) - F.unix_micros("_previous")) / 1e6
     wait = F.least(seconds / speed, F.lit(longest)) if speed > 0 else F.lit(0.0)
-    return ordered.select(column, "events", F.coalesce(wait, F.lit(0.0)).alias("wait_seconds"))
+    first = F.col("_previous").isNull()
+    return ordered.select(column, "events",
+                          F.when(first, F.lit(0.0)).otherwise(wait).alias("wait_seconds"))

@@ -500,10 +500,12 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS draws, count(*) AS slots, 0 AS impossible FROM events""",
     "random_event_mix": "SELECT count(*) AS event_count, 0 AS wrong, 4 AS event_types FROM events",
     "replay_waits": _sql("""
-        SELECT event_time AS "timestamp", events, coalesce(least(
-                   (epoch_us(event_time) - epoch_us(lag(event_time) OVER (ORDER BY event_time)))
-                   / 1e6 / CAST(60 AS DOUBLE), 5.0), 0.0) AS wait_seconds
-        FROM (SELECT event_time, count(*) AS events FROM shop_events GROUP BY event_time) AS i""",
+        SELECT event_time AS "timestamp", events, CASE WHEN prior IS NULL THEN 0.0::DOUBLE
+                   ELSE least((epoch_us(event_time) - epoch_us(prior)) / 1e6 / CAST(60 AS DOUBLE), 5.0)
+               END AS wait_seconds
+        FROM (SELECT event_time, count(*) AS events,
+                     lag(event_time) OVER (ORDER BY event_time) AS prior
+              FROM shop_events GROUP BY event_time) AS i""",
         "shop_events"),
 
     # -- telemetry
