@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 Instant = datetime | str | Column | None
 
@@ -28,6 +28,18 @@ def on_day(ts: Column, day: date | str) -> Column:
     return (ts >= F.lit(str(start)).cast("timestamp")) & (ts < F.lit(str(end)).cast("timestamp"))
 
 
+def day_partitions(df: DataFrame, first: Column, last: Column | None = None) -> DataFrame:
+    """Limit to the day folders the raw event table is laid out in, where ``df`` has them.
+
+    A filter on the timestamp alone cannot skip folders; this one can.
+    """
+    if "event_date" not in df.columns:
+        return df
+    day = F.col("event_date")
+    inside = day >= F.to_date(first)
+    return df.filter(inside if last is None else inside & (day <= F.to_date(last)))
+
+
 def since(ts: Column, as_of: Instant, *, minutes: int = 0, hours: int = 0) -> Column:
     """At or after ``as_of`` minus the span; no upper bound."""
     return ts >= instant(as_of) - F.make_dt_interval(hours=F.lit(hours), mins=F.lit(minutes))

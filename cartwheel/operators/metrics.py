@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.functions.money import purchase_price, ratio_or_zero
-from cartwheel.functions.times import Instant, date_label, on_day, on_day_of, since
+from cartwheel.functions.times import (Instant, date_label, day_partitions, instant, on_day,
+                                       on_day_of, since)
 
 
 def _count_type(name: str) -> Column:
@@ -61,7 +62,7 @@ def _with_conversion(measured: DataFrame) -> DataFrame:
 
 def daily_metrics(raw_events: DataFrame, day: date | str) -> DataFrame:
     """One row for ``day``, of zeros if nothing happened. Anonymous users do not count as active."""
-    one = raw_events.filter(on_day(F.col("timestamp"), day)).agg(*_activity())
+    one = events_on_day(raw_events, day).agg(*_activity())
     return _with_conversion(one.withColumn("metric_date", F.lit(str(day)).cast("date")))
 
 
@@ -76,7 +77,8 @@ def conversion_rate(purchases: Column, views: Column) -> Column:
 
 
 def in_last(df: DataFrame, minutes: int, as_of: Instant = None, column: str = "timestamp") -> DataFrame:
-    return df.filter(since(F.col(column), as_of, minutes=minutes))
+    start = instant(as_of) - F.make_dt_interval(mins=F.lit(minutes))
+    return day_partitions(df, start).filter(since(F.col(column), as_of, minutes=minutes))
 
 
 def keep_recent(df: DataFrame, hours: int = 168, as_of: Instant = None, column: str = "ts") -> DataFrame:
@@ -85,12 +87,14 @@ def keep_recent(df: DataFrame, hours: int = 168, as_of: Instant = None, column:
 
 
 def events_on_day(df: DataFrame, day: date | str, column: str = "timestamp") -> DataFrame:
-    return df.filter(on_day(F.col(column), day))
+    at = F.lit(str(day))
+    return day_partitions(df, at, at).filter(on_day(F.col(column), day))
 
 
 def purchases_today(raw_events: DataFrame, as_of: Instant = None) -> DataFrame:
-    return raw_events.filter((F.col("event_type") == "purchase")
-                             & on_day_of(F.col("timestamp"), as_of))
+    at = instant(as_of)
+    return day_partitions(raw_events, at, at).filter(
+        (F.col("event_type") == "purchase") & on_day_of(F.col("timestamp"), as_of))
 
 
 def current_visitors(raw_events: DataFrame, minutes: int = 5, as_of: Instant = None) -> DataFrame:

@@ -51,9 +51,7 @@ def top_products(stats: DataFrame, products: DataFrame, n: int = 10) -> DataFram
     A product id names at most one product, so the top ``n`` are settled before the join and
     only ``n`` rows meet the catalog.
     """
-    top = _best_first(stats).limit(n)
-    wanted = products.join(top.select("product_id"), "product_id", "left_semi")
-    return _best_first(name_products(top, wanted))
+    return _best_first(name_products(_best_first(stats).limit(n), products))
 
 
 def recent_traffic(traffic: DataFrame, minutes: int = 60, as_of: Instant = None) -> DataFrame:
@@ -79,4 +77,6 @@ def latest_day(daily: DataFrame) -> DataFrame:
 
 
 def time_ordered(events: DataFrame, column: str = "timestamp") -> DataFrame:
-    return events.orderBy(column)
+    """By time. Events of one instant come in any order; the row id lets them be spread over
+    the sort's ranges instead of all falling into one."""
+    return events.orderBy(column, F.monotonically_increasing_id())

@@ -19,9 +19,12 @@ def _seconds(span: str) -> int:
 
 
 def _windowed(samples: DataFrame, span: str) -> DataFrame:
+    """Samples with their window and series. The hash of the series stands first among sort
+    keys: sorting compares one number where it would compare label lists."""
     return (samples.filter(F.col("ts").isNotNull() & F.col("value").isNotNull())
             .withColumn("window_start", F.window("ts", span).start)
-            .withColumn("series", F.array_sort(F.map_entries("labels"))))
+            .withColumn("series", F.array_sort(F.map_entries("labels")))
+            .withColumn("series_hash", F.xxhash64("metric", "series")))
 
 
 def _grown(now: Column, before: Column) -> Column:
@@ -35,7 +38,7 @@ def counter_increases(samples: DataFrame, span: str = "1 minute") -> DataFrame:
     Samples are ordered inside one window of one series only. The step from one window to
     the next is taken between their last and first samples, from one row per window.
     """
-    series = ["metric", "series", "window_start"]
+    series = ["series_hash", "window_start", "metric", "series"]
     when = F.struct("ts", "value")
     before = F.lag("value").over(Window.partitionBy(*series).orderBy("ts", "value"))
     per_window = (_windowed(samples, span)
@@ -44,7 +47,7 @@ def counter_increases(samples: DataFrame, span: str = "1 minute") -> DataFrame:
                   .agg(F.sum("_step").alias("_inside"),
                        F.min_by("value", when).alias("_first"),
                        F.max_by("value", when).alias("_last")))
-    carried = F.lag("_last").over(Window.partitionBy("metric", "series").orderBy("window_start"))
+    carried = F.lag("_last").over(Window.partitionBy("series_hash", "metric", "series").orderBy("window_start"))
     return (per_window.withColumn("increase", F.col("_inside") + _grown(F.col("_first"), carried))
             .select("window_start", "metric", F.map_from_entries("series").alias("labels"),
                     "increase"))
@@ -100,15 +103,15 @@ def gauge_by_label(samples: DataFrame, metric: str, label: str, span: str = "1 m
     """Latest value of a gauge per window and label value."""
     return (_windowed(samples.filter(F.col("metric") == metric), span)
             .groupBy("window_start", F.col("labels")[label].alias(label))
-            .agg(F.max_by("value", F.struct("ts", "value")).alias("value")))
+            .agg(F.max_by("value", "ts").alias("value")))
 
 
 def lag_by_group(samples: DataFrame, metric: str = "kafka_consumergroup_lag",
                  span: str = "1 minute") -> DataFrame:
     """Messages behind, per consumer group and topic: latest of each partition, summed."""
     latest = (_windowed(samples.filter(F.col("metric") == metric), span)
-              .groupBy("window_start", "series")
-              .agg(F.max_by("value", F.struct("ts", "value")).alias("value")))
+              .groupBy("series_hash", "window_start", "series")
+              .agg(F.max_by("value", "ts").alias("value")))
     labels = F.map_from_entries("series")
     return (latest.groupBy("window_start", labels["consumergroup"].alias("consumergroup"),
                            labels["topic"].alias("topic"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators.cleaning import clean_invoice_lines, split_transactions
 from cartwheel.operators.dimensions import assign_stock, build_products, build_users
+from cartwheel.operators.serving import by_popularity, time_ordered
 from cartwheel.operators.synthesis import synthesize_events
 from cartwheel.schemas import SEED
 from cartwheel.session import scratch_folder, settle
@@ -39,11 +40,9 @@ def prepare_files(spark: SparkSession, source: str, target: str, fraction: float
                   seed: int = SEED) -> Prepared:
     """CSV in, five CSV tables out."""
     made = prepare(sample_lines(read_invoice_lines(spark, source), fraction, seed), seed=seed)
-    write_csv(made.products.orderBy(F.desc("total_purchase_count"), "product_id"),
-              f"{target}/products")
+    write_csv(by_popularity(made.products), f"{target}/products")
     write_csv(made.users, f"{target}/users")
     write_csv(made.purchases, f"{target}/purchases")
     write_csv(made.refunds, f"{target}/refunds")
-    write_csv(made.events.orderBy("timestamp", "user_id", "product_id", "event_type"),
-              f"{target}/events")
+    write_csv(time_ordered(made.events), f"{target}/events")
     return made

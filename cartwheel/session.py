@@ -27,6 +27,9 @@ STREAM_SETTINGS = {
 }
 
 
+_local_roots: dict[str, str] = {}   # stand-ins for local sessions that name no shared folder
+
+
 def build_session(app: str = "cartwheel", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -48,11 +51,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="cartwheel-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="cartwheel-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:

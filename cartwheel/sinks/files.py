@@ -12,11 +12,10 @@ def write_time_ordered(df: DataFrame, path: str, files: int, time_col: str = "ti
                        fmt: str = "parquet") -> None:
     """Files that follow one another in time, each sorted inside.
 
-    The sort exists only here. The other columns take part in the range bounds, so events
-    that share one instant are still spread over files.
+    The sort exists only here. The row id takes part in the range bounds, so events that
+    share one instant are still spread over files.
     """
-    others = [c for c in df.columns if c != time_col]
-    (df.repartitionByRange(files, time_col, *others, F.monotonically_increasing_id())
+    (df.repartitionByRange(files, time_col, F.monotonically_increasing_id())
        .sortWithinPartitions(time_col)
        .write.mode("overwrite").format(fmt).option("header", True).save(path))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.functions.times import iso_text
 
@@ -23,5 +24,12 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
             "kafka.acks": "all", "kafka.retries": "3"}
 
 
+def start_publishing(events: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Send a stream of events on to a topic."""
+    return (to_messages(events).writeStream.format("kafka")
+            .options(**kafka_sink_options(servers, topic))
+            .option("checkpointLocation", checkpoint).start())
+
+
 def publish_events(events: DataFrame, servers: str, topic: str) -> None:
     to_messages(events).write.format("kafka").options(**kafka_sink_options(servers, topic)).save()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas
+from cartwheel.operators.serving import time_ordered
 from cartwheel.session import cut_lineage
 
 
@@ -33,7 +34,7 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 def read_event_log(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Event log in time order, optionally only its first ``limit`` events."""
     log = _csv(spark, path, schemas.EVENT_LOG)
-    log = log.withColumn("user_id", F.col("user_id").cast("long")).orderBy("timestamp")
+    log = time_ordered(log.withColumn("user_id", F.col("user_id").cast("long")))
     return log.limit(limit) if limit else log
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 
 from cartwheel import schemas
@@ -59,8 +61,8 @@ def test_tables_are_created_once_and_kept(spark):
 
 
 def test_connector_options():
-    assert kafka_source_options("b:9092", "user-events", startingOffsets="earliest") == {
-        "kafka.bootstrap.servers": "b:9092", "subscribe": "user-events", "startingOffsets": "earliest"}
+    assert kafka_source_options("b:9092", "clicks", startingOffsets="earliest") == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "clicks", "startingOffsets": "earliest"}
     assert kafka_source_options("b:9092", "t")["startingOffsets"] == "latest"
     assert kafka_sink_options("b:9092", "t")["kafka.acks"] == "all"
     split = tables.jdbc_split_options("user_id", 0, 100, 8)
@@ -69,5 +71,15 @@ def test_connector_options():
     assert tables.jdbc_options("jdbc:x", "raw_events", "u", "p")["dbtable"] == "raw_events"
 
 
+def test_a_session_without_shared_folder():
+    """Local sessions get one folder of their own; a cluster must name one."""
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, other: other))
+    assert shared_root(session("local[2]")) == shared_root(session("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_root(session("spark://master:7077"))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

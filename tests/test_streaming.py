@@ -143,6 +143,22 @@ def test_replay_limit(spark, tmp_path):
 
 def test_lag_from_progress(spark):
     report = {"id": "q", "name": "raw", "timestamp": "2024-01-01T00:00:10.000Z", "sources": [
-        {"endOffset": '{"user-events":{"0":90,"1":50}}', "latestOffset": '{"user-events":{"0":100,"1":55,"2":3}}'}]}
+        {"endOffset": '{"clicks":{"0":90,"1":50}}', "latestOffset": '{"clicks":{"0":100,"1":55,"2":3}}'}]}
     lag = lag_samples(spark, [report])
-    assert rows(telemetry.lag_by_group(lag)) == [(at("2024-01-01 00:00"), "raw", "user-events", 18.0)]
+    assert rows(telemetry.lag_by_group(lag)) == [(at("2024-01-01 00:00"), "raw", "clicks", 18.0)]
+
+
+def test_day_queries_read_one_day_folder(spark, tmp_path):
+    df = spark.createDataFrame([(1, "purchase", "A", 1.0, at(f"2024-01-{d:02d} 10:00")) for d in range(1, 10)],
+                               RAW_EVENTS).withColumnRenamed("timestamp", "event_time")
+    path = str(tmp_path / "raw")
+    append_raw(df, 0, path, "main")
+    raw = spark.read.parquet(path)
+    for out in (metrics.daily_metrics(raw, "2024-01-05"),
+                metrics.revenue_today(raw, "2024-01-05 12:00:00"),
+                metrics.current_visitors(raw, 180, "2024-01-05 12:00:00")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters"):]
+        assert "event_date" in filters[:filters.index("PushedFilters")]
+        assert "GreaterThanOrEqual(ti" in filters   # the plan text is cut short here
+    assert metrics.daily_metrics(raw, "2024-01-05").first().purchase_count == 1
