@@ -17,11 +17,12 @@ WATERMARK = "10 minutes"  # fixed value: how late an event may come
 
 @dataclass(frozen=True)
 class StreamFolders:
-    """Where the jobs write. ``run`` names one life of the stream: after the source log was
+    """Where the jobs write, and how often. ``run`` names one life of the stream: after the source log was
     wiped, start with a new run, which brings new checkpoints and leaves old results alone."""
 
     root: str
     run: str = "main"
+    every: str | None = None   # trigger interval, e.g. "10 seconds"; by default as fast as it goes
 
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
@@ -34,7 +35,11 @@ def _start(df: DataFrame, folders: StreamFolders, name: str, mode: str, write,
            once: bool) -> StreamingQuery:
     writer = (df.writeStream.foreachBatch(write).outputMode(mode).queryName(f"{name}_{folders.run}")
               .option("checkpointLocation", folders.checkpoint(name)))
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif folders.every:
+        writer = writer.trigger(processingTime=folders.every)
+    return writer.start()
 
 
 def start_raw_events(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:

@@ -89,3 +89,29 @@ def test_first_line_over_the_stock(spark):
 def test_missing_product_counts_as_free(spark):
     priced = commerce.price_cart(cart(spark, (1, "A", 2, 0), (1, "X", 3, 0)), catalog(spark, ("A", 1.5, 0)))
     assert rows(commerce.order_totals(priced)) == [(1, 2, 3.0)]
+
+
+def test_the_join_on_a_hot_product_is_split(spark):
+    """Neither side small enough to broadcast, half of the lines on one product."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        lines = spark.range(0, 60000, 1, 12).selectExpr(
+            "id AS user_id", "IF(id % 2 = 0, 'HOT', concat('P', id % 500)) AS product_id",
+            "CAST(1 AS INT) AS quantity", "timestamp_seconds(id) AS added_at")
+        known = spark.range(500).selectExpr(
+            "IF(id = 0, 'HOT', concat('P', id)) AS product_id", "'x' AS description",
+            "CAST(1 AS DOUBLE) AS price", "0 AS total_purchase_count", "9 AS stock")
+        out = commerce.price_cart(lines, known)
+        assert len(out.collect()) == 60000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
