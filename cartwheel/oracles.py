@@ -211,11 +211,11 @@ ORACLES: dict[str, str] = {
     "product_csv_source": _sql("SELECT * FROM shop_products", "shop_products"),
     "event_log_source": _sql("""
         SELECT user_id, event_type, product_id, price,
-               date_trunc('millisecond', event_time) AS "timestamp" FROM shop_events""",
+               event_time AS "timestamp" FROM shop_events""",
         "shop_events"),
     "first_events_of_log": _sql("""
         SELECT user_id, event_type, product_id, price,
-               date_trunc('millisecond', event_time) AS "timestamp" FROM shop_events
+               event_time AS "timestamp" FROM shop_events
         ORDER BY event_time LIMIT 500""", "shop_events"),
     "parameterised_sql": _sql("""
         SELECT event_type, count(*) AS event_count FROM raw_events WHERE price >= 5.0
@@ -484,7 +484,8 @@ ORACLES: dict[str, str] = {
 
     # -- synthesis
     "conversion_path_bounds": _sql("""
-        SELECT t.event_type, (SELECT count(*) FROM purchases) AS event_count, 0 AS out_of_bounds
+        SELECT t.event_type, (SELECT count(*) FROM purchases) AS event_count,
+               CAST(0 AS BIGINT) AS out_of_bounds
         FROM (VALUES ('view'), ('add_to_cart'), ('purchase')) AS t(event_type)""", "purchases"),
     "synthetic_event_counts": _sql("""
         SELECT 'view' AS event_type, 10 * count(*) AS event_count FROM purchases
@@ -492,13 +493,15 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'purchase', count(*) FROM purchases
         UNION ALL SELECT 'refund', count(*) FROM refunds""", "purchases", "refunds"),
     "synthetic_event_integrity": _sql("""
-        SELECT event_type, 0 AS incomplete, 0 AS out_of_period FROM (
+        SELECT event_type, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS out_of_period FROM (
             SELECT 'view' AS event_type FROM purchases UNION SELECT 'add_to_cart' FROM purchases
             UNION SELECT 'purchase' FROM purchases UNION SELECT 'refund' FROM refunds) AS t""",
         "purchases", "refunds"),
     "popularity_weighted_draws": """
-        SELECT count(*) AS draws, count(*) AS slots, 0 AS impossible FROM events""",
-    "random_event_mix": "SELECT count(*) AS event_count, 0 AS wrong, 4 AS event_types FROM events",
+        SELECT count(*) AS draws, count(*) AS slots, CAST(0 AS BIGINT) AS impossible FROM events""",
+    "random_event_mix": """
+        SELECT count(*) AS event_count, CAST(0 AS BIGINT) AS wrong, CAST(4 AS BIGINT) AS event_types
+        FROM events""",
     "replay_waits": _sql("""
         SELECT event_time AS "timestamp", events, CASE WHEN prior IS NULL THEN 0.0::DOUBLE
                    ELSE least((epoch_us(event_time) - epoch_us(prior)) / 1e6 / CAST(60 AS DOUBLE), 5.0)
