@@ -6,7 +6,7 @@ so a draw survives repartitioning, retries and a change of cluster size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.schemas import SEED
 
@@ -17,6 +17,16 @@ def _hashed(key: list[Column], purpose: str, seed: int) -> Column:
     return F.xxhash64(*key, F.lit(purpose), F.lit(seed))
 
 
+def content_hash(df: DataFrame) -> Column:
+    """Hash of the whole row, to spread rows over tasks.
+
+    A row number would spread copies as well, but it depends on the order in which a task
+    happened to receive its rows: a repeated task could send a row elsewhere than before, and
+    the row would be lost or doubled.
+    """
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def uniform(key: list[Column], purpose: str, seed: int = SEED) -> Column:
     """Double in [0, 1)."""
     return F.shiftrightunsigned(_hashed(key, purpose, seed), 64 - _BITS) / F.lit(float(1 << _BITS))

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cartwheel.functions.draws import content_hash
 from cartwheel.functions.times import Instant, instant, iso_text
 from cartwheel.schemas import EVENT_TYPES
 
 _TYPED = {"user_id": "bigint", "price": "double", "timestamp": "timestamp"}
 
 
+def _as(name: str, kind: str) -> Column:
+    """The field as its type, or null. A whole number may be written as 17850.0."""
+    value = F.col(name)
+    if kind != "bigint":
+        return value.try_cast(kind)
+    number = value.try_cast("double")
+    return F.coalesce(value.try_cast(kind),
+                      F.when(number == F.floor(number), number.try_cast(kind)))
+
+
 def validate_events(df: DataFrame) -> DataFrame:
     """Typed events with a ``reason``, null where the event is valid.
 
@@ -23,12 +34,12 @@ def validate_events(df: DataFrame) -> DataFrame:
               ("event_type", ~F.col("event_type").isin(*EVENT_TYPES), "event_type unknown")]
     for name, kind in _TYPED.items():
         if name in df.columns:
-            bad = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+            bad = F.col(name).isNotNull() & _as(name, kind).isNull()
             checks.append((name, bad, f"{name} malformed"))
     for name, bad, why in reversed(checks):   # the first check listed wins
         reason = F.when(bad, why).otherwise(reason)
         value = F.when(bad, F.col(name).cast("string")).otherwise(value)
-    typed = {n: F.col(n).try_cast(k) for n, k in _TYPED.items() if n in df.columns}
+    typed = {n: _as(n, k) for n, k in _TYPED.items() if n in df.columns}
     return (df.withColumn("reason", reason).withColumn("rejected_value", value)
               .withColumns(typed))
 
@@ -48,10 +59,11 @@ def resolve_identity(df: DataFrame, users: DataFrame, auth: str = "auth_user_id"
     """The authenticated user, if known, replaces the user id in the payload.
 
     Anonymous events would all meet in one task on their null key, so each gets a filler key
-    that only spreads them; the join condition keeps fillers from matching anyone.
+    from its content that only spreads them; the join condition keeps fillers from matching
+    anyone.
     """
     known = users.select(F.col("user_id").alias("_known"))
-    return (df.withColumn("_key", F.coalesce(F.col(auth), F.monotonically_increasing_id()))
+    return (df.withColumn("_key", F.coalesce(F.col(auth), content_hash(df)))
               .join(known, (F.col("_key") == F.col("_known")) & F.col(auth).isNotNull(), "left")
               .withColumn("user_id", F.coalesce("_known", "user_id"))
               .drop("_key", "_known", auth))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cartwheel.functions.draws import content_hash
 from cartwheel.functions.text import contains_ci
 from cartwheel.functions.times import Instant, since
 
@@ -77,6 +78,6 @@ def latest_day(daily: DataFrame) -> DataFrame:
 
 
 def time_ordered(events: DataFrame, column: str = "timestamp") -> DataFrame:
-    """By time. Events of one instant come in any order; the row id lets them be spread over
-    the sort's ranges instead of all falling into one."""
-    return events.orderBy(column, F.monotonically_increasing_id())
+    """By time. Events of one instant follow in the order of a hash of their content, which
+    lets them be spread over the sort's ranges instead of all falling into one."""
+    return events.orderBy(column, content_hash(events))

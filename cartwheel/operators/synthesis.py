@@ -156,14 +156,14 @@ def random_event_mix(slots: DataFrame, users: DataFrame, products: DataFrame,
         typed = F.when(at < upto, kind) if typed is None else typed.when(at < upto, kind)
     who = weighted_pick(slots.withColumn("event_type", typed), ["slot"],
                         users.select("user_id"), "user_id", F.lit(1), "user", seed)
-    found = weighted_pick(who.filter(F.col("event_type") != "search"), ["slot"],
+    found = weighted_pick(who, ["slot"],
                           products.select("product_id", "price", "total_purchase_count"),
                           "product_id", F.col("total_purchase_count"), "product", seed)
-    searched = (who.filter(F.col("event_type") == "search")
-                .withColumn("product_id", F.lit(None).cast("string"))
-                .withColumn("price", F.lit(None).cast("double")))
-    columns = ["slot", "user_id", "event_type", "product_id", "price"]
-    return found.select(*columns).unionByName(searched.select(*columns))
+    # searches draw a product too and drop it, which keeps this to one pass over the slots
+    named = F.col("event_type") != "search"
+    return found.select("slot", "user_id", "event_type",
+                        F.when(named, F.col("product_id")).alias("product_id"),
+                        F.when(named, F.col("price")).alias("price"))
 
 
 def replay_gaps(log: DataFrame, speed: float = 60.0, longest: float = 5.0,

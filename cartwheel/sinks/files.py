@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from cartwheel.functions.draws import content_hash
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -13,10 +15,10 @@ def write_time_ordered(df: DataFrame, path: str, files: int, time_col: str = "ti
                        fmt: str = "parquet") -> None:
     """Files that follow one another in time, each sorted inside.
 
-    The sort exists only here. The row id takes part in the range bounds, so events that
+    The sort exists only here. The row's hash takes part in the range bounds, so events that
     share one instant are still spread over files.
     """
-    (df.repartitionByRange(files, time_col, F.monotonically_increasing_id())
+    (df.repartitionByRange(files, time_col, content_hash(df))
        .sortWithinPartitions(time_col)
        .write.mode("overwrite").format(fmt).option("header", True).save(path))
 

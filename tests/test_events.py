@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from cartwheel.functions.draws import content_hash
 from cartwheel.operators import events as ev
 from cartwheel.schemas import EVENT_WIRE_TEXT
 from cartwheel.sinks.kafka import to_messages
@@ -55,10 +56,17 @@ def test_identity(spark):
 
 
 def test_anonymous_filler_keys_match_no_user(spark):
-    """Filler keys are small numbers and may equal real user ids."""
-    users = spark.range(100).withColumnRenamed("id", "user_id")
-    df = spark.createDataFrame([(None, None)] * 50, "user_id bigint, auth_user_id bigint").coalesce(1)
-    assert set(rows(ev.resolve_identity(df, users))) == {(None,)}
+    """A filler key may happen to equal a real user id."""
+    df = spark.createDataFrame([(None, None)] * 50, "user_id bigint, auth_user_id bigint")
+    users = df.select(content_hash(df).alias("user_id")).distinct()
+    assert rows(ev.resolve_identity(df, users)) == [(None,)] * 50
+
+
+def test_whole_numbers_may_come_with_a_point(spark):
+    df = values(spark, '{"event_type": "view", "user_id": 17850.0}', '{"event_type": "view", "user_id": 1.5}')
+    checked = ev.validate_events(decode_events_as_text(df))
+    assert sorted((r.user_id or 0, r.reason or "") for r in checked.collect()) == [
+        (0, "user_id malformed"), (17850, "")]
 
 
 def test_repair(spark):
