@@ -10,9 +10,26 @@ def contains_ci(column: Column, text: str | None) -> Column:
     return column.ilike(f"%{text}%")
 
 
+_BLANKS = " \t\n\r\x0b\x0c"
+
+
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.trim(text, F.lit(_BLANKS))
+
+
 def normal_code(code: Column) -> Column:
-    """Upper-case, trimmed code used for comparison only; a missing code reads as NAN."""
-    return F.coalesce(F.upper(F.trim(code)), F.lit("NAN"))
+    """Upper-case, stripped code used for comparison only; a missing code reads as NAN."""
+    return F.coalesce(F.upper(stripped(code)), F.lit("NAN"))
+
+
+def percent(share: Column, digits: int) -> Column:
+    """Percentage text; a tie goes to the even digit."""
+    return F.format_string(f"%.{digits}f%%", F.bround(share * 100, digits))
+
+
+def won(amount: Column) -> Column:
+    return F.concat(F.lit("₩"), F.format_number(amount, 0))
 
 
 def container_name(raw: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from cartwheel.functions.money import gbp_to_krw
-from cartwheel.functions.text import normal_code
+from cartwheel.functions.text import normal_code, stripped
 from cartwheel.functions.times import parse_invoice_date
 from cartwheel.schemas import NON_PRODUCT_CODES
 
@@ -30,7 +30,8 @@ def positive_price(df: DataFrame, price: str = "unit_price") -> DataFrame:
 
 
 def require_description(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=["description"]).withColumn("description", F.trim("description"))
+    return df.dropna(subset=["description"]).withColumn(
+        "description", stripped(F.col("description")))
 
 
 def price_to_krw(df: DataFrame) -> DataFrame:

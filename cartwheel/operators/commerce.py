@@ -13,12 +13,21 @@ from cartwheel.operators.ordering import running_total
 from cartwheel.operators.rows import repeat_rows
 
 
+def with_parent(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    return df.join(parent.select(key), key, "left_semi")
+
+
+def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` names no row of ``parent``: broken references."""
+    return df.join(parent.select(key), key, "left_anti")
+
+
 def known_products(df: DataFrame, products: DataFrame) -> DataFrame:
-    return df.join(products.select("product_id"), "product_id", "left_semi")
+    return with_parent(df, products, "product_id")
 
 
 def unknown_products(df: DataFrame, products: DataFrame) -> DataFrame:
-    return df.join(products.select("product_id"), "product_id", "left_anti")
+    return orphans(df, products, "product_id")
 
 
 def user_cart(cart: DataFrame, user_id: int) -> DataFrame:

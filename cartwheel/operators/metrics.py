@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.functions.money import purchase_price, ratio_or_zero
+from cartwheel.functions.text import percent, won
 from cartwheel.functions.times import (Instant, date_label, day_partitions, instant, on_day,
                                        on_day_of, since)
 
@@ -126,12 +127,22 @@ def event_span(events: DataFrame, column: str = "timestamp") -> DataFrame:
 def daily_report(daily: DataFrame) -> DataFrame:
     """One text per measure and day: thousands separators, percent, two decimals."""
     count = lambda name: F.format_number(F.col(name), 0)
-    percent = F.format_string("%.2f%%", F.bround(F.col("conversion_rate"), 4) * 100)
+    rate = percent(F.bround("conversion_rate", 4), 2)
     texts = {"date": date_label(F.col("metric_date")), "dau": count("dau"),
              "view_count": count("view_count"), "purchase_count": count("purchase_count"),
-             "conversion_rate": percent, "revenue": F.format_number("revenue", 2),
+             "conversion_rate": rate, "revenue": F.format_number("revenue", 2),
              "event_count": count("event_count")}
     return (daily.select("metric_date", *[c.alias(f"_{n}") for n, c in texts.items()])
             .select("metric_date", F.expr(
                 f"stack({len(texts)}, " + ", ".join(f"'{n}', _{n}" for n in texts)
                 + ") AS (measure, text)")))
+
+
+def daily_cards(latest: DataFrame) -> DataFrame:
+    """Headline texts of a day: users, conversion to one decimal, revenue in won, events."""
+    return latest.select(
+        date_label(F.col("metric_date")).alias("metric_date"),
+        F.col("dau").cast("string").alias("dau"),
+        percent(F.col("conversion_rate"), 1).alias("conversion_rate"),
+        won(F.col("revenue")).alias("revenue"),
+        F.format_number("event_count", 0).alias("event_count"))

@@ -392,6 +392,12 @@ ORACLES: dict[str, str] = {
         f"SELECT {_ALL_DAILY} FROM daily ORDER BY metric_date DESC LIMIT 7", "daily"),
     "latest_day": _sql(
         f"SELECT {_ALL_DAILY} FROM daily ORDER BY metric_date DESC LIMIT 1", "daily"),
+    "daily_card_texts": _sql("""
+        SELECT metric_date, CAST(dau AS VARCHAR) AS dau,
+               printf('%.1f', conversion_rate * 100) || '%' AS conversion_rate,
+               '₩' || format('{:,.0f}', revenue) AS revenue,
+               format('{:,}', event_count) AS event_count
+        FROM daily""", "daily"),
     "products_by_popularity": _sql("SELECT * FROM shop_products", "shop_products"),
     "product_search": _sql(
         "SELECT * FROM shop_products WHERE description ILIKE '%RED%'", "shop_products"),
@@ -410,6 +416,9 @@ ORACLES: dict[str, str] = {
     "cart_lines_unknown": _sql("""
         SELECT * FROM carts WHERE product_id NOT IN (SELECT product_id FROM shop_products)""",
         "carts", "shop_products"),
+    "cart_owners_unknown": _sql("""
+        SELECT * FROM carts WHERE user_id NOT IN (SELECT user_id FROM users_built)""",
+        "carts", "users_built"),
     "cart_of_user": _sql("SELECT * FROM carts WHERE user_id = 7", "carts"),
     "cart_merged": _sql("SELECT * FROM merged", "merged"),
     "cart_after_additions": _sql("""
@@ -492,6 +501,16 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'add_to_cart', 3 * count(*) FROM purchases
         UNION ALL SELECT 'purchase', count(*) FROM purchases
         UNION ALL SELECT 'refund', count(*) FROM refunds""", "purchases", "refunds"),
+    "prepared_row_counts": _sql("""
+        SELECT 'products' AS part, count(*) AS row_count FROM products_built
+        UNION ALL SELECT 'users', count(*) FROM users_built
+        UNION ALL SELECT 'purchases', count(*) FROM purchases
+        UNION ALL SELECT 'refunds', count(*) FROM refunds
+        UNION ALL SELECT 'events: view', 10 * count(*) FROM purchases
+        UNION ALL SELECT 'events: add_to_cart', 3 * count(*) FROM purchases
+        UNION ALL SELECT 'events: purchase', count(*) FROM purchases
+        UNION ALL SELECT 'events: refund', count(*) FROM refunds""",
+        "products_built", "users_built", "purchases", "refunds"),
     "synthetic_event_integrity": _sql("""
         SELECT event_type, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS out_of_period FROM (
             SELECT 'view' AS event_type FROM purchases UNION SELECT 'add_to_cart' FROM purchases

@@ -23,6 +23,7 @@ def live(raw_events: DataFrame, stats: DataFrame, traffic: DataFrame, products:
 def daily(daily_metrics: DataFrame) -> dict[str, DataFrame]:
     return {
         "latest": serving.latest_day(daily_metrics),
+        "cards": metrics.daily_cards(serving.latest_day(daily_metrics)),
         "chart": serving.daily_trend(daily_metrics, 30)
                         .withColumn("day", date_label(F.col("metric_date"))),
         "table": serving.daily_trend(daily_metrics, 30, newest_first=True),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel.operators.cleaning import clean_invoice_lines, split_transactions
 from cartwheel.operators.dimensions import assign_stock, build_products, build_users
@@ -36,6 +36,19 @@ def prepare(lines: DataFrame, work: str | None = None, seed: int = SEED) -> Prep
     return Prepared(products, users, purchases, refunds, events)
 
 
+def row_counts(made: Prepared) -> DataFrame:
+    """Rows of each output, events by type, as (part, row_count)."""
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("part"),
+                                                                    "row_count")
+
+    out = made.events.groupBy(F.concat(F.lit("events: "), "event_type").alias("part")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    for name in ("products", "users", "purchases", "refunds"):
+        out = out.unionByName(counted(name, getattr(made, name)))
+    return out
+
+
 def prepare_files(spark: SparkSession, source: str, target: str, fraction: float = 1.0,
                   seed: int = SEED) -> Prepared:
     """CSV in, five CSV tables out."""

@@ -418,6 +418,12 @@ def latest_day(spark, folder):
     return _with_day_text(serving.latest_day(_daily(spark, folder)))
 
 
+@query
+def daily_card_texts(spark, folder):
+    daily = _daily(spark, folder).withColumn("revenue", F.round("revenue", 2))
+    return metrics.daily_cards(daily)
+
+
 @query
 def products_by_popularity(spark, folder):
     return serving.by_popularity(w.shop_products(spark, folder))
@@ -455,6 +461,13 @@ def cart_lines_unknown(spark, folder):
     return commerce.unknown_products(w.carts(spark, folder), w.shop_products(spark, folder))
 
 
+@query
+def cart_owners_unknown(spark, folder):
+    """Carts against the users that placed member purchases: guests' carts are orphans."""
+    return commerce.orphans(w.carts(spark, folder),
+                            dimensions.build_users(_cleaned(spark, folder)), "user_id")
+
+
 @query
 def cart_of_user(spark, folder):
     return commerce.user_cart(w.carts(spark, folder), 7)
@@ -590,6 +603,11 @@ def synthetic_event_counts(spark, folder):
     return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
 
 
+@query
+def prepared_row_counts(spark, folder):
+    return preparation.row_counts(preparation.prepare(w.invoice_lines(spark, folder)))
+
+
 @query
 def synthetic_event_integrity(spark, folder):
     """Synthetic events whose user, product or time lies outside what the purchases allow."""

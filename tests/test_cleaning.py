@@ -24,7 +24,7 @@ def test_dates_padded_or_not_and_bad(spark):
 
 
 def test_non_product_codes(spark):
-    df = frame(spark, *[line(code=c) for c in ("post", " M ", "bank charges", "85123a", None)])
+    df = frame(spark, *[line(code=c) for c in ("post", " M ", "bank charges", "dot\t", "85123a", None)])
     kept = {r.stock_code for r in cleaning.drop_non_products(df).collect()}
     assert kept == {"85123a", None}
 
@@ -37,7 +37,7 @@ def test_price_rules_round_half_to_even(spark):
 
 
 def test_descriptions(spark):
-    df = frame(spark, line(text=None), line(text="  padded "))
+    df = frame(spark, line(text=None), line(text="  padded \t\n"))
     assert [r.description for r in cleaning.require_description(df).collect()] == ["padded"]
 
 

@@ -63,6 +63,11 @@ def test_report_text(spark):
                     "conversion_rate": "3.12%", "revenue": "1,234,567.89", "event_count": "5,000"}
 
 
+def test_card_texts(spark):
+    df = spark.createDataFrame([(date(2024, 1, 1), 12, 32, 2, 0.0625, 1234567.5, 5000)], DAILY_METRICS)
+    assert rows(metrics.daily_cards(df)) == [("2024-01-01", "12", "6.2%", "₩1,234,568", "5,000")]
+
+
 def test_stored_day_is_replaced_and_others_stay(spark, tmp_path):
     path = str(tmp_path / "daily")
     daily_plan.run_day(raw(spark, (1, "view", "A", 1.0, "2024-01-01")), "2024-01-01", path)
