@@ -35,22 +35,28 @@ def _grown(now: Column, before: Column) -> Column:
 def counter_increases(samples: DataFrame, span: str = "1 minute") -> DataFrame:
     """Increase of each series in each window, restarts tolerated; no extrapolation.
 
-    Samples are ordered inside one window of one series only. The step from one window to
-    the next is taken between their last and first samples, from one row per window.
+    Samples are ordered inside cells of at most a minute of one series, however long the
+    window, so a busy series is not one task's burden. The step from one cell to the next is
+    taken between their last and first samples, from one row per cell.
     """
+    seconds = _seconds(span)
+    cell = "1 minute" if seconds % 60 == 0 else span
     series = ["series_hash", "window_start", "metric", "series"]
     when = F.struct("ts", "value")
     before = F.lag("value").over(Window.partitionBy(*series).orderBy("ts", "value"))
-    per_window = (_windowed(samples, span)
+    per_cell = (_windowed(samples, cell)
                   .withColumn("_step", _grown(F.col("value"), before))
                   .groupBy(*series)
                   .agg(F.sum("_step").alias("_inside"),
                        F.min_by("value", when).alias("_first"),
                        F.max_by("value", when).alias("_last")))
     carried = F.lag("_last").over(Window.partitionBy("series_hash", "metric", "series").orderBy("window_start"))
-    return (per_window.withColumn("increase", F.col("_inside") + _grown(F.col("_first"), carried))
-            .select("window_start", "metric", F.map_from_entries("series").alias("labels"),
-                    "increase"))
+    grown = per_cell.withColumn("increase", F.col("_inside") + _grown(F.col("_first"), carried))
+    if cell != span:
+        grown = (grown.withColumn("window_start", F.window("window_start", span).start)
+                 .groupBy(*series).agg(F.sum("increase").alias("increase")))
+    return grown.select("window_start", "metric", F.map_from_entries("series").alias("labels"),
+                        "increase")
 
 
 def counter_rate(samples: DataFrame, metric: str, by: Sequence[str], span: str = "1 minute") -> DataFrame:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from datetime import datetime, timedelta
+
 import pytest
 
 from cartwheel.operators import metrics, telemetry
@@ -29,6 +32,29 @@ def test_series_do_not_mix(spark):
     assert rows(telemetry.counter_rate(df, "c", ["handler"]))[0][2] == 2.0
 
 
+@pytest.mark.parametrize("span, seconds", [("10 seconds", 10), ("1 minute", 60), ("7 minutes", 420), ("1 day", 86400)])
+def test_increases_against_brute_force(spark, span, seconds):
+    rnd = random.Random(3)
+    points, want, last = [], {}, {}
+    for second in sorted(rnd.sample(range(7200), 900)):
+        name = rnd.choice(["hot", "hot", "cold"])
+        value = float(rnd.randrange(100))
+        points.append((second, name, value))
+        if name in last:
+            step = value - last[name] if value >= last[name] else value
+        else:
+            step = 0.0
+        last[name] = value
+        start = (at("2024-01-01") - datetime(1970, 1, 1)).total_seconds() + second
+        key = (datetime(1970, 1, 1) + timedelta(seconds=start // seconds * seconds), name)
+        want[key] = want.get(key, 0.0) + step
+    df = spark.createDataFrame([(at("2024-01-01") + timedelta(seconds=s), "c", {"handler": n}, v)
+                                for s, n, v in points], METRIC_SAMPLES).repartition(5)
+    got = {(r.window_start, r.labels["handler"]): r.increase
+           for r in telemetry.counter_increases(df, span).collect()}
+    assert got == want
+
+
 def buckets(spark, *ladder):
     return spark.createDataFrame([("g", le, float(r)) for le, r in ladder], "g string, le string, rate double")
 
