@@ -40,8 +40,8 @@ def build_session(app: str = "cartwheel", master: str | None = None, **settings:
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Bring a session made elsewhere to the settings the operators assume (UTC, AQE)."""
-    for key, value in RUNTIME_SETTINGS.items():
+    """Bring a session made elsewhere to the settings the operators assume (UTC, AQE, state)."""
+    for key, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS}.items():
         spark.conf.set(key, value)
     return spark
 

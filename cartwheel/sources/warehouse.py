@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cartwheel.sources.events import read_event_files
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,10 +51,10 @@ def shop_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shop_event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same events as a stream over the same file."""
-    raw = (spark.readStream.schema(table(spark, folder, "events").schema)
-           .option("pathGlobFilter", "events.parquet").parquet(folder))
-    return _event_columns(raw)
+    """The same events as a stream over the same table, one file or a folder of them."""
+    schema = table(spark, folder, "events").schema
+    # as a pattern the path may name a file; a plain path would have to be a folder
+    return _event_columns(read_event_files(spark, f"{folder}/event[s].parquet", schema, "parquet"))
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
