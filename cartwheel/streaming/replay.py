@@ -12,7 +12,8 @@ def lay_out_replay(log: DataFrame, path: str, files: int, limit: int | None = No
     """Write the log as files that follow each other in time, and date them in that order.
 
     The file source takes files by modification time. They are written in parallel, so their
-    times are set afterwards, by file name, which follows the range partitions.
+    times are set afterwards, by file name, which follows the range partitions. That needs a
+    file system on which times can be set, as HDFS or a local disk.
     """
     spark = log.sparkSession
     write_time_ordered(log.orderBy(column).limit(limit) if limit else log, path, files, column)

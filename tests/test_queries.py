@@ -21,12 +21,9 @@ def test_each_query_has_a_counterpart():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
-    assert difference(spark, con, name, FOLDER) is None
-
-
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_plan(spark, name):
-    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    df = entry.queries()[name](spark, FOLDER)
+    assert difference(con, name, df) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
         assert unwanted not in plan
 
