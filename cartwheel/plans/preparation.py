@@ -50,9 +50,10 @@ def row_counts(made: Prepared) -> DataFrame:
 
 
 def prepare_files(spark: SparkSession, source: str, target: str, fraction: float = 1.0,
-                  seed: int = SEED) -> Prepared:
-    """CSV in, five CSV tables out."""
-    made = prepare(sample_lines(read_invoice_lines(spark, source), fraction, seed), seed=seed)
+                  seed: int = SEED, exact: bool = False) -> Prepared:
+    """CSV in, five CSV tables out; with ``fraction`` from a sample of the lines."""
+    lines = sample_lines(read_invoice_lines(spark, source), fraction, seed, exact)
+    made = prepare(lines, seed=seed)
     write_csv(by_popularity(made.products), f"{target}/products")
     write_csv(made.users, f"{target}/users")
     write_csv(made.purchases, f"{target}/purchases")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas
 from cartwheel.operators.serving import time_ordered
-from cartwheel.session import cut_lineage
+from cartwheel.session import scratch_folder, settle
 
 
 def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -43,24 +43,31 @@ def sample_lines(df: DataFrame, fraction: float, seed: int = schemas.SEED,
     """Sample without replacement; the whole frame when ``fraction`` is 1 or more.
 
     By default each row is kept on its own draw, in one pass and without a shuffle.
-    ``exact`` returns exactly ``round(fraction * rows)`` rows: the draws are written out
-    once, counted in 2**16 ranges, and only the range in which the cut falls is ordered.
+    ``exact`` returns exactly ``round(fraction * rows)`` rows, those with the lowest draws. The
+    draws are written out once; the cut is found by counting them in 2**16 ranges, twice, so
+    that only the rows of one range in 2**32 are ordered, and the driver sees counts alone.
     """
     if fraction >= 1.0:
         return df
     if not exact:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
-    ranges = 1 << 16
-    drawn = cut_lineage(df.withColumn("_draw", F.rand(seed)))
-    drawn = drawn.withColumn("_range", F.floor(F.col("_draw") * ranges).cast("int"))
-    sizes = {r["_range"]: r["count"] for r in drawn.groupBy("_range").count().collect()}
-    wanted = round(fraction * sum(sizes.values()))
-    taken, cut = 0, 0
-    for cut in range(ranges):
-        if taken + sizes.get(cut, 0) >= wanted:
-            break
-        taken += sizes.get(cut, 0)
-    whole = drawn.filter(F.col("_range") < cut)
-    rest = drawn.filter(F.col("_range") == cut).orderBy("_draw").limit(wanted - taken)
-    return whole.unionByName(rest).drop("_draw", "_range")
+    drawn = settle(df.withColumn("_draw", F.rand(seed)), scratch_folder(df.sparkSession, "sample"))
+    ranges, low, width = 1 << 16, 0.0, 1.0
+    missing = round(fraction * drawn.count())
+    for _ in range(2):
+        inside = _between(drawn, low, low + width)
+        width /= ranges
+        place = F.floor((F.col("_draw") - low) / width).cast("int")
+        sizes = {r["place"]: r["count"] for r in inside.groupBy(place.alias("place")).count().collect()}
+        cut = 0
+        while cut < ranges - 1 and sizes.get(cut, 0) < missing:
+            missing -= sizes.get(cut, 0)
+            cut += 1
+        low += cut * width
+    rest = _between(drawn, low, low + width).orderBy("_draw").limit(missing)
+    return _between(drawn, 0.0, low).unionByName(rest).drop("_draw")
+
+
+def _between(drawn: DataFrame, low: float, high: float) -> DataFrame:
+    return drawn.filter((F.col("_draw") >= low) & (F.col("_draw") < high))
