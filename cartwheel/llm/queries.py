@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import sharding
+from cartwheel.llm import licenses, sharding
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(fn):
 @query
 def op10_sharding(spark, folder):
     return sharding.shard_digest(table(spark, folder, "documents"))
+
+
+@query
+def op2_license_scan(spark, folder):
+    return licenses.license_digest(table(spark, folder, "documents"))
