@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +23,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def reachable(df: DataFrame) -> DataFrame:
+    """Let Python workers import this package from where the driver has it. Where executors do
+    not share that folder, ship the package with ``--py-files``."""
+    home = str(Path(__file__).resolve().parents[2])
+    known = df.sparkSession.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    return df
+
+
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    return reachable(df).mapInArrow(fn, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema) -> DataFrame:
+    return reachable(df).groupBy(*keys).applyInArrow(fn, schema)
+
+
 def free_names(df: DataFrame, *names: str) -> DataFrame:
     """Rename columns of ``df`` that have one of ``names`` by appending ``_in``."""
     taken = {c.lower() for c in df.columns} | {n.lower() for n in names}

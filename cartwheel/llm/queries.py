@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import licenses, sharding
+from cartwheel.llm import bpe, licenses, packing, sharding
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,15 @@ def op10_sharding(spark, folder):
 @query
 def op2_license_scan(spark, folder):
     return licenses.license_digest(table(spark, folder, "documents"))
+
+
+@query
+def op3_byte_bpe(spark, folder):
+    return bpe.bpe_digest(table(spark, folder, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op8_packing(spark, folder):
+    return packing.packing_digest(table(spark, folder, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
