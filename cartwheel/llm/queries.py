@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, licenses, packing, sharding
+from cartwheel.llm import bpe, language, licenses, packing, sharding
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op3_byte_bpe(spark, folder):
 def op8_packing(spark, folder):
     return packing.packing_digest(table(spark, folder, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query
+def op7_language_id(spark, folder):
+    return language.language_digest(table(spark, folder, "documents"))
