@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, language, licenses, packing, sharding
+from cartwheel.llm import bpe, language, licenses, near_vectors, packing, sharding
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op8_packing(spark, folder):
 @query
 def op7_language_id(spark, folder):
     return language.language_digest(table(spark, folder, "documents"))
+
+
+@query
+def op9_near_vectors(spark, folder):
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"))
