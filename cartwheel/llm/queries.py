@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import bpe, language, licenses, near_vectors, packing, sharding
+from cartwheel.llm import bpe, language, licenses, near_vectors, neighbours, packing, sharding
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op7_language_id(spark, folder):
 @query
 def op9_near_vectors(spark, folder):
     return near_vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_nearest(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
