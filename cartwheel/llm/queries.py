@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import bpe, language, licenses, near_vectors, neighbours, packing, sharding
+from cartwheel.llm import (bpe, jaccard, language, licenses, near_vectors, neighbours, packing,
+                           sharding)
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,8 @@ def op9_near_vectors(spark, folder):
 @query
 def op4_nearest(spark, folder):
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op1_jaccard(spark, folder):
+    return jaccard.jaccard_classes(table(spark, folder, "documents"))
