@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import (bpe, jaccard, language, licenses, near_vectors, neighbours, packing,
-                           sharding)
+from cartwheel.llm import (bpe, jaccard, language, licenses, line_dedup, near_vectors, neighbours,
+                           packing, sharding)
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ def op4_nearest(spark, folder):
 @query
 def op1_jaccard(spark, folder):
     return jaccard.jaccard_classes(table(spark, folder, "documents"))
+
+
+@query
+def op6_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
