@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import (bpe, jaccard, language, licenses, line_dedup, near_vectors, neighbours,
-                           packing, sharding)
+from cartwheel.llm import (bpe, id_files, jaccard, language, licenses, line_dedup, near_vectors,
+                           neighbours, packing, sharding)
 from cartwheel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op1_jaccard(spark, folder):
 def op6_line_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op5_id_files(spark, folder):
+    return id_files.id_file_digest(table(spark, folder, "documents"),
+                                   public_tokenizers.path("word_bpe_49k.json"))
