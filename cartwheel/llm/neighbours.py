@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartwheel.llm.common import map_batches, partitions_for, reachable, settled
@@ -27,11 +28,13 @@ STARTS = 3            # random projections for the first graph
 ROUNDS = 8            # of introductions, unless fewer than SETTLED of the entries change
 SETTLED = 0.01
 BEAM = 96             # candidates a query keeps
-EXPAND = 32           # of them expanded at a time
+SURE = 48             # a query has ended when so many of its best are expanded
+EXPAND = 48           # nodes expanded at a time
 SEARCH_ROUNDS = 8
 SEED = 7
 
 _FOUND = "node long, found array<struct<s:double,n:long>>"
+_NEWS = "target long, nodes array<long>, ids array<long>, scores array<double>"
 
 
 def _matrix(column) -> np.ndarray:
@@ -47,69 +50,89 @@ def _lists(nodes: np.ndarray, counts: np.ndarray, scores: np.ndarray, ids: np.nd
     return {"node": pa.array(nodes.astype(np.int64)), "found": pa.ListArray.from_arrays(pa.array(ends), pairs)}
 
 
-def _best(frame: DataFrame, size: int) -> DataFrame:
-    """Cut ``found`` of every row to its best distinct entries, best first, ties to the smaller
-    id, without the row's own node, which stands in the first column."""
-    def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            at = batch.schema.get_field_index("found")
-            lists = batch.column(at)
-            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = lists.flatten()
-            s, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            other = n != batch.column(0).to_numpy()[row]
-            row, s, n = row[other], s[other], n[other]
-            order = np.lexsort((-s, n, row))
-            row, s, n = row[order], s[order], n[order]
-            new = np.ones(len(row), bool)   # the same id may come twice, its score by another sum
-            new[1:] = (row[1:] != row[:-1]) | (n[1:] != n[:-1])
-            row, s, n = row[new], s[new], n[new]
-            order = np.lexsort((n, -s, row))
-            row, s, n = row[order], s[order], n[order]
-            top = np.arange(len(row)) - np.searchsorted(row, row) < size
-            row, s, n = row[top], s[top], n[top]
-            found = _lists(batch.column(0).to_numpy(), np.bincount(row, minlength=batch.num_rows), s, n)["found"]
-            columns = list(batch.columns)
-            columns[at] = found
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    return map_batches(frame, cut, frame.schema)
-
-
-def _first_lists(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(node: np.ndarray, s: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The best distinct entries of every node, best first, ties to the smaller id."""
+    other = node != n
+    node, s, n = node[other], s[other], n[other]
+    order = np.lexsort((-s, n, node))
+    node, s, n = node[order], s[order], n[order]
+    new = np.ones(len(node), bool)   # the same id may come twice, its score by another sum
+    new[1:] = (node[1:] != node[:-1]) | (n[1:] != n[:-1])
+    node, s, n = node[new], s[new], n[new]
+    order = np.lexsort((n, -s, node))
+    node, s, n = node[order], s[order], n[order]
+    top = np.arange(len(node)) - np.searchsorted(node, node) < size
+    return node[top], s[top], n[top]
+
+
+def _news(node: np.ndarray, s: np.ndarray, n: np.ndarray, blocks: int) -> dict:
+    """Entries as one row per block of nodes they are meant for."""
+    target = node % blocks
+    order = np.argsort(target, kind="stable")
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(target[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, int)
+    ends = pa.array(cuts.astype(np.int32))
+    parts = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (node.astype(np.int64), n.astype(np.int64), s.astype(float))]
+    return {"target": pa.array(target[order][cuts[:-1]].astype(np.int64)), "nodes": parts[0], "ids": parts[1], "scores": parts[2]}
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _merge_news(keys, held: pa.Table, news: pa.Table) -> pa.Table:
+    """Lists of one block of nodes, with the entries that came for them."""
+    nodes = held.column("node").to_numpy()
+    lists = held.column("found").combine_chunks()
+    flat = lists.flatten()
+    node = np.concatenate([np.repeat(nodes, lists.value_lengths().to_numpy(zero_copy_only=False)), _flat(news, "nodes")])
+    s, n = (np.concatenate([flat.field(i).to_numpy(zero_copy_only=False), _flat(news, c)])
+            for i, c in ((0, "scores"), (1, "ids")))
+    node, s, n = _cut(node, s, n, LIST)
+    every = np.union1d(nodes, node)
+    return pa.table(_lists(every, np.bincount(np.searchsorted(every, node), minlength=len(every)), s, n))
+
+
+def _first_lists(blocks: int):
     """All against all inside one range of a projection."""
-    parts = [b for b in rows if b.num_rows]
-    if not parts:
-        return
-    block = pa.Table.from_batches(parts)
-    nodes, vectors = block.column("node").to_numpy(), _matrix(block.column("vector")).astype(np.float32)
-    for start in range(0, len(nodes), 512):
-        scores = vectors[start:start + 512] @ vectors.T
-        n = len(scores)
-        scores[np.arange(n), np.arange(start, start + n)] = -np.inf
+    def first(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in rows if b.num_rows]
+        if not parts:
+            return
+        block = pa.Table.from_batches(parts)
+        nodes, vectors = block.column("node").to_numpy(), _matrix(block.column("vector")).astype(np.float32)
         k = min(LIST, len(nodes) - 1)
-        top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
-        yield pa.RecordBatch.from_pydict(_lists(
-            nodes[start:start + 512], np.full(n, k), np.take_along_axis(scores, top, 1).ravel(), nodes[top].ravel()))
+        found: list[list[np.ndarray]] = [[], [], []]
+        for start in range(0, len(nodes), 512):
+            scores = vectors[start:start + 512] @ vectors.T
+            n = len(scores)
+            scores[np.arange(n), np.arange(start, start + n)] = -np.inf
+            top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
+            for out, x in zip(found, (np.repeat(nodes[start:start + n], k), np.take_along_axis(scores, top, 1).ravel(), nodes[top].ravel())):
+                out.append(x)
+        yield pa.RecordBatch.from_pydict(_news(*(np.concatenate(x) for x in found), blocks))
 
+    return first
 
-def _first_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
-    tasks = partitions_for(nodes, BLOCK)
+
+def _taken_in(graph: DataFrame, news: DataFrame, blocks: int) -> DataFrame:
+    """The graph with the news; both meet once per block of nodes."""
+    held = graph.withColumn("block", F.pmod("node", F.lit(blocks)))
+    return reachable(held).groupBy("block").cogroup(news.groupBy("target")).applyInArrow(_merge_news, _FOUND)
+
+
+def _first_graph(vectors: DataFrame, dims: int, nodes: int, blocks: int) -> DataFrame:
     rng = np.random.default_rng(SEED)
     found = None
-    for turn in range(STARTS if tasks > 1 else 1):
+    for turn in range(STARTS if blocks > 1 else 1):
         axis = F.array(*[F.lit(float(x)) for x in rng.standard_normal(dims)])
         place = F.aggregate(F.zip_with("vector", axis, lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y)
         # the second column deals equal places over several ranges
         dealt = (vectors.select("node", "vector", place.alias("place"))
-                 .repartitionByRange(tasks, "place", F.xxhash64("node", F.lit(turn))).select("node", "vector"))
-        lists = map_batches(dealt, _first_lists, _FOUND)
+                 .repartitionByRange(blocks, "place", F.xxhash64("node", F.lit(turn))).select("node", "vector"))
+        lists = map_batches(dealt, _first_lists(blocks), _NEWS)
         found = lists if found is None else found.unionByName(lists)
-    return _merged(found)
-
-
-def _merged(found: DataFrame) -> DataFrame:
-    return _best(found.groupBy("node").agg(F.flatten(F.collect_list("found")).alias("found")), LIST)
+    bare = vectors.select("node", F.array().cast("array<struct<s:double,n:bigint>>").alias("found"))
+    return _taken_in(bare, found, blocks)
 
 
 def _named_by(graph: DataFrame) -> DataFrame:
@@ -131,13 +154,11 @@ def _asked(graph: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids")))
 
 
-def _introduce(keys, people: pa.Table, vectors: pa.Table) -> pa.Table:
+def _introduce(keys, people: pa.Table, vectors: pa.Table, blocks: int) -> pa.Table:
     """In one block of nodes: all neighbours of a node meet. ``vectors`` holds each of them once,
     with the worst score in its list; only what beats it is passed on."""
-    names = {"node": pa.array([], pa.int64()), "found": pa.array([], pa.list_(pa.struct(
-        [("s", pa.float64()), ("n", pa.int64())])))}
     if not people.num_rows or not vectors.num_rows:
-        return pa.table(names)
+        return pa.table(_news(*(np.zeros(0, np.int64),) * 3, blocks))
     nodes = vectors.column("node").to_numpy()
     order = np.argsort(nodes)
     nodes, worst = nodes[order], vectors.column("worst").to_numpy()[order]
@@ -159,15 +180,8 @@ def _introduce(keys, people: pa.Table, vectors: pa.Table) -> pa.Table:
         kept.append(np.stack([at[i, j].astype(np.float64), at[i, k].astype(np.float64), scores[i, j, k].astype(np.float64)]))
     a, b, s = np.concatenate(kept, axis=1)
     a, b = a.astype(np.int64), b.astype(np.int64)
-    _, one = np.unique(a * (len(nodes) + 1) + b, return_index=True)
-    a, b, s = a[one], b[one], s[one]
-    order = np.lexsort((-s, a))
-    a, b, s = a[order], b[order], s[order]
-    first = np.searchsorted(a, a)          # rank within the node
-    top = np.arange(len(a)) - first < LIST
-    a, b, s = a[top], b[top], s[top]
-    who, counts = np.unique(a, return_counts=True)
-    return pa.table(_lists(nodes[who], counts, s, nodes[b]))
+    a, s, b = _cut(a, s, b, LIST)
+    return pa.table(_news(nodes[a], s, nodes[b], blocks))
 
 
 def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
@@ -178,15 +192,15 @@ def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
         F.element_at("found", -1)["s"]).alias("worst"))
     sent = (wanted.join(vectors.select("node", "vector").join(worst, "node"), "node")
             .select(F.col("block").alias("at"), "node", "vector", "worst"))
-    found = (reachable(people).groupBy("block").cogroup(sent.groupBy("at"))
-             .applyInArrow(_introduce, _FOUND))
-    return _merged(graph.unionByName(found))
+    news = (reachable(people).groupBy("block").cogroup(sent.groupBy("at"))
+            .applyInArrow(lambda keys, own, others: _introduce(keys, own, others, blocks), _NEWS))
+    return _taken_in(graph, news, blocks)
 
 
 def build_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
     """(node, found): the best neighbours of each node, with their scores."""
-    graph = settled(_first_graph(vectors, dims, nodes), "graph")
     blocks = partitions_for(nodes, BLOCK)
+    graph = settled(_first_graph(vectors, dims, nodes, blocks), "graph")
     for _ in range(ROUNDS if blocks > 1 else 0):
         new = settled(_round(graph, vectors, blocks), "graph")
         old = graph.select("node", F.col("found.n").alias("before"))
@@ -197,68 +211,108 @@ def build_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
     return graph
 
 
-def _requests(rows: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
-    """Deal the ids a query wants to see over the blocks that hold them."""
+_ASKED = "target long, queries array<long>, nodes array<long>"
+_ANSWER = "home long, queries array<long>, ids array<long>, scores array<double>"
+_STATE = "query long, vector array<double>, found array<struct<s:double,n:long>>, done array<long>"
+
+
+def _packed(target: np.ndarray, columns: dict[str, np.ndarray], name: str = "target") -> pa.Table:
+    """One row per target, its columns as lists."""
+    order = np.argsort(target, kind="stable")
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(target[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, int)
+    ends = pa.array(cuts.astype(np.int32))
+    return pa.table({name: pa.array(target[order][cuts[:-1]].astype(np.int64)),
+                     **{c: pa.ListArray.from_arrays(ends, pa.array(x[order])) for c, x in columns.items()}})
+
+
+def _next_nodes(rows: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
+    """The best nodes of each query that it has not expanded, dealt over the blocks that hold them."""
     for batch in rows:
-        out: dict[str, list] = {"block": [], "query": [], "vector": [], "ids": []}
-        for query, vector, ids in zip(*(batch.column(c).to_pylist() for c in ("query", "vector", "fresh"))):
-            ids = np.array(ids, np.int64)
-            of = ids % blocks
-            for block in np.unique(of):
-                for name, value in zip(out, (int(block), query, vector, ids[of == block])):
-                    out[name].append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out["block"], pa.int64()), pa.array(out["query"], pa.int64()),
-             pa.array(out["vector"], pa.list_(pa.float64())), pa.array(out["ids"], pa.list_(pa.int64()))], list(out))
-
-
-def _score(keys, requests: pa.Table, vectors: pa.Table) -> pa.Table:
-    """Inner products of queries with the vectors of one block, the best of each query."""
+        who, what = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for query, nodes in zip(*(batch.column(c).to_pylist() for c in ("query", "next"))):
+            who.append(np.full(len(nodes), query, np.int64))
+            what.append(np.array(nodes, np.int64))
+        query, node = np.concatenate(who), np.concatenate(what)
+        if len(node):
+            yield from _packed(node % blocks, {"queries": query, "nodes": node}).to_batches()
+
+
+def _spread(keys, asked: pa.Table, around: pa.Table, blocks: int) -> pa.Table:
+    """In the block that holds them: the neighbours of the nodes asked for, to be scored."""
+    query, node = _flat(asked, "queries"), _flat(asked, "nodes")
+    nodes = around.column("node").to_numpy()
+    order = np.argsort(nodes)
+    ids = around.column("ids").combine_chunks()
+    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+    at = order[np.searchsorted(nodes[order], node)]
+    counts = ends[at + 1] - ends[at]
+    place = np.repeat(ends[at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    pair = np.unique(np.stack([np.repeat(query, counts), flat[place]]), axis=1)
+    return _packed(pair[1] % blocks, {"queries": pair[0], "nodes": pair[1]})
+
+
+def _score(keys, asked: pa.Table, held: pa.Table, blocks: int) -> pa.Table:
+    """Inner products of queries with the vectors of one block, the best of each query. The
+    vectors of the queries come along with the block."""
+    vectors = held.filter(pa.compute.invert(held.column("guest")))
     nodes = vectors.column("node").to_numpy()
     order = np.argsort(nodes)
     nodes, x = nodes[order], _matrix(vectors.column("vector"))[order]
-    queries, counts, scores, ids = [], [], [], []
-    for query, vector, wanted in zip(*(requests.column(c).to_pylist() for c in ("query", "vector", "ids"))):
-        wanted = np.array(wanted, np.int64)
-        s = x[np.searchsorted(nodes, wanted)][:, :-1] @ np.array(vector)[:-1]
-        top = np.argsort(-s, kind="stable")[:BEAM]
-        queries.append(query), counts.append(len(top)), scores.append(s[top]), ids.append(wanted[top])
-    none = np.zeros(0)
-    return pa.table(_lists(np.array(queries, np.int64), np.array(counts, np.int64),
-                           np.concatenate(scores or [none]), np.concatenate(ids or [none])))
+    guests = held.filter(held.column("guest"))
+    names = guests.column("node").to_numpy()
+    by_name = np.argsort(names)
+    names, y = names[by_name], _matrix(guests.column("vector"))[by_name]
+    pair = np.unique(np.stack([_flat(asked, "queries"), _flat(asked, "nodes")]), axis=1)
+    scores = np.empty(pair.shape[1])
+    for low in range(0, pair.shape[1], 1 << 16):
+        some = slice(low, low + (1 << 16))
+        scores[some] = np.einsum("ij,ij->i", y[np.searchsorted(names, pair[0, some])][:, :-1],
+                                 x[np.searchsorted(nodes, pair[1, some])][:, :-1])
+    query, s, n = _cut(pair[0], scores, pair[1], BEAM)
+    return _packed(query % blocks, {"queries": query, "ids": n, "scores": s}, "home")
+
+
+def _learn(keys, state: pa.Table, answers: pa.Table) -> pa.Table:
+    """Queries of one block with the candidates that came back for them."""
+    queries = state.column("query").to_numpy()
+    order = np.argsort(queries)
+    state, queries = state.take(pa.array(order)), queries[order]
+    lists = state.column("found").combine_chunks()
+    flat = lists.flatten()
+    query = np.concatenate([np.repeat(queries, lists.value_lengths().to_numpy(zero_copy_only=False)), _flat(answers, "queries")])
+    s, n = (np.concatenate([flat.field(i).to_numpy(zero_copy_only=False), _flat(answers, c)])
+            for i, c in ((0, "scores"), (1, "ids")))
+    query, s, n = _cut(query, s, n, BEAM)
+    found = _lists(queries, np.bincount(np.searchsorted(queries, query), minlength=len(queries)), s, n)["found"]
+    return pa.table({"query": state.column("query"), "vector": state.column("vector"), "found": found, "done": state.column("done")})
 
 
 def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, nodes: int) -> DataFrame:
     """(query, found): up to ``BEAM`` candidates of each query, best first. ``queries`` has the
-    node of the query's own row and its vector."""
+    node of the query's own row and its vector. Rows between tasks are packed, one for each two
+    blocks; the vectors of queries are sent to a block only if it is asked by them."""
     blocks = partitions_for(nodes, BLOCK)
-    around = settled(_asked(graph), "around")
-    state = settled(queries.join(around.withColumnRenamed("node", "query"), "query", "left").select(
-        "query", "vector", F.coalesce("ids", F.array().cast("array<bigint>")).alias("fresh"),
-        F.array("query").alias("seen"), F.array().cast("array<struct<s:double,n:bigint>>").alias("found"),
-        F.array("query").alias("done")), "search")
+    around = settled(_asked(graph).withColumn("block", F.pmod("node", F.lit(blocks))), "around")
+    held = vectors.select(F.pmod("node", F.lit(blocks)).alias("at"), "node", "vector", F.lit(False).alias("guest"))
+    state = queries.select("query", "vector", F.array().cast("array<struct<s:double,n:bigint>>").alias("found"),
+                           F.array().cast("array<bigint>").alias("done"))
+    fresh = F.array("query")
     for _ in range(SEARCH_ROUNDS):
-        asked = map_batches(state.filter(F.size("fresh") > 0).select("query", "vector", "fresh"),
-                            lambda rows: _requests(rows, blocks),
-                            "block long, query long, vector array<double>, ids array<long>")
-        held = vectors.select(F.pmod("node", F.lit(blocks)).alias("block"), "node", "vector")
-        answers = (reachable(asked).groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_score, _FOUND)
-                   .groupBy("node").agg(F.flatten(F.collect_list("found")).alias("lists"))
-                   .withColumnRenamed("node", "query"))
-        none = F.array().cast("array<struct<s:double,n:bigint>>")
-        state = settled(_best(state.join(answers, "query", "left").select(
-            "query", "vector", F.array_union("seen", "fresh").alias("seen"),
-            F.concat("found", F.coalesce("lists", none)).alias("found"), "done"), BEAM), "search")
-        # the best that were not expanded yet; a query whose best are all expanded has ended
-        state = state.withColumn("next", F.slice(F.array_except(
-            F.transform(F.slice("found", 1, BEAM // 2), lambda e: e["n"]), "done"), 1, EXPAND))
-        grown = (state.select("query", F.explode("next").alias("node")).join(around, "node")
-                 .groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("met")))
-        state = settled(state.join(grown, "query", "left").select(
-            "query", "vector", F.coalesce(F.array_except("met", "seen"), F.array().cast("array<bigint>")).alias("fresh"),
-            "seen", "found", F.array_union("done", "next").alias("done")), "search")
-        if state.filter(F.size("fresh") > 0).isEmpty():
+        state = settled(state.withColumn("next", fresh).withColumn("done", F.array_union("done", "next")), "search")
+        if state.filter(F.size("next") > 0).isEmpty():
             break
+        asked = map_batches(state.select("query", "next"), lambda rows: _next_nodes(rows, blocks), _ASKED)
+        spread = settled(reachable(asked).groupBy("target").cogroup(around.groupBy("block"))
+                         .applyInArrow(lambda keys, a, b: _spread(keys, a, b, blocks), _ASKED), "spread")
+        guests = (spread.select(F.col("target").alias("at"), F.explode(F.array_distinct("queries")).alias("node"))
+                  .distinct().join(queries.select(F.col("query").alias("node"), "vector"), "node")
+                  .select("at", "node", "vector", F.lit(True).alias("guest")))
+        answers = (reachable(spread).groupBy("target").cogroup(held.unionByName(guests).groupBy("at"))
+                   .applyInArrow(lambda keys, a, b: _score(keys, a, b, blocks), _ANSWER))
+        own = state.drop("next").withColumn("block", F.pmod("query", F.lit(blocks)))
+        state = own.groupBy("block").cogroup(answers.groupBy("home")).applyInArrow(_learn, _STATE)
+        # next the best that were not expanded yet; a query whose best are all expanded has ended
+        fresh = F.slice(F.array_except(F.transform(F.slice("found", 1, SURE), lambda e: e["n"]), "done"), 1, EXPAND)
     return state.select("query", "found")
 
 
