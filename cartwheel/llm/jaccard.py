@@ -333,6 +333,24 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
     return map_batches(full, _verify(percent), "a binary, b binary")
 
 
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``docs`` (a ``key``, a ``text``, any others but the new names) without the text, with
+    ``n_shingles``, ``sig``, ``root`` (same for a component; null for an empty set), ``n_links``."""
+    rows = settled(with_signatures(docs, size), "signatures")
+    found = settled(links(docs, rows, size, percent), "links")
+    counted = rows.filter("sig is not null").groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
+    ends = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = (ends.join(counted.withColumnRenamed("sig", "b"), "b").groupBy(F.col("a").alias("sig"))
+              .agg(F.sum("members").alias("others")))
+    of_class = settled(counted.join(components(found).withColumnRenamed("node", "sig"), "sig", "left")
+                       .join(linked, "sig", "left")
+                       .select("sig", F.coalesce("root", "sig").alias("root"),
+                               (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes")
+    # rows without a set have nothing to join; they stay out of the way of the join
+    return (rows.filter("sig is not null").join(of_class, "sig").unionByName(
+        rows.filter("sig is null").withColumns({"root": F.lit(None).cast("binary"), "n_links": F.lit(0).cast("long")})))
+
+
 def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per document: its key, ``n_shingles``, ``component_id`` (smallest key reachable by
@@ -343,20 +361,24 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90, key: str
     linked. Rows that repeat a key are documents of their own; a null key is never the smallest of
     a component. An empty table gives an empty result.
     """
-    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = settled(with_signatures(docs, size), "signatures")
-    found = settled(links(docs, rows, size, percent), "links")
-    counted = rows.filter("sig is not null").groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
-    ends = (found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    linked = (ends.join(counted.withColumnRenamed("sig", "b"), "b").groupBy(F.col("a").alias("sig"))
-              .agg(F.sum("members").alias("others")))
-    of_class = settled(counted.join(components(found).withColumnRenamed("node", "sig"), "sig", "left")
-                       .join(linked, "sig", "left")
-                       .select("sig", F.coalesce("root", "sig").alias("root"),
-                               (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes")
-    with_root = rows.filter("sig is not null").join(of_class, "sig")
-    smallest = with_root.groupBy("root").agg(F.min("key").alias("component_id"))
-    result = (with_root.join(smallest, "root").select("key", "n_shingles", "component_id", "n_links")
-              .unionByName(rows.filter("sig is null").select(
-                  "key", "n_shingles", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))))
-    return result.withColumnRenamed("key", key)
+    placed = settled(_components(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), size, percent), "placed")
+    smallest = placed.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
+    return (placed.filter("root is not null").join(smallest, "root")
+            .select("key", "n_shingles", "component_id", "n_links")
+            .unionByName(placed.filter("root is null").select(
+                "key", "n_shingles", F.col("key").alias("component_id"), "n_links")).withColumnRenamed("key", key))
+
+
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id",
+               text: str = "text") -> DataFrame:
+    """The row with the smallest key of every component, whole; ties go to a hash of the text, and
+    of rows equal in both any one stays. Rows without a shingle all stay. A null key goes last."""
+    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(text).alias("tie"))
+    placed = settled(_components(docs.select(order.alias("key"), F.col(text).alias("text")), size, percent), "placed")
+    first = (placed.filter("root is not null").groupBy("root").agg(F.min("key").alias("key")))
+    # no two components share a key and a text, so a row knows from both whether it is the first
+    marked = docs.withColumn("_key", order)
+    chosen = marked.join(first.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
+    chosen = chosen.dropDuplicates(["_key"])
+    bare = marked.join(placed.filter("root is null").select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
+    return chosen.unionByName(bare).select(*docs.columns)
