@@ -13,7 +13,8 @@ prefix, is least. A pair is bound by the smaller ``l`` of the two.
 3. A shingle of one class matches nothing, it only takes a place in the prefix. So documents get
    back just their shared shingles, and those with fewer than ceil(t n) of them are done.
 4. The rest meet on their prefixes, each pair on its first common shingle only; crowded shingles
-   are split into blocks that meet two by two. Pairs are verified on their full sets.
+   are split into blocks that meet two by two. A bitmap of each set bounds what two sets differ in
+   from below; pairs that may pass are verified on their full sets.
 """
 
 from __future__ import annotations
@@ -205,8 +206,8 @@ def choose_level(often: np.ndarray, single: int, n: int, percent: int) -> int:
 
 
 def _prefixes(percent: int):
-    fields = ["sig", "n", "level", "prefix", "base", "shared"]
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    fields = ["sig", "n", "level", "prefix", "base", "shared", "single", "bits"]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
 
     def choose(group: pa.Table) -> pa.Table:
         shingles, owner, sigs, sizes = _unpacked(group)
@@ -226,12 +227,47 @@ def _prefixes(percent: int):
             prefix = shingles[own][:max(base + level, 0)]
             if len(prefix):
                 out.append((sigs[i].tobytes(), n, level, prefix.view(np.int64), base,
-                            np.sort(shingles[own]).tobytes()))
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)], fields)
+                            np.sort(shingles[own]).tobytes(), single, parities(shingles[own]).tobytes()))
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 8, kinds)], fields)
 
     return choose
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each residue: whether an odd number of shingles has it. About three bits per
+    shingle, from 256 to 4096, always a power of two, so that halves can be folded together."""
+    size = 1 << min(max((3 * len(shingles)).bit_length(), 8), 12)
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(bits: list[np.ndarray], size: int) -> np.ndarray:
+    """The bitmaps of at least ``size`` words, folded to that size; zeros for the others."""
+    out = np.zeros((len(bits), size), np.uint64)
+    for i, b in enumerate(bits):
+        while len(b) > size:
+            b = b[:len(b) // 2] ^ b[len(b) // 2:]
+        if len(b) == size:
+            out[i] = b
+    return out
+
+
+def _may_pass(i: np.ndarray, j: np.ndarray, n: np.ndarray, single: np.ndarray, bits: list[np.ndarray],
+              percent: int) -> np.ndarray:
+    """Whether the sets of each pair may be similar enough: they differ in all that one alone
+    has, and in at least as many shared shingles as bits."""
+    words = np.array([len(b) for b in bits])
+    least = np.minimum(words[i], words[j])
+    apart = (single[i] + single[j]).astype(np.int64)
+    for size in np.unique(least):
+        folded = _folded(bits, int(size))
+        of_size = np.flatnonzero(least == size)
+        for low in range(0, len(of_size), 1 << 14):
+            at = of_size[low:low + (1 << 14)]
+            apart[at] += np.bitwise_count(folded[i[at]] ^ folded[j[at]]).sum(1, dtype=np.int64)
+    return apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+
+
 # -- 4: pairs -----------------------------------------------------------------------------------
 
 def _meet(percent: int):
@@ -240,13 +276,15 @@ def _meet(percent: int):
         token = group.column("token")[0].as_py()
         block = group.column("block").to_numpy()
         one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
-        n, level, base = (group.column(c).to_numpy().astype(np.int64) for c in ("n", "level", "base"))
-        lists = [np.array(p, np.int64) for p in group.column("prefix").to_pylist()]
+        n, level, single = (group.column(c).to_numpy().astype(np.int64) for c in ("n", "level", "single"))
+        bits = [np.frombuffer(b, np.uint64) for b in group.column("bits").to_pylist()]
+        lists = [np.array(p, np.int64) for p in group.column("words").to_pylist()]
         words, places = np.unique(np.concatenate(lists), return_inverse=True)
         lengths = np.array([len(p) for p in lists])
         row = np.repeat(np.arange(len(lists)), lengths)
         rank = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        needs = np.maximum(rank - base[row] + 1, 1)      # smallest level whose prefix has the place
+        # smallest level whose prefix has the place
+        needs = group.column("needs").combine_chunks().flatten().to_numpy().astype(np.int64)
         at = np.flatnonzero(np.concatenate(lists) == token)
         before = rank < rank[at][row]
         left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
@@ -267,7 +305,8 @@ def _meet(percent: int):
                 i, j = some[i], right[j]
                 if one == two:
                     i, j = i[i < j], j[i < j]
-                pairs.append((i, j))
+                good = _may_pass(i, j, n, single, bits, percent)
+                pairs.append((i[good], j[good]))
         sigs = group.column("sig").to_pylist()
         i, j = (np.concatenate(x) for x in zip(*pairs)) if pairs else ([], [])
         pair = [(min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for x, y in zip(i, j)]
@@ -319,14 +358,24 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
     hot = _hot_shingles(texts, size, classes, total / max(classes, 1))
     shared = _shared(texts, size, buckets, hot)
     ready = settled(map_groups(shared, ["bucket"], _prefixes(percent),
-                               "sig binary, n int, level int, prefix array<long>, base int, shared binary"), "prefixes")
-    posts = ready.select("sig", "n", "level", "base", "prefix", F.explode("prefix").alias("token"))
-    crowd = posts.groupBy("token").agg(F.count(F.lit(1)).alias("who")).filter("who > 1")
-    dealt = (posts.join(crowd, "token").withColumn("blocks", F.ceil(F.col("who") / BLOCK).cast("int"))
+                               "sig binary, n int, level int, prefix array<long>, base int, shared binary, "
+                               "single int, bits binary"), "prefixes")
+    # prefix shingles that several of the documents left have: ids alone meet first, then what is
+    # needed to compare moves once
+    slim = ready.select("sig", F.posexplode("prefix").alias("place", "token"))
+    crowd = slim.groupBy("token").agg(F.count(F.lit(1)).alias("who")).filter("who > 1")
+    useful = (slim.join(crowd, "token").groupBy("sig")
+              .agg(F.array_sort(F.collect_list(F.struct("place", "token", "who"))).alias("useful")))
+    needs = F.transform("useful", lambda u: F.greatest(u["place"] - F.col("base") + 1, F.lit(1)).cast("tinyint"))
+    posts = (useful.join(ready.select("sig", "n", "level", "base", "single", "bits"), "sig")
+             .select("sig", "n", "level", "single", "bits", F.transform("useful", lambda u: u["token"]).alias("words"),
+                     needs.alias("needs"), F.explode("useful").alias("u"))
+             .select("sig", "n", "level", "single", "bits", "words", "needs", "u.token", "u.who"))
+    dealt = (posts.withColumn("blocks", F.ceil(F.col("who") / BLOCK).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-                     "block", "sig", "n", "level", "base", "prefix"))
+                     "block", "sig", "n", "level", "single", "bits", "words", "needs"))
     pairs = map_groups(dealt, ["token", "one", "two"], _meet(percent), "a binary, b binary")
     side = lambda c: ready.select(F.col("sig").alias(c), F.col("n").alias(f"{c}_n"), F.col("shared").alias(f"{c}_shared"))
     full = settled(pairs, "pairs").join(side("a"), "a").join(side("b"), "b")
