@@ -85,10 +85,11 @@ def with_slots(written: DataFrame, *columns: Column | str) -> DataFrame:
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (written.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("_n"))
               .select("shard", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    return (written.select(*(columns or written.columns), *(
-                c for c in ("shard", "bucket", "place") if columns))
-            .join(settled(starts, "shard-starts"), ["shard", "bucket"])
-            .withColumn("slot", F.col("_start") + F.col("place")).drop("_start"))
+    places = ["shard", "bucket", "place"]
+    rest = [c for c in written.columns if c not in places]
+    kept = written.select(*(columns or rest), *places)
+    return (kept.join(settled(starts, "shard-starts"), ["shard", "bucket"])
+            .select(*kept.columns, (F.col("_start") + F.col("place")).alias("slot")))
 
 
 def shard_digest(docs: DataFrame, shards: int = 40, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
