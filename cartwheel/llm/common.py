@@ -61,6 +61,12 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     return settle(df, scratch_folder(df.sparkSession, f"llm-{purpose}"))
 
 
+def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
+    """A settled ``df`` with a broadcast hint if its counted rows stay within ``limit`` bytes;
+    beyond that Spark joins it by shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def text_bytes(text: str = "text"):
     """UTF-8 bytes of a text; none for null."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
