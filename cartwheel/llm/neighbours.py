@@ -50,6 +50,20 @@ def _lists(nodes: np.ndarray, counts: np.ndarray, scores: np.ndarray, ids: np.nd
     return {"node": pa.array(nodes.astype(np.int64)), "found": pa.ListArray.from_arrays(pa.array(ends), pairs)}
 
 
+_ASKED = "target long, queries array<long>, nodes array<long>"
+_ANSWER = "home long, queries array<long>, ids array<long>, scores array<double>"
+_STATE = "query long, vector array<double>, found array<struct<s:double,n:long>>, done array<long>"
+
+
+def _packed(target: np.ndarray, columns: dict[str, np.ndarray], name: str = "target") -> pa.Table:
+    """One row per target, its columns as lists."""
+    order = np.argsort(target, kind="stable")
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(target[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, int)
+    ends = pa.array(cuts.astype(np.int32))
+    return pa.table({name: pa.array(target[order][cuts[:-1]].astype(np.int64)),
+                     **{c: pa.ListArray.from_arrays(ends, pa.array(x[order])) for c, x in columns.items()}})
+
+
 def _cut(node: np.ndarray, s: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """The best distinct entries of every node, best first, ties to the smaller id."""
     other = node != n
@@ -154,15 +168,42 @@ def _asked(graph: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids")))
 
 
+def _wanted(rows: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
+    """Which block of nodes wants to meet which node, dealt over the blocks that hold them."""
+    for batch in rows:
+        ids = batch.column("ids")
+        block = np.repeat(batch.column("block").to_numpy(), ids.value_lengths().to_numpy(zero_copy_only=False))
+        pair = np.unique(np.stack([block, ids.flatten().to_numpy(zero_copy_only=False)]), axis=1)
+        if pair.shape[1]:
+            yield from _packed(pair[1] % blocks, {"queries": pair[0], "nodes": pair[1]}).to_batches()
+
+
+def _hand_out(keys, asked: pa.Table, held: pa.Table) -> pa.Table:
+    """The vectors of one block for every block that wants them, each once, with the worst score
+    in the list of its node."""
+    pair = np.unique(np.stack([_flat(asked, "queries"), _flat(asked, "nodes")]), axis=1)
+    nodes = held.column("node").to_numpy()
+    order = np.argsort(nodes)
+    nodes, worst = nodes[order], held.column("worst").to_numpy()[order]
+    x = _matrix(held.column("vector")).astype(np.float32)[order]
+    out: list[list] = [[], [], [], []]
+    for block in np.unique(pair[0]):
+        at = np.searchsorted(nodes, pair[1, pair[0] == block])
+        for column, value in zip(out, (int(block), nodes[at], worst[at], x[at].ravel())):
+            column.append(value)
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float32())]
+    return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], ["at", "nodes", "worst", "values"])
+
+
 def _introduce(keys, people: pa.Table, vectors: pa.Table, blocks: int) -> pa.Table:
     """In one block of nodes: all neighbours of a node meet. ``vectors`` holds each of them once,
     with the worst score in its list; only what beats it is passed on."""
     if not people.num_rows or not vectors.num_rows:
         return pa.table(_news(*(np.zeros(0, np.int64),) * 3, blocks))
-    nodes = vectors.column("node").to_numpy()
+    nodes = _flat(vectors, "nodes")
+    x = _flat(vectors, "values").reshape(len(nodes), -1)
     order = np.argsort(nodes)
-    nodes, worst = nodes[order], vectors.column("worst").to_numpy()[order]
-    x = _matrix(vectors.column("vector")).astype(np.float32)[order]
+    nodes, worst, x = nodes[order], _flat(vectors, "worst")[order], x[order]
     x = np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])   # one more for empty places
     wide = LIST + REVERSE
     ids = people.column("ids").to_pylist()
@@ -185,13 +226,13 @@ def _introduce(keys, people: pa.Table, vectors: pa.Table, blocks: int) -> pa.Tab
 
 
 def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
-    people = _asked(graph).withColumn("block", F.pmod("node", F.lit(blocks)))
-    people = settled(people, "asked")
-    wanted = people.select("block", F.explode("ids").alias("node")).distinct()
+    people = settled(_asked(graph).withColumn("block", F.pmod("node", F.lit(blocks))), "asked")
     worst = graph.select("node", F.when(F.size("found") < LIST, float("-inf")).otherwise(
         F.element_at("found", -1)["s"]).alias("worst"))
-    sent = (wanted.join(vectors.select("node", "vector").join(worst, "node"), "node")
-            .select(F.col("block").alias("at"), "node", "vector", "worst"))
+    held = vectors.select("node", "vector", F.pmod("node", F.lit(blocks)).alias("home")).join(worst, "node")
+    asked = map_batches(people.select("block", "ids"), lambda rows: _wanted(rows, blocks), _ASKED)
+    sent = (reachable(asked).groupBy("target").cogroup(held.groupBy("home"))
+            .applyInArrow(_hand_out, "at long, nodes array<long>, worst array<double>, values array<float>"))
     news = (reachable(people).groupBy("block").cogroup(sent.groupBy("at"))
             .applyInArrow(lambda keys, own, others: _introduce(keys, own, others, blocks), _NEWS))
     return _taken_in(graph, news, blocks)
@@ -211,20 +252,6 @@ def build_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
     return graph
 
 
-_ASKED = "target long, queries array<long>, nodes array<long>"
-_ANSWER = "home long, queries array<long>, ids array<long>, scores array<double>"
-_STATE = "query long, vector array<double>, found array<struct<s:double,n:long>>, done array<long>"
-
-
-def _packed(target: np.ndarray, columns: dict[str, np.ndarray], name: str = "target") -> pa.Table:
-    """One row per target, its columns as lists."""
-    order = np.argsort(target, kind="stable")
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(target[order])) + 1, [len(order)]]) if len(order) else np.zeros(1, int)
-    ends = pa.array(cuts.astype(np.int32))
-    return pa.table({name: pa.array(target[order][cuts[:-1]].astype(np.int64)),
-                     **{c: pa.ListArray.from_arrays(ends, pa.array(x[order])) for c, x in columns.items()}})
-
-
 def _next_nodes(rows: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     """The best nodes of each query that it has not expanded, dealt over the blocks that hold them."""
     for batch in rows:
