@@ -7,11 +7,11 @@ from cartwheel.schemas import GBP_TO_KRW, KRW_STEP
 
 def to_step(amount: Column, step: int = KRW_STEP) -> Column:
     """Nearest multiple of ``step``; a tie goes to the even multiple (``rint``)."""
-    return (F.rint(amount / step) * step).cast("int")
+    return (F.rint(amount / step) * step).cast("long")
 
 
 def gbp_to_krw(price: Column) -> Column:
-    return (F.rint(price * GBP_TO_KRW / KRW_STEP) * KRW_STEP).cast("int")
+    return (F.rint(price * GBP_TO_KRW / KRW_STEP) * KRW_STEP).cast("long")
 
 
 def ratio_or_zero(part: Column, whole: Column) -> Column:

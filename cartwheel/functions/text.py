@@ -1,21 +1,26 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 
 def contains_ci(column: Column, text: str | None) -> Column:
-    """Case-insensitive substring; ``%`` and ``_`` inside the text act as wildcards."""
+    """Case-insensitive substring; ``%`` and ``_`` inside the text act as wildcards, and a
+    backslash takes that from them. Before any other character a backslash means nothing."""
     if not text:
         return F.lit(True)
-    return column.ilike(f"%{text}%")
+    pattern = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], f"%{text}%", flags=re.DOTALL)
+    return column.ilike(pattern)
 
 
-_BLANKS = " \t\n\r\x0b\x0c"
+# white space by Unicode, and the four separators among the control characters
+_BLANK = r"[\s\p{Z}\x85\x1C-\x1F]+"
 
 
 def stripped(text: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.trim(text, F.lit(_BLANKS))
+    return F.regexp_replace(text, f"^{_BLANK}|{_BLANK}\\z", "")
 
 
 def normal_code(code: Column) -> Column:

@@ -39,7 +39,7 @@ def merge_lines(lines: DataFrame, owner: str = "user_id") -> DataFrame:
     extra = [F.min(c).alias(c) for c in lines.columns
              if c not in (owner, "product_id", "quantity", "added_at")]
     merged = lines.groupBy(owner, "product_id").agg(
-        F.sum("quantity").cast("int").alias("quantity"), F.min("added_at").alias("added_at"), *extra)
+        F.sum("quantity").alias("quantity"), F.min("added_at").alias("added_at"), *extra)
     return merged.select(*lines.columns)
 
 
@@ -142,9 +142,9 @@ def apply_stock(products: DataFrame, sold: DataFrame) -> DataFrame:
     units = sold.groupBy("product_id").agg(F.sum("quantity").alias("_units"))
     gone = F.coalesce("_units", F.lit(0))
     return (products.join(units, "product_id", "left")
-            .withColumn("stock", (F.col("stock") - gone).cast("int"))
+            .withColumn("stock", (F.col("stock") - gone).cast("long"))
             .withColumn("total_purchase_count",
-                        (F.coalesce("total_purchase_count", F.lit(0)) + gone).cast("int"))
+                        (F.coalesce("total_purchase_count", F.lit(0)) + gone).cast("long"))
             .select(*products.columns))
 
 

@@ -26,12 +26,12 @@ def build_products(cleaned: DataFrame) -> DataFrame:
     return counted.groupBy(F.col("stock_code").alias("product_id")).agg(
         F.min_by("description", votes).alias("description"),
         to_step(F.percentile("unit_price", 0.5, F.col("n"))).cast("double").alias("price"),
-        F.sum(priced).cast("int").alias("total_purchase_count"))
+        F.sum(priced).cast("long").alias("total_purchase_count"))
 
 
 def assign_stock(products: DataFrame, seed: int = SEED) -> DataFrame:
     """Stock in proportion to past lines, plus seeded noise of -3 to 9, never negative."""
-    base = F.greatest(F.col("total_purchase_count") * 0.3, F.lit(5.0)).cast("int")
+    base = F.greatest(F.col("total_purchase_count") * 0.3, F.lit(5.0)).cast("long")
     noise = whole([F.col("product_id")], "stock", -3, 10, seed)
     return products.withColumn("stock", F.greatest(base + noise, F.lit(0)))
 

@@ -105,19 +105,32 @@ def error_rate(samples: DataFrame, metric: str, span: str = "1 minute") -> DataF
         F.try_divide(F.lit(100.0) * failed, F.sum("rate")).alias("error_percent"))
 
 
-def gauge_by_label(samples: DataFrame, metric: str, label: str, span: str = "1 minute") -> DataFrame:
-    """Latest value of a gauge per window and label value."""
+def with_labels(samples: DataFrame, wanted: dict[str, str] | None) -> DataFrame:
+    """Only the series whose labels have the ``wanted`` values."""
+    for label, value in (wanted or {}).items():
+        samples = samples.filter(F.col("labels")[label] == value)
+    return samples
+
+
+def _latest(samples: DataFrame, metric: str, span: str) -> DataFrame:
+    """Last value of each series in each window; of equal times the largest value."""
     return (_windowed(samples.filter(F.col("metric") == metric), span)
-            .groupBy("window_start", F.col("labels")[label].alias(label))
-            .agg(F.max_by("value", "ts").alias("value")))
+            .groupBy("series_hash", "window_start", "series")
+            .agg(F.max_by("value", F.struct("ts", "value")).alias("value")))
+
+
+def gauge_by_label(samples: DataFrame, metric: str, label: str, span: str = "1 minute",
+                   where: dict[str, str] | None = None) -> DataFrame:
+    """Value of a gauge per window and label value: the latest of each series, summed."""
+    latest = _latest(with_labels(samples, where), metric, span)
+    return (latest.groupBy("window_start", F.map_from_entries("series")[label].alias(label))
+            .agg(F.sum("value").alias("value")))
 
 
 def lag_by_group(samples: DataFrame, metric: str = "kafka_consumergroup_lag",
                  span: str = "1 minute") -> DataFrame:
     """Messages behind, per consumer group and topic: latest of each partition, summed."""
-    latest = (_windowed(samples.filter(F.col("metric") == metric), span)
-              .groupBy("series_hash", "window_start", "series")
-              .agg(F.max_by("value", "ts").alias("value")))
+    latest = _latest(samples, metric, span)
     labels = F.map_from_entries("series")
     return (latest.groupBy("window_start", labels["consumergroup"].alias("consumergroup"),
                            labels["topic"].alias("topic"))

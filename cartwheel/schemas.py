@@ -39,14 +39,14 @@ INVOICE_LINES = _struct(
     "invoice_date STRING, unit_price DOUBLE, customer_id DOUBLE, country STRING")
 
 PRODUCTS = _struct(
-    "product_id STRING, description STRING, price DOUBLE, total_purchase_count INT, stock INT")
+    "product_id STRING, description STRING, price DOUBLE, total_purchase_count BIGINT, stock BIGINT")
 USERS = _struct(
     "user_id BIGINT, country STRING, first_purchase_at TIMESTAMP, last_purchase_at TIMESTAMP")
 TRANSACTIONS = _struct(
     "invoice_no STRING, user_id BIGINT, product_id STRING, quantity INT, price DOUBLE, "
     "timestamp TIMESTAMP")
 CART_ITEMS = _struct(
-    "id BIGINT, user_id BIGINT, product_id STRING, quantity INT, added_at TIMESTAMP")
+    "id BIGINT, user_id BIGINT, product_id STRING, quantity BIGINT, added_at TIMESTAMP")
 
 EVENT_WIRE = _struct(
     "user_id BIGINT, event_type STRING, product_id STRING, price DOUBLE, timestamp STRING")

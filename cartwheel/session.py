@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Spark broadcasts a side only when its measured size is under the threshold, and AQE
 # re-plans the join at run time from shuffle statistics.
 RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -20,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
+# The operators read and write instants in this zone, so it is not left to the caller.
+FIXED_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+
 # Keeps per-product stream state off the heap, so that the catalog may outgrow memory.
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -27,36 +28,36 @@ STREAM_SETTINGS = {
 }
 
 
-_local_roots: dict[str, str] = {}   # stand-ins for local sessions that name no shared folder
-
-
 def build_session(app: str = "cartwheel", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS, **settings}.items():
+    # checkpoints go when the frames that need them are gone
+    start = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for key, value in {**start, **RUNTIME_SETTINGS, **STREAM_SETTINGS, **settings, **FIXED_SETTINGS}.items():
         builder = builder.config(key, value)
     return apply_settings(builder.getOrCreate())
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Bring a session made elsewhere to the settings the operators assume (UTC, AQE, state)."""
-    for key, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS}.items():
+    """Give a session made elsewhere the settings it does not name itself; only UTC is imposed."""
+    for key, value in FIXED_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS}.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``; a local session
+    that names none uses its warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="cartwheel-")
-    return _local_roots[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -64,6 +65,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/cartwheel/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder on whatever store it is; a missing one is fine."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` out reliably, so that later branches all see the very same rows.
 

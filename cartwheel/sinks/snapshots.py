@@ -7,12 +7,14 @@ is committed, and readers take the newest folder that has it.
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cartwheel.schemas import empty_table
 
+KEEP_HOURS = 24.0
 _NAME = re.compile(r"^version=(\d+)-(.*)$")
 
 
@@ -36,11 +38,13 @@ def _versions(spark: SparkSession, base: str) -> list[tuple[int, str, str, bool]
     return sorted(found)
 
 
-def publish_snapshot(df: DataFrame, base: str, tag: str, keep: int = 3) -> bool:
+def publish_snapshot(df: DataFrame, base: str, tag: str, keep_hours: float = KEEP_HOURS) -> bool:
     """Publish ``df`` as the newest version of ``base``.
 
     ``tag`` names the publication (say run and batch id). A tag that was already published
-    is left alone, so a replayed batch changes nothing. Returns whether anything was written.
+    is left alone, so a replayed batch changes nothing. A version goes once a newer one has been
+    complete for ``keep_hours``, which must be longer than the longest reader runs; their number
+    does not matter. Returns whether anything was written.
     """
     spark = df.sparkSession
     known = _versions(spark, base)
@@ -51,12 +55,20 @@ def publish_snapshot(df: DataFrame, base: str, tag: str, keep: int = 3) -> bool:
     # one writer per base: what lies there incomplete was left by a failed attempt
     complete = [path for _, _, path, done in known if done]
     broken = [path for _, _, path, done in known if not done]
-    for path in broken + complete[:max(len(complete) - keep + 1, 0)]:
+    oldest = time.time() * 1000 - keep_hours * 3_600_000
+    replaced = [path for path, newer in zip(complete, complete[1:]) if _completed(spark, newer) < oldest]
+    for path in broken + replaced:
         fs, old = _hadoop(spark, path)
         fs.delete(old, True)
     return True
 
 
+def _completed(spark: SparkSession, path: str) -> int:
+    """When a version was committed, in milliseconds."""
+    fs, mark = _hadoop(spark, f"{path}/_SUCCESS")
+    return fs.getFileStatus(mark).getModificationTime()
+
+
 def read_snapshot(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
     """The last complete version; an empty frame before the first one."""
     done = [path for _, _, path, ok in _versions(spark, base) if ok]

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from cartwheel import schemas
-from cartwheel.session import shared_root
+from cartwheel.session import apply_settings, shared_root
 from cartwheel.sinks.files import write_csv
 from cartwheel.sinks.kafka import kafka_sink_options
 from cartwheel.sources import files, tables
@@ -72,14 +72,25 @@ def test_connector_options():
 
 
 def test_a_session_without_shared_folder():
-    """Local sessions get one folder of their own; a cluster must name one."""
+    """Local sessions use their warehouse; a cluster must name a folder."""
     def session(master):
-        context = SimpleNamespace(master=master, applicationId="app-1")
-        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, other: other))
-    assert shared_root(session("local[2]")) == shared_root(session("local[2]"))
+        conf = {"spark.sql.warehouse.dir": "file:/store/warehouse"}
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master),
+                               conf=SimpleNamespace(get=lambda key, other=None: conf.get(key, other)))
+    assert shared_root(session("local[2]")) == "file:/store/warehouse/_work"
     with pytest.raises(RuntimeError):
         shared_root(session("spark://master:7077"))
 
 
+def test_settings_of_the_caller_win(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    other.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    apply_settings(other)
+    assert other.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    assert other.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert other.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -102,7 +102,7 @@ def test_snapshots(spark, tmp_path):
         assert publish_snapshot(version(n), base, f"main-{n}")
     assert rows(read_snapshot(spark, base, PRODUCT_STATS)) == [("A", 4, 0, 0.0)]
     assert not publish_snapshot(version(99), base, "main-4")
-    assert len(os.listdir(base)) == 3   # older versions are gone
+    assert len(os.listdir(base)) == 5   # young versions stay, however many
 
     # a write that broke off: no _SUCCESS, so readers do not see it and the next one clears it
     os.makedirs(f"{base}/version={6:012d}-main-5")
@@ -120,6 +120,18 @@ def test_a_reader_keeps_its_version_while_the_next_is_published(spark, tmp_path)
     assert rows(reader) == [("A", 1, 0, 0.0)]
 
 
+def test_versions_go_by_age_not_by_number(spark, tmp_path):
+    base = str(tmp_path / "stats")
+    version = lambda n: spark.createDataFrame([("A", n, 0, 0.0)], PRODUCT_STATS)
+    publish_snapshot(version(0), base, "0")
+    reader = read_snapshot(spark, base, PRODUCT_STATS)
+    for n in range(1, 11):
+        publish_snapshot(version(n), base, str(n))
+    assert rows(reader) == [("A", 0, 0, 0.0)]      # ten publications later
+    publish_snapshot(version(11), base, "11", keep_hours=0.0)
+    assert sorted(int(d.split("-")[1]) for d in os.listdir(base)) == [10, 11]
+
+
 def test_replay_is_in_time_order(spark, tmp_path):
     log = spark.createDataFrame([(1, "view", "A", 1.0, at(f"2024-01-01 {h:02d}:00")) for h in range(24)],
                                 RAW_EVENTS).repartition(5)
