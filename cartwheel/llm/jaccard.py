@@ -19,6 +19,7 @@ prefix, is least. A pair is bound by the smaller ``l`` of the two.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,10 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from cartwheel.llm.common import batches, free_names, map_batches, map_groups, partitions_for, settled
 from cartwheel.llm.components import components
-from cartwheel.llm.shingles import shingle_sets, signature
+from cartwheel.llm.shingles import _BASE, shingle_sets, signature
 
 HOT = 1000            # a shingle is very frequent if one document in so many has it
-FLUSH = 1 << 21       # shingles that a task packs at a time, and about as many per bucket
+FLUSH = 1 << 20       # shingles that a task packs at a time, and about as many per bucket
 LEVELS = 4            # largest number of matches asked for
 VERIFY = 0.05         # cost of verifying a pair, per shingle, in posting look-ups
 BLOCK = 1024          # documents of one shingle that meet in one task
@@ -84,7 +85,7 @@ def _loads(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarr
                 continue
             sets[sig] = shingles
             held += len(shingles)
-            if held >= FLUSH:
+            if held >= FLUSH or len(sets) == 1 << 16:      # documents are numbered by 16 bits
                 yield load()
                 sets, held = {}, 0
     if sets:
@@ -107,89 +108,78 @@ def _hot_shingles(texts: DataFrame, size: int, classes: int, mean: float) -> np.
     return table[np.argsort(table[:, 0].view(np.uint64))] if len(table) else table
 
 
-_PACKED = "bucket int, hashes binary, sigs binary, sizes binary, counts binary"
+_DEALT = "bucket int, load long, hashes binary, owners binary, often binary, sigs binary, sizes binary"
+_NAMES = [part.split()[0] for part in _DEALT.split(", ")]
+_KINDS = [pa.int32(), pa.int64()] + [pa.binary()] * 5
 
 
-def _packed(bucket: np.ndarray, shingles: np.ndarray, owner: np.ndarray, sigs: np.ndarray,
-            sizes: np.ndarray, extra: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket: its shingles, and the run of each document among them."""
-    order = np.lexsort((owner, bucket))
-    bucket, shingles, owner = bucket[order], shingles[order], owner[order]
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-    out: list[tuple] = []
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        if low == high:
-            continue
-        own = owner[low:high]
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
-        who = own[starts]
-        counts = np.diff(np.concatenate([starts, [len(own)]])).astype(np.int32)
-        row = (int(bucket[low]), shingles[low:high].tobytes(), sigs[who].tobytes(), sizes[who].tobytes(), counts.tobytes())
-        out.append(row if extra is None else (*row, extra[order[low:high]].tobytes()))
-    if out:
-        names = ["bucket", "hashes", "sigs", "sizes", "counts", "often"][:len(out[0])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary())
-                                          for i, c in enumerate(zip(*out))], names)
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, _KINDS)], _NAMES)
 
 
-def _unpacked(group: pa.Table) -> tuple[np.ndarray, ...]:
-    """(shingles, owner, signatures, sizes) of the rows of one bucket, owners without repetition."""
-    join = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
-    sigs, counts = join("sigs", _SIG), join("counts", np.int32)
-    sigs, first, same = np.unique(sigs, return_index=True, return_inverse=True)
-    return join("hashes", np.uint64), np.repeat(same, counts), sigs, join("sizes", np.int32)[first]
+def _six(hashes: np.ndarray) -> bytes:
+    """48 bits of each hash; the bucket tells the rest of it apart."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def _home(sigs: np.ndarray, buckets: int) -> np.ndarray:
-    return (sigs.view(np.uint64).reshape(-1, 2)[:, 0] % np.uint64(buckets)).astype(np.int32)
+def _from_six(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
-def _shared(texts: DataFrame, size: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Shingles that several classes have, with their frequencies, dealt by document."""
-    spark = texts.sparkSession
-    known = spark.sparkContext.broadcast(hot)   # bounded, see _hot_shingles
+def _load_id(sigs: np.ndarray) -> int:
+    """From the content, so that a task that runs again names its loads the same."""
+    return int.from_bytes(hashlib.blake2b(sigs.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    def is_hot(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = known.value[:, 0].copy().view(np.uint64)
-        if not len(keys):
-            return np.zeros(len(shingles), bool), np.zeros(len(shingles), np.int64)
-        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
-        return keys[at] == shingles, known.value[at, 1]
 
-    def deal(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shingles, owner, sigs, sizes in _loads(batches(rows, 2000, 8 << 20), size):
-            rare = ~is_hot(shingles)[0]
-            shingles, owner = shingles[rare], owner[rare]
-            bucket = ((shingles >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
-            yield from _packed(bucket, shingles, owner, sigs, sizes)
+def _shared(texts: DataFrame, size: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Shingles that several documents have, with their frequencies: rows for each load. A row
+    with ``sigs`` names the documents of a load, the others refer to them by number. A shingle
+    takes eight bytes on its way to its bucket, however many buckets there are."""
+    known = texts.sparkSession.sparkContext.broadcast(hot)   # bounded, see _hot_shingles
 
-    def hot_of_documents(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = known.value[:, 0].copy().view(np.uint64)
         for shingles, owner, sigs, sizes in _loads(batches(rows, 2000, 8 << 20), size):
-            often, counts = is_hot(shingles)
-            owner = owner[often]
-            yield from _packed(_home(sigs, buckets)[owner], shingles[often], owner, sigs, sizes, counts[often])
+            load, owner = _load_id(sigs), owner.astype(np.uint16)
+            out = [(load % buckets, load, None, None, None, sigs.tobytes(), sizes.tobytes())]
+            if len(keys):     # the frequency of these is known: they go straight to their documents
+                at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+                often = keys[at] == shingles
+                counts = np.minimum(known.value[at[often], 1], (1 << 32) - 1).astype(np.uint32)
+                out.append((load % buckets, load, shingles[often].tobytes(), owner[often].tobytes(), counts.tobytes(), None, None))
+                shingles, owner = shingles[~often], owner[~often]
+            bucket = ((shingles >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(cuts)):
+                mine = order[cuts[b]:cuts[b + 1]]
+                out.append((int(b), load, _six(shingles[mine]), owner[mine].tobytes(), None, None, None))
+            yield from _table(out).to_batches()
 
     def count(group: pa.Table) -> pa.Table:
-        shingles, owner, sigs, sizes = _unpacked(group)
-        order = np.lexsort((owner, shingles))
-        shingles, owner = shingles[order], owner[order]
-        new = np.ones(len(shingles), bool)     # copies in several tasks come several times
-        new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
-        shingles, owner = shingles[new], owner[new]
-        _, inverse, often = np.unique(shingles, return_inverse=True, return_counts=True)
-        often = often[inverse]
-        several = often > 1
-        shingles, owner, often = shingles[several], owner[several], often[several]
-        rows = list(_packed(_home(sigs, buckets)[owner], shingles, owner, sigs, sizes, often.astype(np.int64)))
-        return pa.Table.from_batches(rows) if rows else _PACKED_EMPTY
-
-    wide = _PACKED + ", often binary"
-    shared = map_groups(map_batches(texts, deal, _PACKED), ["bucket"], count, wide)
-    return shared.unionByName(map_batches(texts, hot_of_documents, wide)) if len(hot) else shared
-
-
-_PACKED_EMPTY = pa.table({"bucket": pa.array([], pa.int32()), **{
-    c: pa.array([], pa.binary()) for c in ("hashes", "sigs", "sizes", "counts", "often")}})
+        columns = {c: group.column(c).to_pylist() for c in _NAMES}
+        rows = list(zip(*columns.values()))
+        out = [r for r in rows if r[5] is not None or r[4] is not None]
+        rows = [r for r in rows if r[5] is None and r[4] is None]
+        if rows:
+            hashes = [_from_six(r[2]) for r in rows]
+            whole = np.concatenate(hashes)
+            _, inverse, often = np.unique(whole, return_inverse=True, return_counts=True)
+            often = often[inverse]
+            ends = np.cumsum([0, *(len(h) for h in hashes)])
+            # the bucket stands above the 48 bits, so that a shingle keeps one name everywhere
+            name = np.uint64(rows[0][0] * _BASE & 0xFFFF << 48)
+            for r, low, high in zip(rows, ends[:-1], ends[1:]):
+                several = often[low:high] > 1
+                if several.any():
+                    out.append((r[0], r[1], (whole[low:high][several] | name).tobytes(),
+                                np.frombuffer(r[3], np.uint16)[several].tobytes(),
+                                often[low:high][several].astype(np.uint32).tobytes(), None, None))
+        return _table(out)
+
+    return map_groups(map_batches(texts, deal, _DEALT), ["bucket"], count, _DEALT)
 
 
 # -- 3: prefixes --------------------------------------------------------------------------------
@@ -210,13 +200,12 @@ def _prefixes(percent: int):
     kinds = [pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
 
     def choose(group: pa.Table) -> pa.Table:
-        shingles, owner, sigs, sizes = _unpacked(group)
-        often = np.frombuffer(b"".join(group.column("often").to_pylist()), np.int64)
+        rows = list(zip(*(group.column(c).to_pylist() for c in _NAMES)))
+        sigs, sizes = next((np.frombuffer(r[5], _SIG), np.frombuffer(r[6], np.int32)) for r in rows if r[5] is not None)
+        join = lambda i, kind: np.frombuffer(b"".join(r[i] for r in rows if r[2] is not None), kind)
+        shingles, owner, often = join(2, np.uint64), join(3, np.uint16).astype(np.int64), join(4, np.uint32).astype(np.int64)
         order = np.lexsort((shingles, often, owner))
         shingles, owner, often = shingles[order], owner[order], often[order]
-        new = np.ones(len(shingles), bool)
-        new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
-        shingles, owner, often = shingles[new], owner[new], often[new]
         cuts = np.searchsorted(owner, np.arange(len(sigs) + 1))
         out = []
         for i in np.flatnonzero(np.diff(cuts) >= least_overlap(sizes.astype(np.int64), percent)):
@@ -271,50 +260,86 @@ def _may_pass(i: np.ndarray, j: np.ndarray, n: np.ndarray, single: np.ndarray, b
 # -- 4: pairs -----------------------------------------------------------------------------------
 
 def _meet(percent: int):
-    """Candidate pairs of one shingle and two of its blocks."""
+    """Candidate pairs of a group: the shingles of a bucket, or two blocks of one shingle."""
     def meet(group: pa.Table) -> pa.Table:
-        token = group.column("token")[0].as_py()
-        block = group.column("block").to_numpy()
+        group = group.sort_by("token")
+        token, block = group.column("token").to_numpy(), group.column("block").to_numpy()
         one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
         n, level, single = (group.column(c).to_numpy().astype(np.int64) for c in ("n", "level", "single"))
-        bits = [np.frombuffer(b, np.uint64) for b in group.column("bits").to_pylist()]
-        lists = [np.array(p, np.int64) for p in group.column("words").to_pylist()]
-        words, places = np.unique(np.concatenate(lists), return_inverse=True)
-        lengths = np.array([len(p) for p in lists])
-        row = np.repeat(np.arange(len(lists)), lengths)
-        rank = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        # smallest level whose prefix has the place
-        needs = group.column("needs").combine_chunks().flatten().to_numpy().astype(np.int64)
-        at = np.flatnonzero(np.concatenate(lists) == token)
-        before = rank < rank[at][row]
-        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-        pairs = []
-        for low in range(0, len(left), 256):
-            some = left[low:low + 256]
-            fit = np.minimum(n[some][:, None], n[right]) * 100 >= percent * np.maximum(n[some][:, None], n[right])
-            asked = np.minimum(level[some][:, None], level[right])
-            for m in np.unique(asked[fit]):
-                inside = needs <= m
-                fits = fit & (asked == m) & (needs[at][some] <= m)[:, None] & (needs[at][right] <= m)
-                if not fits.any():
-                    continue
-                common = _overlaps(row[inside], places[inside], some, right, len(lists), len(words))
-                early = inside & before
-                first = _overlaps(row[early], places[early], some, right, len(lists), len(words)) == 0
-                i, j = np.nonzero(fits & first & (common >= m))
-                i, j = some[i], right[j]
-                if one == two:
-                    i, j = i[i < j], j[i < j]
-                good = _may_pass(i, j, n, single, bits, percent)
-                pairs.append((i[good], j[good]))
         sigs = group.column("sig").to_pylist()
-        i, j = (np.concatenate(x) for x in zip(*pairs)) if pairs else ([], [])
-        pair = [(min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for x, y in zip(i, j)]
+        bits = [np.frombuffer(b, np.uint64) for b in group.column("bits").to_pylist()]
+        words, needs = (_lists_of(group.column(c)) for c in ("words", "needs"))
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+        found = []
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            some = slice(low, high)
+            i, j = (_few if high - low <= 6 else _many)(
+                token[low], block[some], one, two, n[some], level[some], words[low:high], needs[low:high], percent)
+            if len(i):
+                good = _may_pass(i + low, j + low, n, single, bits, percent)
+                found += zip(i[good] + low, j[good] + low)
+        pair = [(min(sigs[x], sigs[y]), max(sigs[x], sigs[y])) for x, y in found]
         return pa.table([pa.array([p[k] for p in pair], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     return meet
 
 
+def _lists_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    column = column.combine_chunks()
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1]) if len(ends) else []
+
+
+def _few(token, block, one, two, n, level, words, needs, percent) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that have enough common words, ``token`` the first of them; for a handful of documents."""
+    places = [dict(zip(w.tolist(), range(len(w)))) for w in words]
+    left, right = [], []
+    for j in range(len(n)):
+        for i in range(j):
+            if min(n[i], n[j]) * 100 < percent * max(n[i], n[j]):
+                continue
+            if one != two and block[i] == block[j]:
+                continue
+            m = min(level[i], level[j])
+            common = [(places[i][w], w) for w in places[i].keys() & places[j].keys()
+                      if needs[i][places[i][w]] <= m and needs[j][places[j][w]] <= m]
+            if len(common) >= m and min(common)[1] == token:
+                left.append(i)
+                right.append(j)
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _many(token, block, one, two, n, level, lists, needs, percent) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many documents, by products of incidence matrices."""
+    flat, needs = np.concatenate(lists), np.concatenate(needs).astype(np.int64)
+    words, places = np.unique(flat, return_inverse=True)
+    lengths = np.array([len(p) for p in lists])
+    row = np.repeat(np.arange(len(lists)), lengths)
+    rank = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    at = np.flatnonzero(flat == token)
+    before = rank < rank[at][row]
+    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for low in range(0, len(left), 256):
+        some = left[low:low + 256]
+        fit = np.minimum(n[some][:, None], n[right]) * 100 >= percent * np.maximum(n[some][:, None], n[right])
+        asked = np.minimum(level[some][:, None], level[right])
+        for m in np.unique(asked[fit]):
+            inside = needs <= m
+            fits = fit & (asked == m) & (needs[at][some] <= m)[:, None] & (needs[at][right] <= m)
+            if not fits.any():
+                continue
+            common = _overlaps(row[inside], places[inside], some, right, len(lists), len(words))
+            early = inside & before
+            first = _overlaps(row[early], places[early], some, right, len(lists), len(words)) == 0
+            i, j = np.nonzero(fits & first & (common >= m))
+            i, j = some[i], right[j]
+            if one == two:
+                i, j = i[i < j], j[i < j]
+            pairs.append((i, j))
+    return tuple(np.concatenate(x) for x in zip(*pairs))
+
+
 def _overlaps(row: np.ndarray, word: np.ndarray, left: np.ndarray, right: np.ndarray, rows: int,
               words: int) -> np.ndarray:
     """Common words of each two rows, from the words that any two of them may share."""
@@ -335,33 +360,62 @@ def _overlaps(row: np.ndarray, word: np.ndarray, left: np.ndarray, right: np.nda
 
 
 def _verify(percent: int):
+    """Links among the pairs: of those of a task only a spanning forest (``n`` null) is passed on,
+    which connects the same classes, and how many other documents each class is linked to."""
     def verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[bytes, bytes] = {}
+        others: dict[bytes, int] = {}
+
+        def find(x: bytes) -> bytes:
+            up.setdefault(x, x)
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        def counts() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(others), pa.binary()), pa.nulls(len(others), pa.binary()),
+                                              pa.array(list(others.values()), pa.int64())], ["a", "b", "n"])
+            others.clear(), up.clear()
+            return out
+
         for batch in rows:
-            columns = {c: batch.column(c).to_pylist() for c in ("a_shared", "b_shared", "a_n", "b_n")}
-            good = []
-            for x, y, n, m in zip(*columns.values()):
+            names = ("a", "b", "a_shared", "b_shared", "a_n", "b_n", "a_members", "b_members")
+            edges = []
+            for a, b, x, y, n, m, p, q in zip(*(batch.column(c).to_pylist() for c in names)):
                 both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                good.append(100 * both >= percent * (n + m - both))
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in "ab"], ["a", "b"])
+                if 100 * both < percent * (n + m - both):
+                    continue
+                others[a], others[b] = others.get(a, 0) + q, others.get(b, 0) + p
+                if find(a) != find(b):
+                    up[find(a)] = find(b)
+                    edges.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.binary()), pa.array([e[1] for e in edges], pa.binary()),
+                                              pa.nulls(len(edges), pa.int64())], ["a", "b", "n"])
+            if len(others) > 1 << 18:
+                yield counts()
+        yield counts()
 
     return verify
 
 
 def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Linked classes: pairs of signatures (a < b), each once. ``rows`` has the signatures."""
-    stats = (rows.filter("sig is not null").groupBy("sig").agg(F.first("n_shingles").alias("n"))
-             .agg(F.count("n").alias("classes"), F.sum("n").alias("total")).first())
+    """Links among classes, as ``_verify`` passes them on. ``rows`` has the signatures."""
+    members = settled(rows.filter("sig is not null").groupBy("sig").agg(
+        F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("members")), "members")
+    stats = members.agg(F.count("n").alias("classes"), F.sum("n").alias("total")).first()
     classes, total = stats["classes"], stats["total"] or 0
     texts = docs.select("text")
     buckets = partitions_for(total, FLUSH, 1)
     hot = _hot_shingles(texts, size, classes, total / max(classes, 1))
     shared = _shared(texts, size, buckets, hot)
-    ready = settled(map_groups(shared, ["bucket"], _prefixes(percent),
+    # copies that were in several loads come several times, all alike
+    ready = settled(map_groups(shared, ["load"], _prefixes(percent),
                                "sig binary, n int, level int, prefix array<long>, base int, shared binary, "
-                               "single int, bits binary"), "prefixes")
+                               "single int, bits binary").dropDuplicates(["sig"]), "prefixes")
     # prefix shingles that several of the documents left have: ids alone meet first, then what is
     # needed to compare moves once
+    groups = partitions_for(ready.agg(F.sum(F.size("prefix"))).first()[0] or 1, 4000)
     slim = ready.select("sig", F.posexplode("prefix").alias("place", "token"))
     crowd = slim.groupBy("token").agg(F.count(F.lit(1)).alias("who")).filter("who > 1")
     useful = (slim.join(crowd, "token").groupBy("sig")
@@ -375,11 +429,15 @@ def links(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
              .withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-                     "block", "sig", "n", "level", "single", "bits", "words", "needs"))
-    pairs = map_groups(dealt, ["token", "one", "two"], _meet(percent), "a binary, b binary")
-    side = lambda c: ready.select(F.col("sig").alias(c), F.col("n").alias(f"{c}_n"), F.col("shared").alias(f"{c}_shared"))
+                     "block", "sig", "n", "level", "single", "bits", "words", "needs",
+                     # many small shingles share a task, a crowded one has groups of its own
+                     F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.pmod(F.xxhash64("token"), F.lit(groups))).alias("deal")))
+    pairs = map_groups(dealt, ["deal", "one", "two"], _meet(percent), "a binary, b binary")
+    full_sets = ready.select("sig", "n", "shared").join(members.select("sig", "members"), "sig")
+    side = lambda c: full_sets.select(F.col("sig").alias(c), F.col("n").alias(f"{c}_n"), F.col("shared").alias(f"{c}_shared"),
+                                      F.col("members").alias(f"{c}_members"))
     full = settled(pairs, "pairs").join(side("a"), "a").join(side("b"), "b")
-    return map_batches(full, _verify(percent), "a binary, b binary")
+    return map_batches(full, _verify(percent), "a binary, b binary, n long")
 
 
 def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -388,10 +446,8 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     rows = settled(with_signatures(docs, size), "signatures")
     found = settled(links(docs, rows, size, percent), "links")
     counted = rows.filter("sig is not null").groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
-    ends = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = (ends.join(counted.withColumnRenamed("sig", "b"), "b").groupBy(F.col("a").alias("sig"))
-              .agg(F.sum("members").alias("others")))
-    of_class = settled(counted.join(components(found).withColumnRenamed("node", "sig"), "sig", "left")
+    linked = found.filter("n is not null").groupBy(F.col("a").alias("sig")).agg(F.sum("n").alias("others"))
+    of_class = settled(counted.join(components(found.filter("n is null")).withColumnRenamed("node", "sig"), "sig", "left")
                        .join(linked, "sig", "left")
                        .select("sig", F.coalesce("root", "sig").alias("root"),
                                (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes")
