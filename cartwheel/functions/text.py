@@ -44,3 +44,25 @@ def container_name(raw: Column) -> Column:
 
 def matches_fully(column: Column, pattern: str) -> Column:
     return column.rlike(f"^(?:{pattern})$")
+
+
+_CODES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+_EMPTY = "\\e"
+
+
+def escaped(text: Column) -> Column:
+    """Line breaks and backslashes as two plain characters, so that a row stays on one line, and
+    two for the empty text, which some formats take for none."""
+    for plain, code in _CODES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return F.when(text == "", F.lit(_EMPTY)).otherwise(text)
+
+
+def unescaped(text: Column) -> Column:
+    """The opposite of ``escaped``. A pair of backslashes is set aside first, as a character that
+    no text has."""
+    aside = F.replace(text, F.lit("\\\\"), F.lit("\uffff"))
+    for plain, code in _CODES[1:]:
+        aside = F.replace(aside, F.lit(code), F.lit(plain))
+    return F.when(text == _EMPTY, "").otherwise(F.replace(aside, F.lit("\uffff"), F.lit("\\")))

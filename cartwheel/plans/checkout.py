@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.functions.times import Instant
 from cartwheel.operators import commerce as c
-from cartwheel.session import scratch_folder, settle
+from cartwheel.session import remove_folder, scratch_folder, settle
 
 
 @dataclass(frozen=True)
@@ -21,6 +21,17 @@ class Checkout:
     cart: DataFrame        # carts after the sale: refused and contested lines stay
     shortages: DataFrame   # lines that void their order
     contested: DataFrame   # orders that fit alone but not together; not decided here
+    work: str              # folder that the outputs read from
+
+    def close(self) -> None:
+        """Remove the work folder, when the outputs have been stored."""
+        remove_folder(self.events.sparkSession, self.work)
+
+    def __enter__(self) -> "Checkout":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
 
 def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "user_id",
@@ -30,8 +41,11 @@ def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "us
     An order stands or falls as a whole. Which of several contenders came first is not
     guessed: their lines are returned as ``contested``.
     """
-    work = work or scratch_folder(cart.sparkSession, "checkout")
-    lines = c.merge_lines(cart, owner)
+    spark = cart.sparkSession
+    work = work or scratch_folder(spark, "checkout")
+    # one time for all outputs, whenever they are computed
+    at = at if at is not None else spark.range(1).select(F.current_timestamp()).first()[0]
+    lines = settle(c.merge_lines(cart, owner), f"{work}/lines")
     admissible = settle(c.admissible_orders(lines, products, owner), f"{work}/admissible")
     uncontested, contested = c.split_contested(admissible, products, owner)
     sold = settle(uncontested, f"{work}/sold")
@@ -41,4 +55,4 @@ def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "us
         products=c.apply_stock(products, sold),
         cart=c.clear_carts(lines, sold, owner),
         shortages=c.stock_shortages(lines, products),
-        contested=contested)
+        contested=contested, work=work)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def append_raw(batch: DataFrame, batch_id: int, path: str, run: str) -> None:
@@ -14,6 +14,7 @@ def append_raw(batch: DataFrame, batch_id: int, path: str, run: str) -> None:
     rows = batch.select("user_id", "event_type", "product_id", "price",
                         F.col("event_time").alias("timestamp"))
     (rows.withColumn("event_date", F.to_date("timestamp"))
+         .repartition("event_date")     # one file per day and batch; AQE splits a large day
          .withColumn("run", F.lit(run))
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite")
@@ -38,3 +39,34 @@ def jdbc_write(df: DataFrame, options: dict[str, str], replace: bool = False) ->
         writer.option("truncate", "true").mode("overwrite").save()
     else:
         writer.mode("append").save()
+
+
+def compact_days(spark: SparkSession, path: str, before: str) -> None:
+    """Merge the batch files of all days before ``before`` into few files per day, next to the table.
+
+    A day that was merged is merged again from its batches, with the same result, so a run that
+    broke off is simply repeated. ``read_raw`` takes a merged day from there and never both.
+    Remove the batches of a merged day only when no reader of the old files is left.
+    """
+    days = (spark.read.parquet(path).filter(F.col("event_date") < F.lit(before).cast("date"))
+            .drop("run", "batch_id"))
+    (days.repartition("event_date", F.pmod(F.xxhash64("timestamp", "user_id"), F.lit(8)))
+         .sortWithinPartitions("event_date", "timestamp")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date").parquet(compacted(path)))
+
+
+def compacted(path: str) -> str:
+    return f"{path.rstrip('/')}_compacted"
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """``raw_events`` with merged days from their merged files; day filters prune folders of both."""
+    fresh = spark.read.parquet(path).drop("run", "batch_id")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(compacted(path))
+    if not hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+        return fresh
+    merged = spark.read.schema(fresh.schema).parquet(compacted(path))
+    # one row per day, told from the folder names
+    done = [r["event_date"] for r in merged.select("event_date").distinct().collect()]
+    return fresh.filter(~F.col("event_date").isin(done)).unionByName(merged)

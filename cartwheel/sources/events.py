@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from cartwheel.operators.events import validate_events
 from cartwheel.schemas import EVENT_WIRE, EVENT_WIRE_TEXT
 
 
@@ -41,3 +42,20 @@ def decode_events(df: DataFrame) -> DataFrame:
 def decode_events_as_text(df: DataFrame) -> DataFrame:
     """As ``decode_events`` but untyped, for validation that names the bad field."""
     return _decoded(df, EVENT_WIRE_TEXT)
+
+
+def decode_checked(df: DataFrame) -> DataFrame:
+    """``value`` bytes to typed event columns, ``event_time``, and ``reason`` and ``rejected_value``
+    where a message is no valid event; ``raw`` keeps its text as it came.
+
+    A field with a value that is not of its type is a reason, and so is a message that is no
+    JSON object; a field may be absent. The one decoder of the live jobs.
+    """
+    schema = StructType([*EVENT_WIRE_TEXT.fields, StructField("_broken", StringType())])
+    raw = F.col("value").cast("string")
+    parsed = (df.select(raw.alias("raw"), F.from_json(raw, schema, {
+        "columnNameOfCorruptRecord": "_broken"}).alias("e")).select("raw", "e.*"))
+    checked = validate_events(parsed)
+    broken = F.col("raw").isNull() | F.col("_broken").isNotNull()
+    return (checked.withColumn("reason", F.when(broken, "message unreadable").otherwise(F.col("reason")))
+            .withColumn("event_time", F.col("timestamp")).drop("_broken", "timestamp"))

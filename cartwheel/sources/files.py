@@ -2,33 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartwheel import schemas
+from cartwheel.functions.text import unescaped
 from cartwheel.operators.serving import time_ordered
 from cartwheel.session import scratch_folder, settle
+from cartwheel.sinks.files import LOSSLESS
 
 
-def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.read.schema(schema)
+def _csv(spark: SparkSession, path: str, schema, **options: str) -> DataFrame:
+    return (spark.read.schema(schema).options(**options)
             .option("header", True)
             .option("enforceSchema", False)   # a header in another order is an error
             .option("escape", '"')            # "" inside a quoted field, as spreadsheets write it
             .csv(path))
 
 
+def _number(text: Column, kind: str) -> Column:
+    """Text as a number, or null; a whole number may be written as 6.0."""
+    value = text.try_cast(kind)
+    if kind not in ("int", "bigint"):
+        return value
+    wide = text.try_cast("double")
+    return F.coalesce(value, F.when(wide == F.floor(wide), wide.try_cast(kind)))
+
+
+def check_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Invoice lines with ``reason``, null where every field is of its type, and ``raw``, the text
+    of a line that has too few or too many fields.
+
+    The file is read as text, so that a bad field is told from an absent one.
+    """
+    as_text = StructType([StructField(f.name, StringType()) for f in schemas.INVOICE_CSV])
+    lines = _csv(spark, path, StructType([*as_text.fields, StructField("_raw", StringType())]),
+                 columnNameOfCorruptRecord="_raw")
+    reason = F.when(F.col("_raw").isNotNull(), "line malformed")
+    columns = []
+    for field, name in zip(schemas.INVOICE_CSV, schemas.INVOICE_LINES.names):
+        text, kind = F.col(field.name), field.dataType.simpleString()
+        value = text if kind == "string" else _number(text, kind)
+        reason = F.coalesce(reason, F.when(text.isNotNull() & value.isNull(), f"{name} malformed"))
+        columns.append(value.alias(name))
+    return lines.select(*columns, reason.alias("reason"), F.col("_raw").alias("raw"))
+
+
 def read_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
-    raw = _csv(spark, path, schemas.INVOICE_CSV)
-    return raw.select(*[F.col(old).alias(new) for old, new
-                        in zip(schemas.INVOICE_CSV.names, schemas.INVOICE_LINES.names)])
+    """The lines that can be read; ``rejected_invoice_lines`` has the others."""
+    return check_invoice_lines(spark, path).filter("reason is null").drop("reason", "raw")
+
+
+def rejected_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
+    return check_invoice_lines(spark, path).filter("reason is not null")
+
+
+def read_products(spark: SparkSession, path: str, lossless: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.PRODUCTS, lossless)
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.PRODUCTS)
+def read_users(spark: SparkSession, path: str, lossless: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.USERS, lossless)
 
 
-def read_users(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.USERS)
+def read_csv(spark: SparkSession, path: str, schema: StructType, lossless: bool = False) -> DataFrame:
+    """CSV under a fixed schema; ``lossless`` undoes what ``write_csv`` did under that name."""
+    if not lossless:
+        return _csv(spark, path, schema)
+    frame = _csv(spark, path, schema, **LOSSLESS)
+    return frame.select(*[unescaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType)
+                          else F.col(f.name) for f in schema])
 
 
 def read_event_log(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:

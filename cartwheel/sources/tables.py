@@ -38,9 +38,28 @@ def read_jdbc_table(spark: SparkSession, options: dict[str, str],
     return spark.read.format("jdbc").options(**options, **(split or {})).load()
 
 
-def ensure_tables(spark: SparkSession, database: str = "default") -> list[str]:
-    """Create the result tables that are missing; existing ones are left alone."""
+#: How the live jobs and the daily plan lay out the folders they write.
+_LAYOUT = {"raw_events": ("event_date DATE, run STRING, batch_id BIGINT", "event_date, run, batch_id"),
+           "traffic_stats": ("run STRING, batch_id BIGINT", "run, batch_id")}
+
+
+def ensure_tables(spark: SparkSession, database: str = "default", root: str | None = None) -> list[str]:
+    """Create the result tables that are missing; existing ones are left alone.
+
+    With ``root`` (``StreamFolders.root``) the tables that sinks write as folders are registered
+    over those folders, with the partitions they have; call ``refresh_tables`` for later ones.
+    """
     made = []
+    if root:
+        for name, (parts, columns) in _LAYOUT.items():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/tables/{name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+            if not spark.catalog.tableExists(f"{database}.{name}"):
+                fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
+                spark.sql(f"CREATE TABLE {database}.{name} ({fields}, {parts}) USING parquet "
+                          f"PARTITIONED BY ({columns}) LOCATION '{root}/tables/{name}'")
+                made.append(name)
+        refresh_tables(spark, database)
     for name, schema in TABLES.items():
         if spark.catalog.tableExists(f"{database}.{name}"):
             continue
@@ -49,3 +68,10 @@ def ensure_tables(spark: SparkSession, database: str = "default") -> list[str]:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {layout}")
         made.append(name)
     return made
+
+
+def refresh_tables(spark: SparkSession, database: str = "default") -> None:
+    """Let the catalog see the partitions that were written since."""
+    for name in _LAYOUT:
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.catalog.recoverPartitions(f"{database}.{name}")

@@ -42,6 +42,16 @@ def _start(df: DataFrame, folders: StreamFolders, name: str, mode: str, write,
     return writer.start()
 
 
+def checked(events: DataFrame) -> DataFrame:
+    """The events with a ``reason`` where they are invalid, as every job sees them. Frames from
+    ``decode_checked`` are checked already."""
+    return events if "reason" in events.columns else validate_events(events)
+
+
+def valid_only(events: DataFrame) -> DataFrame:
+    return split_valid(checked(events))[0]
+
+
 def start_raw_events(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
     """Valid events to ``raw_events``; the others, with a reason, to ``rejected_events``.
 
@@ -50,35 +60,35 @@ def start_raw_events(events: DataFrame, folders: StreamFolders, once: bool = Fal
     of the logged batch: a replayed batch gets the same one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = validate_events(batch).persist()
+        batch = batch.persist()
         try:
-            valid, rejected = split_valid(checked)
+            valid, rejected = split_valid(batch)
             append_raw(valid, batch_id, folders.table("raw_events"), folders.run)
             write_batch(rejected, batch_id, folders.table("rejected_events"), folders.run)
         finally:
-            checked.unpersist()
+            batch.unpersist()
 
-    return _start(default_event_time(events, "event_time"), folders, "raw_events", "append",
+    return _start(default_event_time(checked(events), "event_time"), folders, "raw_events", "append",
                   write, once)
 
 
 def start_product_stats(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
-    """Running totals per product; each batch publishes the whole table as a snapshot.
+    """Running totals per product over valid events; each batch publishes the whole table as a snapshot.
 
     State has one row per product and lives in the state store.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         publish_snapshot(batch, folders.table("product_stats"), f"{folders.run}-{batch_id}")
 
-    return _start(product_stats(events), folders, "product_stats", "complete", write, once)
+    return _start(product_stats(valid_only(events)), folders, "product_stats", "complete", write, once)
 
 
 def start_traffic_stats(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
-    """Minute windows, each written once the watermark has passed its end."""
+    """Minute windows of valid events, each written once the watermark has passed its end."""
     def write(batch: DataFrame, batch_id: int) -> None:
         append_windows(batch, batch_id, folders.table("traffic_stats"), folders.run)
 
-    return _start(traffic_stats(events, watermark=WATERMARK), folders, "traffic_stats", "append",
+    return _start(traffic_stats(valid_only(events), watermark=WATERMARK), folders, "traffic_stats", "append",
                   write, once)
 
 

@@ -6,31 +6,28 @@ by a broker-side exporter is empty. The reports hold both ends.
 
 from __future__ import annotations
 
-import json
-from typing import Any
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.schemas import METRIC_SAMPLES
 
-
-def _offsets(value: Any) -> dict[str, dict[str, int]]:
-    return (json.loads(value) if isinstance(value, str) else value) or {}
-
-
-def lag_samples(spark: SparkSession, reports: list[dict[str, Any]]) -> DataFrame:
-    """Metric samples ``kafka_consumergroup_lag`` of ``StreamingQuery.recentProgress`` reports."""
-    rows = []
-    for report in reports:
-        for source in report["sources"]:
-            done, latest = _offsets(source.get("endOffset")), _offsets(source.get("latestOffset"))
-            for topic, parts in latest.items():
-                for part, offset in parts.items():
-                    labels = {"consumergroup": report.get("name") or report["id"],
-                              "topic": topic, "partition": part}
-                    behind = float(offset - done.get(topic, {}).get(part, 0))
-                    rows.append((report["timestamp"], "kafka_consumergroup_lag", labels, behind))
-    raw = spark.createDataFrame(
-        rows, "ts string, metric string, labels map<string,string>, value double")
-    return (raw.withColumn("ts", F.try_to_timestamp("ts"))
-            .select(*METRIC_SAMPLES.names))
+_OFFSETS = "map<string,map<string,bigint>>"
+
+
+def lag_samples(reports: DataFrame, column: str = "report") -> DataFrame:
+    """Metric samples ``kafka_consumergroup_lag`` of progress reports stored as JSON, one a row
+    (``StreamingQueryProgress.json``). A partition without an end offset counts from 0; a report
+    that cannot be read gives no sample."""
+    schema = "id string, name string, timestamp string, sources array<struct<endOffset:string,latestOffset:string>>"
+    report = reports.select(F.from_json(column, schema).alias("r")).select("r.*")
+    source = report.select(F.try_to_timestamp("timestamp").alias("ts"), F.coalesce("name", "id").alias("group"),
+                           F.explode("sources").alias("s"))
+    ends = source.select("ts", "group", F.from_json("s.endOffset", _OFFSETS).alias("done"),
+                         F.explode(F.from_json("s.latestOffset", _OFFSETS)).alias("topic", "latest"))
+    parts = ends.select("ts", "group", "topic", F.col("done")[F.col("topic")].alias("done"),
+                        F.explode("latest").alias("partition", "offset"))
+    behind = F.col("offset") - F.coalesce(F.col("done")[F.col("partition")], F.lit(0))
+    return parts.select(
+        "ts", F.lit("kafka_consumergroup_lag").alias("metric"),
+        F.create_map(F.lit("consumergroup"), "group", F.lit("topic"), "topic",
+                     F.lit("partition"), "partition").alias("labels"),
+        behind.cast("double").alias("value")).select(*METRIC_SAMPLES.names)

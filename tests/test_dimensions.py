@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import dimensions, quality
-from cartwheel.schemas import PRODUCTS, USERS
+from cartwheel.schemas import CART_ITEMS, PRODUCTS, USERS
 from conftest import at, rows
 
 CLEANED = ("invoice_no string, stock_code string, description string, quantity int, "
@@ -69,3 +69,13 @@ def test_constraints(spark):
         "stock below 0": 1, "description missing": 1, "price missing": 1, "product_id not unique": 2}
     fine = spark.createDataFrame([("A", "x", 1.0, 0, 0)], PRODUCTS)
     assert rows(quality.check_constraints(fine, "products")) == []
+
+
+def test_broken_rows_are_shown(spark):
+    cart = spark.createDataFrame([(1, 1, "A", 2, None), (2, 9, "A", None, None), (2, None, "Z", 1, None)], CART_ITEMS)
+    users = spark.createDataFrame([(1,)], "user_id long")
+    products = spark.createDataFrame([("A",)], "product_id string")
+    got = sorted((r.violation, r.id, r.product_id) for r in quality.broken_rows(
+        cart, "cart_items", {"users": users, "products": products}).collect())
+    assert got == [("id not unique", 2, "A"), ("id not unique", 2, "Z"), ("product_id unknown", 2, "Z"),
+                   ("quantity missing", 2, "A"), ("user_id missing", 2, "Z"), ("user_id unknown", 2, "A")]

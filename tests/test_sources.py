@@ -94,3 +94,21 @@ def test_settings_of_the_caller_win(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_bad_invoice_lines_are_told_from_good_ones(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                    "1,A,x,6.0,12/1/2010 8:26,2.55,17850.0,UK\n2,A,x,six,12/1/2010 8:26,2.55,17850,UK\n"
+                    "3,A,x,6,12/1/2010 8:26,2.55,abc,UK\n4,A,x\n5,A,x,6.5,12/1/2010 8:26,,,UK\n6,A,,,,,,\n")
+    assert [r[:7:3] for r in rows(files.read_invoice_lines(spark, str(path)))] == [("1", 6, 17850.0), ("6", None, None)]
+    got = {r.invoice_no: (r.reason, r.raw) for r in files.rejected_invoice_lines(spark, str(path)).collect()}
+    assert got == {"2": ("quantity malformed", None), "3": ("customer_id malformed", None),
+                   "4": ("line malformed", "4,A,x"), "5": ("quantity malformed", None)}
+
+
+def test_lossless_csv(spark, tmp_path):
+    texts = [None, "", " ", "a\nb", "a\\nb", "\\", "\\\\n", 'say "hi"', "\r\n", " padded ", "\\N", ",", "#"]
+    data = spark.createDataFrame([(str(i), t, 1.0, 1, 1) for i, t in enumerate(texts)], schemas.PRODUCTS)
+    write_csv(data, str(tmp_path / "p"), lossless=True)
+    assert rows(files.read_products(spark, str(tmp_path / "p"), lossless=True)) == rows(data)

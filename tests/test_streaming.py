@@ -6,9 +6,12 @@ import time
 
 from cartwheel.operators import metrics, telemetry
 from cartwheel.schemas import PRODUCT_STATS, RAW_EVENTS
-from cartwheel.sinks.batches import append_raw
+from cartwheel.operators.events import split_valid
+from cartwheel.plans.live import start_live
+from cartwheel.sinks.batches import append_raw, compact_days, read_raw
 from cartwheel.sinks.snapshots import publish_snapshot, read_snapshot
-from cartwheel.sources.events import decode_events, read_event_files
+from cartwheel.sources.events import decode_checked, decode_events, read_event_files
+from cartwheel.sources.tables import ensure_tables, refresh_tables
 from cartwheel.streaming import jobs, replay
 from cartwheel.streaming.progress import lag_samples
 from conftest import at, rows
@@ -32,6 +35,9 @@ class Topic:
         raw = read_event_files(spark, str(self.path), "value string", "text", files_per_trigger=1)
         return decode_events(raw)
 
+    def messages(self, spark):
+        return read_event_files(spark, str(self.path), "value string", "text", files_per_trigger=1)
+
 
 def event(when, kind="view", user=1, product="A", price=1.0):
     return {"user_id": user, "event_type": kind, "product_id": product, "price": price,
@@ -55,11 +61,12 @@ def test_late_events(spark, tmp_path):
 def test_three_jobs_equal_batch_and_survive_restart(spark, tmp_path):
     topic = Topic(tmp_path / "topic")
     topic.send(event("00:00:10"), event("00:00:11", "purchase", price=5.0), "{broken",
-               event("00:01:00", "click"), event("soon"))
+               event("00:01:00", "click"), event("soon"), event("00:01:30", user="abc"),
+               event("00:01:31", price="zzz"))
     folders = jobs.StreamFolders(str(tmp_path / "out"))
 
     def run():
-        queries = jobs.start_all(topic.stream(spark), folders, once=True)
+        queries = start_live(topic.messages(spark), folders, once=True)
         for q in queries:
             q.awaitTermination()
 
@@ -71,12 +78,51 @@ def test_three_jobs_equal_batch_and_survive_restart(spark, tmp_path):
     raw = spark.read.parquet(folders.table("raw_events"))
     assert sorted(r.event_type for r in raw.collect()) == ["login", "purchase", "purchase", "view"]
     assert raw.filter("timestamp is null").count() == 0
-    reasons = sorted(r.reason for r in spark.read.parquet(folders.table("rejected_events")).collect())
-    assert reasons == ["event_type missing", "event_type unknown", "timestamp malformed"]
+    rejected = spark.read.parquet(folders.table("rejected_events")).collect()
+    assert sorted(r.reason for r in rejected) == ["event_type unknown", "message unreadable", "price malformed",
+                                                  "timestamp malformed", "user_id malformed"]
+    assert [r.raw for r in rejected if r.reason == "message unreadable"] == ["{broken"]
+    assert {r.rejected_value for r in rejected} >= {"abc", "zzz", "2024-01-01Tsoon", "click"}
 
-    batch = decode_events(spark.read.text(str(tmp_path / "topic")))
+    batch = split_valid(decode_checked(spark.read.text(str(tmp_path / "topic"))))[0]
     stored = read_snapshot(spark, folders.table("product_stats"), PRODUCT_STATS)
-    assert rows(stored) == rows(metrics.product_stats(batch)) == [("A", 2, 1, 5.0), ("B", 0, 1, 7.0)]
+    assert rows(stored) == rows(metrics.product_stats(batch)) == [("A", 1, 1, 5.0), ("B", 0, 1, 7.0)]
+
+    topic.send(event("00:30:00"))
+    topic.send(event("00:31:00"))
+    run()
+    per_minute = {r.window_start: r.event_count for r in spark.read.parquet(folders.table("traffic_stats")).collect()}
+    raw = [r.timestamp.replace(second=0) for r in spark.read.parquet(folders.table("raw_events")).collect()]
+    assert per_minute and all(raw.count(minute) == n for minute, n in per_minute.items())
+    assert at("2024-01-01 00:01") not in per_minute     # it had invalid events only
+
+
+def test_days_are_compacted_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    day = lambda d, n: spark.createDataFrame([(i, "view", "A", 1.0, at(f"2024-01-0{d} 10:00")) for i in range(n)],
+                                             RAW_EVENTS).withColumnRenamed("timestamp", "event_time")
+    for batch_id in range(4):
+        append_raw(day(1, 3).unionByName(day(2, 2)), batch_id, path, "main")
+    before = rows(read_raw(spark, path))
+    for _ in range(2):
+        compact_days(spark, path, "2024-01-02")
+        assert rows(read_raw(spark, path)) == before and len(before) == 20
+    append_raw(day(2, 1), 4, path, "main")
+    assert read_raw(spark, path).count() == 21
+    files = [f for f in os.listdir(f"{path}_compacted/event_date=2024-01-01") if f.endswith(".parquet")]
+    assert len(files) <= 8 and os.listdir(f"{path}_compacted").count("event_date=2024-01-02") == 0
+
+
+def test_tables_show_what_the_sinks_wrote(spark, tmp_path):
+    folders = jobs.StreamFolders(str(tmp_path / "out"))
+    df = spark.createDataFrame([(1, "view", "A", 1.0, at("2024-01-01"))], RAW_EVENTS).withColumnRenamed("timestamp", "event_time")
+    append_raw(df, 0, folders.table("raw_events"), "main")
+    spark.sql("CREATE DATABASE IF NOT EXISTS live_shop")
+    assert {"raw_events", "traffic_stats"} <= set(ensure_tables(spark, "live_shop", folders.root))
+    assert spark.table("live_shop.raw_events").count() == 1
+    append_raw(df, 1, folders.table("raw_events"), "main")
+    refresh_tables(spark, "live_shop")
+    assert spark.table("live_shop.raw_events").filter("event_date = '2024-01-01'").count() == 2
 
 
 def test_a_batch_delivered_twice_is_stored_once(spark, tmp_path):
@@ -156,7 +202,7 @@ def test_replay_limit(spark, tmp_path):
 def test_lag_from_progress(spark):
     report = {"id": "q", "name": "raw", "timestamp": "2024-01-01T00:00:10.000Z", "sources": [
         {"endOffset": '{"clicks":{"0":90,"1":50}}', "latestOffset": '{"clicks":{"0":100,"1":55,"2":3}}'}]}
-    lag = lag_samples(spark, [report])
+    lag = lag_samples(spark.createDataFrame([(json.dumps(report),), ("{no",), (None,)], "report string"))
     assert rows(telemetry.lag_by_group(lag)) == [(at("2024-01-01 00:00"), "raw", "clicks", 18.0)]
 
 
