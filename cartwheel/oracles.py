@@ -105,6 +105,9 @@ _VIEWS = {
         SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(l_partkey AS VARCHAR) AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity, o_orderdate AS added_at
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "c": """
+        SELECT order_id AS id, CASE WHEN order_id % 5 <> 2 THEN user_id END AS user_id, product_id,
+               CASE WHEN order_id % 9 <> 4 THEN quantity END AS quantity FROM carts""",
     "merged": """
         SELECT order_id, min(user_id) AS user_id, product_id,
                CAST(sum(quantity) AS INTEGER) AS quantity, min(added_at) AS added_at
@@ -156,7 +159,7 @@ _READS = {
     "refunds": ["members"], "usual_description": ["cleaned"],
     "products_built": ["cleaned", "usual_description"], "users_built": ["cleaned"],
     "raw_events": ["shop_events"], "messages": ["shop_events"], "stats": ["raw_events"],
-    "traffic": ["raw_events"], "daily": ["raw_events"], "merged": ["carts"],
+    "traffic": ["raw_events"], "daily": ["raw_events"], "merged": ["carts"], "c": ["carts"],
     "shortages": ["merged", "shop_products"], "admissible": ["merged", "shortages"],
     "oversold": ["admissible", "shop_products"], "contested_orders": ["admissible", "oversold"],
     "sold": ["admissible", "contested_orders"], "steps": ["samples"], "ladder": ["buckets"],
@@ -580,20 +583,84 @@ ORACLES: dict[str, str] = {
         SELECT product_id, count(*) FILTER (WHERE event_type = 'view') AS view_count,
                count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
                round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
-        FROM shop_events WHERE product_id IS NOT NULL GROUP BY product_id""", "shop_events"),
+        FROM shop_events WHERE product_id IS NOT NULL AND event_type <> 'error'
+        GROUP BY product_id""", "shop_events"),
     "stream_traffic_windows": _sql("""
         SELECT * FROM (
             SELECT date_trunc('minute', event_time) AS window_start,
                    date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
                    count(*) AS event_count,
                    round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
-            FROM shop_events GROUP BY 1, 2) AS t
-        WHERE window_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE""",
+            FROM shop_events WHERE event_type <> 'error' GROUP BY 1, 2) AS t
+        WHERE window_end <= date_trunc('millisecond', (
+            SELECT max(event_time) FROM shop_events WHERE event_type <> 'error')) - INTERVAL 10 MINUTE""",
         "shop_events"),
     "stream_replay": _sql("""
         SELECT product_id, count(*) FILTER (WHERE event_type = 'view') AS view_count,
                count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
                round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
-        FROM shop_events WHERE product_id IS NOT NULL GROUP BY product_id""", "shop_events"),
+        FROM shop_events WHERE product_id IS NOT NULL AND event_type <> 'error'
+        GROUP BY product_id""", "shop_events"),
+    "live_jobs_agree": _sql("""
+        SELECT window_start, count(*) AS event_count, count(*) AS stored_events FROM (
+            SELECT date_trunc('minute', event_time) AS window_start FROM shop_events
+            WHERE event_type <> 'error') AS t
+        WHERE window_start + INTERVAL 1 MINUTE <= date_trunc('millisecond', (
+            SELECT max(event_time) FROM shop_events WHERE event_type <> 'error')) - INTERVAL 10 MINUTE
+        GROUP BY window_start""", "shop_events"),
+    "live_malformed_rejected": """
+        SELECT reason, count(*) AS messages, min(text) AS first_text, CAST(max(length(text)) AS INTEGER) AS longest FROM (
+            SELECT CASE WHEN event_id % 19 = 6 THEN left(whole, 12) ELSE whole END AS text,
+                   CASE WHEN event_id % 19 = 6 THEN 'message unreadable'
+                        WHEN event_type IN ('click', 'error') THEN 'event_type unknown'
+                        WHEN event_id % 13 = 4 THEN 'user_id malformed'
+                        WHEN event_id % 17 = 5 THEN 'price malformed' END AS reason
+            FROM (SELECT event_id, event_type, printf('{"user_id":%s,"event_type":"%s","price":%s}',
+                      CASE WHEN event_id % 13 = 4 THEN '"u17"' ELSE CAST(user_id AS VARCHAR) END, event_type,
+                      CASE WHEN event_id % 17 = 5 THEN '"cheap"' ELSE printf('%.2f', value) END) AS whole
+                  FROM events) AS m) AS r
+        WHERE reason IS NOT NULL GROUP BY reason""",
+    "invoice_csv_rejected": """
+        SELECT outcome, count(*) AS line_count, CAST(sum(units) AS BIGINT) AS units FROM (
+            SELECT CASE WHEN l_partkey % 7 = 3 THEN 'quantity malformed'
+                        WHEN l_partkey % 11 = 5 THEN 'customer_id malformed' ELSE 'read' END AS outcome,
+                   CASE WHEN l_partkey % 7 <> 3 THEN CAST(l_quantity AS INTEGER) END AS units
+            FROM lineitem) AS l GROUP BY outcome""",
+    "csv_texts_come_back": """
+        SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN '' WHEN doc_id % 50 <> 8 THEN text END AS text FROM documents""",
+    "product_search_backslash": _sql(
+        "SELECT * FROM shop_products WHERE lower(description) LIKE '%red%'", "shop_products"),
+    "gauge_of_one_database": """
+        SELECT window_start, state, round(sum(value), 6) AS value FROM (
+            SELECT date_trunc('hour', ts) AS window_start, event_type AS state, value,
+                   row_number() OVER (PARTITION BY date_trunc('hour', ts), event_type, event_id % 2
+                                      ORDER BY ts DESC, value DESC) AS place
+            FROM events WHERE user_id % 2 = 1) AS g
+        WHERE place = 1 GROUP BY window_start, state""",
+    "broken_cart_constraints": _sql("""
+        SELECT violation, count(*) AS row_count FROM (
+            SELECT 'user_id missing' AS violation FROM c WHERE user_id IS NULL
+            UNION ALL SELECT 'quantity missing' FROM c WHERE quantity IS NULL
+            UNION ALL SELECT 'user_id unknown' FROM c WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+            UNION ALL SELECT 'product_id unknown' FROM c WHERE product_id NOT IN (SELECT product_id FROM shop_products)
+            UNION ALL SELECT 'id not unique' FROM c WHERE id IN (SELECT id FROM c GROUP BY id HAVING count(*) > 1)) AS v
+        GROUP BY violation""", "c", "shop_products"),
+    "raw_events_compacted": _sql("""
+        SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS event_count, round(sum(price), 2) AS price_sum
+        FROM raw_events GROUP BY 1""", "raw_events"),
+    "tables_ensured": _sql("""
+        SELECT * FROM raw_events WHERE CAST("timestamp" AS DATE) = DATE '2024-01-15'""", "raw_events"),
+    "draws_follow_weights": """
+        SELECT DISTINCT 'part' AS drawn, CAST(CASE WHEN p_partkey % 10 = 0 THEN 50 ELSE 1 END AS BIGINT) AS class,
+               true AS plausible FROM part
+        UNION ALL SELECT DISTINCT 'user', c_custkey % 4, true FROM customer""",
+    "lag_from_reports": """
+        SELECT window_start, consumergroup, 'clicks' AS topic, sum(value) AS lag FROM (
+            SELECT date_trunc('hour', ts) AS window_start, event_type AS consumergroup,
+                   CAST(event_id % 50 AS DOUBLE) AS value,
+                   row_number() OVER (PARTITION BY date_trunc('hour', ts), event_type, user_id % 3
+                                      ORDER BY date_trunc('millisecond', ts) DESC, event_id % 50 DESC) AS place
+            FROM events) AS g
+        WHERE place = 1 GROUP BY window_start, consumergroup""",
     "snapshot_published": _sql("SELECT * FROM shop_products", "shop_products"),
 }

@@ -17,14 +17,16 @@ from cartwheel.operators import (cleaning, commerce, dimensions, events as ev, m
 from cartwheel.plans import checkout as checkout_plan, daily as daily_plan, preparation
 from cartwheel.session import apply_settings, cut_lineage, scratch_folder
 from cartwheel.sinks.files import write_csv
+from cartwheel.sinks.batches import append_raw, compact_days, read_raw
 from cartwheel.sinks.kafka import to_messages
 from cartwheel.sinks.snapshots import publish_snapshot, read_snapshot
 from cartwheel.sources import warehouse as w
-from cartwheel.sources.events import decode_events, decode_events_as_text
-from cartwheel.sources.files import (read_event_log, read_invoice_lines, read_products,
-                                     sample_lines)
-from cartwheel.sources.tables import query_table
+from cartwheel.sources.events import decode_checked, decode_events, decode_events_as_text
+from cartwheel.sources.files import (read_csv, read_event_log, read_invoice_lines, read_products,
+                                     rejected_invoice_lines, sample_lines)
+from cartwheel.sources.tables import ensure_tables, query_table
 from cartwheel.streaming import jobs, replay
+from cartwheel.streaming.progress import lag_samples
 
 AS_OF = "2024-01-30 23:57:12"
 REPORT_DAY = "2024-01-15"
@@ -791,3 +793,153 @@ def snapshot_published(spark, folder):
     publish_snapshot(products, base, "second")
     publish_snapshot(products.withColumn("stock", F.lit(-1)), base, "second")
     return read_snapshot(spark, base, schemas.PRODUCTS)
+
+
+def _messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as messages, some of them damaged by a rule on their number."""
+    user = F.when(F.col("event_id") % 13 == 4, F.lit('"u17"')).otherwise(F.col("user_id").cast("string"))
+    price = F.when(F.col("event_id") % 17 == 5, F.lit('"cheap"')).otherwise(F.format_string("%.2f", "value"))
+    text = F.format_string('{"user_id":%s,"event_type":"%s","price":%s}', user, "event_type", price)
+    return w.table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 19 == 6, F.left(text, F.lit(12))).otherwise(text).alias("value"))
+
+
+@query
+def live_malformed_rejected(spark, folder):
+    """What the live decoder rejects, why, and the text as it came."""
+    return (decode_checked(_messages(spark, folder)).filter("reason is not null")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("messages"), F.min("raw").alias("first_text"),
+                                   F.max(F.length("raw")).alias("longest")))
+
+
+@query
+def live_jobs_agree(spark, folder):
+    """Closed minutes: events stored by the raw job against events counted by the traffic job, both
+    started together over one stream."""
+    folders = jobs.StreamFolders(scratch_folder(spark, "stream"))
+    for started in jobs.start_all(w.shop_event_stream(spark, folder), folders, once=True):
+        started.awaitTermination()
+    stored = (spark.read.parquet(folders.table("raw_events"))
+              .groupBy(F.date_trunc("minute", "timestamp").alias("window_start"))
+              .agg(F.count(F.lit(1)).alias("stored_events")))
+    counted = spark.read.parquet(folders.table("traffic_stats")).select("window_start", "event_count")
+    return counted.join(stored, "window_start", "left")
+
+
+@query
+def invoice_csv_rejected(spark, folder):
+    """Lines of which some are damaged by a rule on their number: how many are rejected, and why."""
+    path = scratch_folder(spark, "invoice-csv")
+    lines = w.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("InvoiceNo"), F.col("l_partkey").cast("string").alias("StockCode"),
+        F.lit("x").alias("Description"),
+        F.when(F.col("l_partkey") % 7 == 3, "six").otherwise(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".0"))).alias("Quantity"),
+        F.lit("12/1/2010 8:26").alias("InvoiceDate"), F.lit("2.5").alias("UnitPrice"),
+        F.when(F.col("l_partkey") % 11 == 5, "abc").otherwise(F.col("l_suppkey").cast("string")).alias("CustomerID"),
+        F.lit("UK").alias("Country"))
+    write_csv(lines, path)
+    good = read_invoice_lines(spark, path).agg(
+        F.lit("read").alias("outcome"), F.count(F.lit(1)).alias("line_count"), F.sum("quantity").alias("units"))
+    bad = rejected_invoice_lines(spark, path).groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("quantity").alias("units"))
+    return good.unionByName(bad)
+
+
+@query
+def csv_texts_come_back(spark, folder):
+    """Texts with line breaks, written and read without loss."""
+    path = scratch_folder(spark, "texts-csv")
+    docs = w.table(spark, folder, "documents").select("doc_id", F.when(F.col("doc_id") % 50 == 7, "").when(
+        F.col("doc_id") % 50 != 8, F.col("text")).alias("text"))
+    write_csv(docs, path, lossless=True)
+    return read_csv(spark, path, docs.schema, lossless=True)
+
+
+@query
+def product_search_backslash(spark, folder):
+    return serving.search_products(w.shop_products(spark, folder), "r\\e\\d")
+
+
+@query
+def gauge_of_one_database(spark, folder):
+    """Two series per state and database: the latest of each, summed, for one database."""
+    events = w.table(spark, folder, "events")
+    gauge = events.select(
+        F.col("ts").cast("timestamp").alias("ts"), F.lit("connections").alias("metric"),
+        F.create_map(F.lit("state"), F.col("event_type"), F.lit("datname"), F.concat(F.lit("db"), (F.col("user_id") % 2).cast("string")),
+                     F.lit("host"), F.concat(F.lit("h"), (F.col("event_id") % 2).cast("string"))).alias("labels"), "value")
+    return _round(telemetry.gauge_by_label(gauge, "connections", "state", "1 hour", {"datname": "db1"}), "value", digits=6)
+
+
+@query
+def broken_cart_constraints(spark, folder):
+    """Cart lines that break a rule of their table, counted by rule."""
+    cart = w.carts(spark, folder).select(
+        F.col("order_id").alias("id"), F.when(F.col("order_id") % 5 != 2, F.col("user_id")).alias("user_id"), "product_id",
+        F.when(F.col("order_id") % 9 != 4, F.col("quantity")).alias("quantity"), "added_at")
+    broken = quality.broken_rows(cart, "cart_items", {"users": w.shop_users(spark, folder), "products": w.shop_products(spark, folder)})
+    return broken.groupBy("violation").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _stored_days(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "raw") + "/tables/raw_events"
+    valid = _valid_events(spark, folder)
+    for batch_id in range(2):
+        append_raw(valid.filter(F.pmod(F.xxhash64("event_time"), F.lit(2)) == batch_id), batch_id, path, "main")
+    return path
+
+
+@query
+def raw_events_compacted(spark, folder):
+    path = _stored_days(spark, folder)
+    compact_days(spark, path, REPORT_DAY)
+    return read_raw(spark, path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("event_count"), F.round(F.sum("price"), 2).alias("price_sum"))
+
+
+@query
+def tables_ensured(spark, folder):
+    """One day of the catalog table that lies over the folders of the raw job."""
+    root = _stored_days(spark, folder).removesuffix("/tables/raw_events")
+    database = "ensured_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_tables(spark, database, root)
+    return spark.table(f"{database}.raw_events").filter(F.col("event_date") == REPORT_DAY).select(
+        "user_id", "event_type", "product_id", "price", "timestamp")
+
+
+@query
+def lag_from_reports(spark, folder):
+    """Progress reports stored as JSON, one per event, to lag per group and topic."""
+    offsets = lambda n: F.to_json(F.create_map(F.lit("clicks"), F.create_map((F.col("user_id") % 3).cast("string"), n)))
+    done = F.col("event_id") * 2
+    report = F.to_json(F.struct(
+        F.lit("q").alias("id"), F.col("event_type").alias("name"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.array(F.struct(offsets(done).alias("endOffset"), offsets(done + F.col("event_id") % 50).alias("latestOffset"))).alias("sources")))
+    reports = w.table(spark, folder, "events").select(report.alias("report"))
+    return telemetry.lag_by_group(lag_samples(reports), span="1 hour")
+
+
+@query
+def draws_follow_weights(spark, folder):
+    """One part in ten weighs fifty times as much: draws by weight class stay within six standard
+    deviations of their share, and so do draws of users, who all weigh the same."""
+    events = w.table(spark, folder, "events")
+    slots = events.select(F.col("event_id").alias("slot"))
+    parts = w.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 10 == 0, 50).otherwise(1).alias("weight"))
+    people = w.table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.lit(1).alias("weight"))
+    checked = None
+    for kind, items, name in (("part", parts, "product"), ("user", people, "user")):
+        drawn = synthesis.weighted_pick(slots, ["slot"], items, "id", F.col("weight"), name)
+        group = F.when(F.lit(kind) == "part", F.col("weight")).otherwise(F.col("id") % 4).alias("class")
+        share = items.groupBy(group).agg(F.sum("weight").alias("w"))
+        whole, n = items.agg(F.sum("weight")).scalar(), slots.agg(F.count(F.lit(1))).scalar()
+        got = (share.join(drawn.groupBy(group).agg(F.count(F.lit(1)).alias("draws")), "class", "left")
+               .withColumn("n", n).withColumn("p", F.col("w") / whole))
+        spread = 6 * F.sqrt(F.col("n") * F.col("p") * (1 - F.col("p"))) + 1
+        near = F.abs(F.coalesce("draws", F.lit(0)) - F.col("n") * F.col("p")) <= spread
+        one = got.select(F.lit(kind).alias("drawn"), F.col("class").cast("long").alias("class"), near.alias("plausible"))
+        checked = one if checked is None else checked.unionByName(one)
+    return checked
