@@ -3,7 +3,7 @@
 A window without a partition key, or with one hot key, would put all its rows into one
 task. Here the rows are range-partitioned by the order instead; each segment is handled on
 its own, and what crosses from one segment to the next is a table of one row per segment
-and key. The placement is written out once (``cut_lineage``), as both branches read it.
+and key. The placement is written out once, as both branches read it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cartwheel.session import cut_lineage
+from cartwheel.session import scratch_folder, settle
+
+SEGMENT_ROWS = 4_000_000   # rows in a segment, about; more rows make more segments
 
 
 def ordered_segments(df: DataFrame, order: Sequence[str], segments: int | None = None) -> DataFrame:
@@ -20,9 +22,13 @@ def ordered_segments(df: DataFrame, order: Sequence[str], segments: int | None =
 
     Rows equal in ``order`` share a segment, so make the order unique where copies abound.
     """
-    count = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartitionByRange(count, *order)
-                         .withColumn("segment", F.spark_partition_id()))
+    spark = df.sparkSession
+    # the bounds of the ranges come from a sample, so the input is read twice: it is settled first
+    known = settle(df, scratch_folder(spark, "unordered"))
+    count = segments or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                            -(-known.count() // SEGMENT_ROWS))
+    return settle(known.repartitionByRange(count, *order).withColumn("segment", F.spark_partition_id()),
+                  scratch_folder(spark, "ordered"))
 
 
 def running_total(df: DataFrame, order: Sequence[str], value: str, upto: str,
