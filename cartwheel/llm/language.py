@@ -25,7 +25,9 @@ from cartwheel.llm.common import free_names, map_batches
 
 SAMPLE = 300          # training texts per language
 LANDMARKS = 40        # of these, per language
-LANGUAGES = 200       # most frequent labels that can be learned
+LANGUAGES = 100       # most frequent labels that can be learned
+ALL_SAMPLE = 2400     # training texts and landmarks of all languages together: with very many
+ALL_LANDMARKS = 400   # languages each of them gets fewer, so the fit stays small
 SAMPLE_CHARS = 20_000  # longer texts are not taken into the sample
 RIDGE = 1e-2
 SHARPNESS = 8.0       # of the score as a function of the margin
@@ -77,13 +79,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, t
     """Learn from rows with a text with letters and a label; None if there are none.
 
     The labels are counted over all rows; then each label keeps about ``sample`` rows by a hash of
-    the text, so that the driver sees at most languages x sample texts of bounded length.
+    the text, so that the driver sees about ``ALL_SAMPLE`` texts of bounded length at most.
     """
     usable = labelled.filter(F.col(lang).isNotNull() & F.rlike(text, F.lit(r"\p{L}"))
                              & (F.length(text) <= SAMPLE_CHARS))
     counts = (usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect())
     if not counts:
         return None
+    sample = max(2, min(sample, ALL_SAMPLE // len(counts)))
+    landmarks = max(2, min(landmarks, ALL_LANDMARKS // len(counts)))
     share = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], min(1.0, 1.3 * sample / r["count"]))])
     draw = F.pmod(F.xxhash64(text, F.lit(11)), F.lit(1_000_003)) / 1_000_003
     picked = (usable.filter(draw < F.element_at(share, F.col(lang)))
