@@ -132,6 +132,43 @@ def test_edit_distances():
     assert [min(3, distance(a, b)) for a, b in pairs] == list(line_dedup.edit_distances(pairs, 2))
 
 
+def test_long_lines_may_differ_by_more(spark):
+    """Five edits in a hundred characters, in one word or dealt over the line, whatever its length."""
+    rng = random.Random(12)
+    rows, gone = [], set()
+    for i, size in enumerate((41, 59, 60, 79, 99, 100, 138, 160, 333, 542, 799, 1300, 4000)):
+        line = words(rng, 1000)[:size - 1] + "."
+        most = int(line_dedup.allowed(np.array(size)))
+        assert most == size // 20
+        at = size // 3
+        dealt = list(line)
+        for j in range(most):
+            dealt[j * 20 + 7] = "Z"
+        grown = list(line)
+        for j in range(most):
+            grown.insert(j * 21, "Z")
+        near = [line[:at] + "Q" * most + line[at + most:], "".join(dealt), "".join(grown), "Y" * most + line]
+        far = list(line)
+        for j in range(most + 1):
+            far[j * 19 + 1] = chr(0x410 + j % 30)
+        rows += [(100 * i, line), *((100 * i + 1 + j, x) for j, x in enumerate(near)), (100 * i + 50, "".join(far))]
+        gone |= {100 * i + 1 + j for j in range(len(near))}
+        assert distance(line, near[0]) <= most and (size > 400 or distance(line, rows[-1][1]) == most + 1)
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r.doc_id for r in got.filter("n_removed > 0").collect()} == gone
+
+
+@pytest.mark.parametrize("most", [3, 9, 40])
+def test_edit_distances_of_wide_bands(most):
+    rng = random.Random(most)
+    pairs = []
+    for _ in range(150):
+        a = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 90)))
+        share = rng.random() * 0.5
+        pairs.append((a, "".join(rng.choice("abcd") if rng.random() < share else c for c in a if rng.random() > share / 2)))
+    assert [min(most + 1, distance(a, b)) for a, b in pairs] == list(line_dedup.edit_distances(pairs, most))
+
+
 def test_empty_lines_table(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string, n_lines int")).columns == [
         "doc_id", "text", "n_lines_in", "n_lines", "n_removed"]
