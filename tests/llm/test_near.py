@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from cartwheel.llm import components, jaccard, line_dedup, near_vectors, neighbours
 from tests.llm.helpers import DOCS, Groups, corpus, distance, shingles, words
 
@@ -169,6 +170,16 @@ def test_edit_distances_of_wide_bands(most):
     assert [min(most + 1, distance(a, b)) for a, b in pairs] == list(line_dedup.edit_distances(pairs, most))
 
 
+def test_short_lines_go_if_equal_and_copies_with_blank_lines_go_whole(spark):
+    rng = random.Random(5)
+    long = words(rng, 12)
+    rows = [(1, f"{long}\n\n}}\nshort\n"), (2, f"{long}\n\n}}\nshort\n"), (3, "shore\n \u3000\n}\n}"), (4, "\n"), (5, None), (6, "short")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\n", 3), 3: ("shore\n \u3000", 2), 4: ("\n", 0), 5: (None, 0), 6: ("", 1)}
+    assert {r.doc_id for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()} == {1, 3, 4, 5}
+
+
 def test_empty_lines_table(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string, n_lines int")).columns == [
         "doc_id", "text", "n_lines_in", "n_lines", "n_removed"]
