@@ -12,13 +12,14 @@ them. Every text is scored, and whole.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cartwheel.llm.common import free_names, map_batches
@@ -28,7 +29,7 @@ LANDMARKS = 40        # of these, per language
 LANGUAGES = 100       # most frequent labels that can be learned
 ALL_SAMPLE = 2400     # training texts and landmarks of all languages together: with very many
 ALL_LANDMARKS = 400   # languages each of them gets fewer, so the fit stays small
-SAMPLE_CHARS = 20_000  # longer texts are not taken into the sample
+SAMPLE_CHARS = 20_000  # of a longer text the sample takes a window
 RIDGE = 1e-2
 SHARPNESS = 8.0       # of the score as a function of the margin
 SIZES = (1, 2, 3, 4)
@@ -74,30 +75,61 @@ def training_rows(docs: DataFrame) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
 
 
+def _window(text: Column, draw: Column) -> Column:
+    """A text of the sample: whole, or some ``SAMPLE_CHARS`` of a longer one with a letter in them."""
+    some = F.substring(text, (F.pmod(draw, F.length(text) - SAMPLE_CHARS + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    lettered = F.regexp_substr(text, F.lit(rf"\p{{L}}[\s\S]{{0,{SAMPLE_CHARS - 1}}}"))
+    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(
+        F.when(F.rlike(some, F.lit(r"\p{L}")), some).otherwise(lettered))
+
+
+def _once(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text of a label once in a task, told apart by its hashes."""
+    seen: set[tuple] = set()
+    for batch in rows:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "draw", "other"))))
+        new = []
+        for i, key in enumerate(keys):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        if new:
+            yield batch.take(pa.array(new))
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, text: str = "text",
         lang: str = "lang") -> Model | None:
     """Learn from rows with a text with letters and a label; None if there are none.
 
-    The labels are counted over all rows; then each label keeps about ``sample`` rows by a hash of
-    the text, so that the driver sees about ``ALL_SAMPLE`` texts of bounded length at most.
+    The distinct texts of each label are counted; then each label keeps the ``sample`` of them with
+    the smallest hashes, however often each is repeated, so that the driver sees about
+    ``ALL_SAMPLE`` texts of bounded length at most.
     """
-    usable = labelled.filter(F.col(lang).isNotNull() & F.rlike(text, F.lit(r"\p{L}"))
-                             & (F.length(text) <= SAMPLE_CHARS))
-    counts = (usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect())
+    usable = (labelled.filter(F.col(lang).isNotNull() & F.rlike(text, F.lit(r"\p{L}")))
+              .select(F.col(lang).alias("lang"), F.xxhash64(text, F.lit(11)).alias("draw"),
+                      F.xxhash64(F.lit(5), text).alias("other"), F.col(text).alias("text")))
+    counts = (usable.groupBy("lang", "draw", "other").agg(F.lit(1)).groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
     if not counts:
         return None
     sample = max(2, min(sample, ALL_SAMPLE // len(counts)))
     landmarks = max(2, min(landmarks, ALL_LANDMARKS // len(counts)))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], min(1.0, 1.3 * sample / r["count"]))])
-    draw = F.pmod(F.xxhash64(text, F.lit(11)), F.lit(1_000_003)) / 1_000_003
-    picked = (usable.filter(draw < F.element_at(share, F.col(lang)))
-              .select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
-              .limit(2 * sample * len(counts)).collect())
+    picked, missing, wide = [], {r["lang"]: r["count"] for r in counts}, 1.3 * sample + 50
+    while missing:   # the smallest hashes lie below a bar; if too few do, look further up
+        bar = F.create_map(*[F.lit(x) for name, n in missing.items()
+                             for x in (name, min(1.0, wide / n) * 2.0 ** 64 - 2.0 ** 63)])
+        drawn = usable.filter(F.col("draw") <= F.element_at(bar, F.col("lang")))
+        drawn = drawn.withColumn("text", _window(F.col("text"), F.col("other")))
+        once = map_batches(drawn, _once, drawn.schema).dropDuplicates(["lang", "draw", "other"])
+        order = Window.partitionBy("lang").orderBy("draw", "other")
+        rows = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).collect()
+        found = Counter(r["lang"] for r in rows)
+        done = {name for name, n in missing.items() if found[name] >= min(sample, n) or wide >= n}
+        picked += [r for r in rows if r["lang"] in done]
+        missing, wide = {name: n for name, n in missing.items() if name not in done}, 4 * wide
     by_lang: dict[str, list[str]] = {}
-    for row in sorted(picked, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        rows = by_lang.setdefault(row["lang"], [])
-        if len(rows) < sample and row["text"] not in rows[-1:]:
-            rows.append(row["text"])
+    for row in sorted(picked, key=lambda r: (r["lang"], r["rank"])):
+        by_lang.setdefault(row["lang"], []).append(row["text"])
     names = tuple(sorted(by_lang))
     grams = {n: [_present(t) for t in by_lang[n]] for n in names}
     marks = [g for n in names for g in grams[n][:landmarks]]

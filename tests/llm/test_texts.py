@@ -189,6 +189,20 @@ def test_language_held_out_accuracy(spark):
     assert language.language_digest(frame.filter("false")).count() == 0
 
 
+def test_copies_and_long_texts_leave_no_language_out(spark):
+    rng = random.Random(3)
+    few = [(sentences(rng, "ing the th er on wh", 9), "aa") for _ in range(5)]
+    hot = spark.range(40_000).selectExpr("'the ing on' AS text", "'aa' AS lang")
+    long = [("12 " * 9000 + sentences(rng, "sch ein ung", 9), "bb"), (sentences(rng, "sch ein ung", 9000), "bb")]
+    frame = hot.unionByName(spark.createDataFrame(few + long + [("123", "cc")], "text string, lang string"))
+    model = language.fit(frame)
+    assert model.languages == ("aa", "bb")
+    mine = spark.createDataFrame([(few[0][0],), ("ein schung ung",), ("the ing",)], "text string")
+    assert [r.lang_pred for r in language.identify(mine, model).collect()] == ["aa", "bb", "aa"]
+    again = language.fit(frame.repartition(7))
+    assert np.array_equal(model.places, again.places) and np.allclose(model.weights, again.weights)
+
+
 def test_kernel_sees_whole_texts():
     assert {int(g) for g in language._present("a" * 300_000 + "zq")} >= {int(g) for g in language._present("azq")[:0]}
     tail = set(language._present("zq")) - set(language._present("a"))
