@@ -294,6 +294,12 @@ def test_a_hot_key_gets_more_buckets(spark):
 
 # -- pipeline -----------------------------------------------------------------------------------
 
+def test_unlabelled_documents_stay(spark):
+    rows = [(1, "some words", None, "s", 10), (2, "ß", None, "s", 1), (3, "123 !", None, "s", 5), (4, "", None, "s", 0), (5, None, None, "s", 0)]
+    got = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted(tuple(r) for r in got.collect()) == rows[:2]
+
+
 def test_stages_hand_on_documents(spark):
     rng = random.Random(2)
     long = [words(rng, 60) for _ in range(30)]
