@@ -104,7 +104,7 @@ bsd-2-clause | 3 | bsd 2 clause | bsd 2 clause(?: simplified)?(?: license)?
 bsd-2-clause | 2 | bsd license | (?:2|two) clause bsd license
 bsd-2-clause | 2 | simplified bsd license | simplified bsd license
 bsd-2-clause | 2 | freebsd license | (?:the )?freebsd license
-bsd-3-clause | 4 | redistributions in binary form | neither the name of (?:\S+ ){1,12}?nor the names of its contributors .{0,3000}?redistributions in binary form
+bsd-3-clause | 4 | redistributions in binary form | redistribution and use (?:(?!redistribution and use |all advertising materials mentioning features ).)*?redistributions in binary form (?:(?!redistribution and use |all advertising materials mentioning features ).)*?neither the names? of (?:(?!redistribution and use ).)*?nor the names of (?:its|their|the|any) contributors
 bsd-3-clause | 3 | bsd 3 clause | spdx license identifier bsd 3 clause
 bsd-3-clause | 3 | bsd 3 clause | bsd 3 clause(?: new| revised)?(?: license)?
 bsd-3-clause | 2 | bsd license | (?:3|three) clause bsd license
@@ -116,7 +116,7 @@ bsd-4-clause | 3 | bsd 4 clause | spdx license identifier bsd 4 clause
 bsd-4-clause | 3 | bsd 4 clause | bsd 4 clause(?: original| old)?(?: license)?
 bsd-4-clause | 2 | bsd license | (?:4|four) clause bsd license
 bsd-4-clause | 2 | original bsd license | (?:the )?original bsd license
-bsd-4-clause | 3 | redistribution and use | redistribution and use .{0,2000}?all advertising materials mentioning features
+bsd-4-clause | 3 | redistribution and use | redistribution and use (?:(?!redistribution and use ).)*?all advertising materials mentioning features
 bsd-0-clause | 3 | 0bsd | spdx license identifier 0bsd
 bsd-0-clause | 2 | bsd zero clause license | bsd zero clause license
 bsd | 3 | redistribution and use in source | redistribution and use in source and binary forms with or without modification are permitted
@@ -125,7 +125,7 @@ bsd | 2 | bsd licence | (?:the )?bsd licence
 bsd | 2 | bsd style license | bsd style license
 bsd | 2 | bsd licensed | bsd licensed
 bsd-2-clause-patent | 3 | bsd 2 clause patent | bsd 2 clause patent
-isc | 4 | permission to use copy modify | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+isc | 4 | permission to use copy modify | permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted
 isc | 3 | isc license | (?:under )?the isc license
 isc | 3 | license identifier isc | spdx license identifier isc
 isc | 2 | isc license | isc license

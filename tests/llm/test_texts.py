@@ -67,6 +67,46 @@ def test_licence_rules_are_sound(spark):
         assert rank in (1, 2, 3, 4)
 
 
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this "
+        "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n")
+_ADVERTISING = ("3. All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+                "This product includes software developed by the organization.\n")
+_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+          "derived from this software without specific prior written permission.\n")
+_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License "
+        "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+NOTICES = [
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+                   "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"),
+    ("gpl-3.0", _GNU.format("", "3")), ("gpl-2.0", _GNU.format("", "2")), ("lgpl-2.1", _GNU.format("Lesser ", "2.1")),
+    ("agpl-3.0", _GNU.format("Affero ", "3")),
+    ("bsd-3-clause", _BSD + "3. " + _NAMES + _AS_IS), ("bsd-3-clause", _BSD + "   * " + "and so on " * 900 + _NAMES + _AS_IS),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted,"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable"),
+    ("wtfpl", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"),
+    ("unlicense", "This is free and unencumbered software released into the public domain.")]
+
+
+def test_full_notices_by_their_standard_texts(spark):
+    others = [("bsd-4-clause", _BSD + _ADVERTISING + "4. " + _NAMES + _AS_IS), ("bsd-4-clause", _BSD + "and so on " * 900 + _ADVERTISING),
+              ("bsd", _BSD + _AS_IS), ("bsd", (_BSD + _AS_IS) * 200)]
+    rows = [(i, t, label) for i, (label, t) in enumerate(NOTICES + others)]
+    rows.append((100, _BSD + _AS_IS + _BSD + "3. " + _NAMES, "bsd,bsd-3-clause"))
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, want string")).collect()
+    for r in got:
+        labels = {d.label for d in r.licenses}
+        assert set(r.want.split(",")) <= labels, (r.doc_id, r.labels)
+        assert r.doc_id >= len(NOTICES) or (r.want, 4) in {(d.label, d["rank"]) for d in r.licenses}
+        assert {x for x in labels if x.startswith("bsd")} <= set(r.want.split(",")), (r.doc_id, r.labels)
+    assert {label for label, rank, *_ in RULES if rank == 4} == {label for label, _ in NOTICES}
+
+
 def test_contained_detections_are_suppressed(spark):
     rules = [("inner", 2, "license b", "license b"), ("outer", 3, "license b", "a license b c"),
              ("weak outer", 1, "license b", "z a license b c y"), ("strong", 4, "license", "license")]
