@@ -4,7 +4,10 @@ Vectors get one more component that makes them equally long, so that the graph o
 directions serves the largest inner product for any query. A first graph comes from blocks that
 are neighbours on a random projection. Then every node introduces its neighbours, forward and
 reverse, to one another, and each keeps the best it has met, until few lists change. A query starts
-from the list of its own row, and expands the best nodes it knows until none of them is new.
+from the list of its own vector, and expands the best nodes it knows until none of them is new.
+
+Equal vectors are one node, so that copies do not fill the lists; the rows that have a vector follow
+when it is found, the smallest keys first.
 
 Vectors travel to the blocks of nodes that need them, once per block; lists of ids travel packed.
 """
@@ -18,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cartwheel.llm.common import map_batches, partitions_for, reachable, settled
+from cartwheel.llm.common import broadcast_if_small, map_batches, partitions_for, reachable, settled
 from cartwheel.llm.near_vectors import usable
 
 LIST = 24             # neighbours kept for each node
@@ -239,7 +242,8 @@ def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
 
 
 def build_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
-    """(node, found): the best neighbours of each node, with their scores."""
+    """(node, found): the best neighbours of each node, with their scores. Up to ``BLOCK`` nodes
+    share one block: all pairs of it met for the first lists, so a round could not better them."""
     blocks = partitions_for(nodes, BLOCK)
     graph = settled(_first_graph(vectors, dims, nodes, blocks), "graph")
     for _ in range(ROUNDS if blocks > 1 else 0):
@@ -343,6 +347,16 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, nodes: int)
     return state.select("query", "found")
 
 
+def _first_members(members: DataFrame, size: int) -> DataFrame:
+    """The ``size`` members of each node with the smallest keys. A node that very many rows have is
+    thinned out in parts before its parts meet."""
+    part = members.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(64)))
+    for keys in (["node", "part"], ["node"]):
+        order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("key"), "row")
+        part = part.withColumn("order", F.row_number().over(order)).filter(F.col("order") <= size)
+    return part
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
             vector: str = "embedding") -> DataFrame:
     """The ``k`` nearest rows of each query row by inner product: query_id, rank, vec_id, score.
@@ -363,15 +377,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     rows = rows.filter(F.size("vector") == width[0]["n"])
     longest = rows.agg(F.max(square)).first()[0]
     rest = F.sqrt(F.greatest(F.lit(longest) - square, F.lit(0.0)))
-    held = settled(rows.select(F.col("row").alias("node"), "key", "asks", F.concat("vector", F.array(rest)).alias("vector")),
-                   "nearest-vectors")
+    # a node of the graph is a vector; the rows that have it are its members
+    node = F.xxhash64(F.transform("vector", lambda x: x + F.lit(0.0)))    # -0.0 is 0.0
+    members = settled(rows.select(node.alias("node"), "row", "key", "asks"), "nearest-members")
+    held = settled(rows.select(node.alias("node"), F.concat("vector", F.array(rest)).alias("vector"), "asks")
+                   .groupBy("node").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks")), "nearest-vectors")
     nodes = held.count()
     graph = build_graph(held, width[0]["n"] + 1, nodes)
-    best = search(held.filter("asks").select(F.col("node").alias("query"), "vector"), graph, held, nodes)
-    names = held.select(F.col("node").alias("n"), F.col("key").alias("vec_id"))
-    found = (best.select("query", F.explode("found").alias("e")).select("query", "e.n", F.col("e.s").alias("score"))
-             .join(names, "n"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .join(held.select(F.col("node").alias("query"), F.col("key").alias("query_id")), "query")
-            .select("query_id", "rank", "vec_id", "score"))
+    queries = held.filter("asks").select(F.col("node").alias("query"), "vector")
+    best = search(queries, graph, held, nodes)
+    own = F.aggregate(F.slice("vector", 1, width[0]["n"]), F.lit(0.0), lambda s, x: s + x * x)
+    near = (best.select("query", F.explode("found").alias("e")).select("query", "e.n", F.col("e.s").alias("score"))
+            .unionByName(queries.select("query", F.col("query").alias("n"), own.alias("score"))))
+    first = _first_members(members, k + 1).select(F.col("node").alias("n"), "key", "row")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
+    best = settled(near.join(first, "n").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
+                   .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "key", "row", "score"))).alias("found")),
+                   "nearest-found")
+    # the row that asks is one of the candidates of its vector, or they are more than enough
+    asking = members.filter("asks").select(F.col("node").alias("query"), F.col("row").alias("me"), F.col("key").alias("query_id"))
+    return (asking.join(broadcast_if_small(best, 48 * (k + 1)), "query")
+            .select("query_id", F.posexplode(F.slice(F.filter("found", lambda e: e["row"] != F.col("me")), 1, k)).alias("at", "e"))
+            .select("query_id", (F.col("at") + 1).alias("rank"), F.col("e.key").alias("vec_id"), F.col("e.score").alias("score")))

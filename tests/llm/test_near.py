@@ -260,6 +260,36 @@ def test_nearest_recall_and_small_tables(spark):
     assert neighbours.nearest(few.filter("false"), few.vec_id == 0).count() == 0
 
 
+def test_nearest_among_copies(spark):
+    """Copies do not hide other neighbours, and the copies with the smallest ids come first."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((500, 12))
+    x[400:] = x[0] * 1.5                                              # a group of 100
+    x[1] = x[0] * 1.4 + rng.standard_normal(12) * 0.01                # near it
+    x[2] = x[0] * 1.6                                                 # better than the copies
+    x[200:210] = x[300]                                               # a small group
+    ids = np.arange(500)
+    ids[400:] = rng.permutation(np.arange(400, 500))
+    rows = [(int(i), [float(v) for v in row]) for i, row in zip(ids, x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    asks = [1, 2, 300, 405, 499]
+    old = neighbours.BLOCK
+    try:
+        neighbours.BLOCK = 150
+        got = neighbours.nearest(frame, frame.vec_id.isin(asks)).collect()
+    finally:
+        neighbours.BLOCK = old
+    for q in asks:
+        at = int(np.flatnonzero(ids == q)[0])
+        scores = np.round(x @ x[at], 9)
+        want = [int(ids[i]) for i in np.lexsort((ids, -scores)) if i != at][:20]
+        found = [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
+        if q == 300:
+            assert len(set(found) & set(want)) >= 18 and found[:10] == want[:10]
+        else:
+            assert found == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200), (None, 3)] + [(300, i) for i in range(301, 340)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
