@@ -46,6 +46,14 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def _closeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of all pairs, in double precision; the last component, which one
+    long vector can make large, by its differences."""
+    a, b = x[..., :-1], y[..., :-1]
+    squares = (a * a).sum(-1)[..., :, None] + (b * b).sum(-1)[..., None, :]
+    return 2 * (a @ np.swapaxes(b, -1, -2)) - squares - (x[..., :, None, -1] - y[..., None, :, -1]) ** 2
+
+
 def _lists(nodes: np.ndarray, counts: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> dict:
     """Arrow columns: one list of (score, id) per node; counts tell where each ends."""
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
@@ -116,11 +124,11 @@ def _first_lists(blocks: int):
         if not parts:
             return
         block = pa.Table.from_batches(parts)
-        nodes, vectors = block.column("node").to_numpy(), _matrix(block.column("vector")).astype(np.float32)
+        nodes, vectors = block.column("node").to_numpy(), _matrix(block.column("vector"))
         k = min(LIST, len(nodes) - 1)
         found: list[list[np.ndarray]] = [[], [], []]
         for start in range(0, len(nodes), 512):
-            scores = vectors[start:start + 512] @ vectors.T
+            scores = _closeness(vectors[start:start + 512], vectors)
             n = len(scores)
             scores[np.arange(n), np.arange(start, start + n)] = -np.inf
             top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
@@ -188,13 +196,13 @@ def _hand_out(keys, asked: pa.Table, held: pa.Table) -> pa.Table:
     nodes = held.column("node").to_numpy()
     order = np.argsort(nodes)
     nodes, worst = nodes[order], held.column("worst").to_numpy()[order]
-    x = _matrix(held.column("vector")).astype(np.float32)[order]
+    x = _matrix(held.column("vector"))[order]
     out: list[list] = [[], [], [], []]
     for block in np.unique(pair[0]):
         at = np.searchsorted(nodes, pair[1, pair[0] == block])
         for column, value in zip(out, (int(block), nodes[at], worst[at], x[at].ravel())):
             column.append(value)
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float32())]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64())]
     return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], ["at", "nodes", "worst", "values"])
 
 
@@ -207,7 +215,7 @@ def _introduce(keys, people: pa.Table, vectors: pa.Table, blocks: int) -> pa.Tab
     x = _flat(vectors, "values").reshape(len(nodes), -1)
     order = np.argsort(nodes)
     nodes, worst, x = nodes[order], _flat(vectors, "worst")[order], x[order]
-    x = np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])   # one more for empty places
+    x = np.concatenate([x, np.zeros((1, x.shape[1]))])   # one more for empty places
     wide = LIST + REVERSE
     ids = people.column("ids").to_pylist()
     kept: list[np.ndarray] = []
@@ -217,7 +225,7 @@ def _introduce(keys, people: pa.Table, vectors: pa.Table, blocks: int) -> pa.Tab
         for i, row in enumerate(part):
             at[i, :len(row)] = np.searchsorted(nodes, np.array(row, np.int64))[:wide]
         met = x[at]
-        scores = met @ met.transpose(0, 2, 1)
+        scores = _closeness(met, met)
         bar = np.append(worst, np.inf)[at]
         better = (scores > bar[:, :, None]) & (at != len(nodes))[:, None, :] & (at[:, :, None] != at[:, None, :])
         i, j, k = np.nonzero(better)
@@ -235,7 +243,7 @@ def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
     held = vectors.select("node", "vector", F.pmod("node", F.lit(blocks)).alias("home")).join(worst, "node")
     asked = map_batches(people.select("block", "ids"), lambda rows: _wanted(rows, blocks), _ASKED)
     sent = (reachable(asked).groupBy("target").cogroup(held.groupBy("home"))
-            .applyInArrow(_hand_out, "at long, nodes array<long>, worst array<double>, values array<float>"))
+            .applyInArrow(_hand_out, "at long, nodes array<long>, worst array<double>, values array<double>"))
     news = (reachable(people).groupBy("block").cogroup(sent.groupBy("at"))
             .applyInArrow(lambda keys, own, others: _introduce(keys, own, others, blocks), _NEWS))
     return _taken_in(graph, news, blocks)
@@ -376,7 +384,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     rows = rows.filter(F.size("vector") == width[0]["n"])
     longest = rows.agg(F.max(square)).first()[0]
-    rest = F.sqrt(F.greatest(F.lit(longest) - square, F.lit(0.0)))
+    # what the component lacks to the longest vector: distances are the same, and no digits are lost
+    rest = square / (F.lit(longest ** 0.5) + F.sqrt(F.greatest(F.lit(longest) - square, F.lit(0.0))))
     # a node of the graph is a vector; the rows that have it are its members
     node = F.xxhash64(F.transform("vector", lambda x: x + F.lit(0.0)))    # -0.0 is 0.0
     members = settled(rows.select(node.alias("node"), "row", "key", "asks"), "nearest-members")

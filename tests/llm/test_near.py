@@ -290,6 +290,25 @@ def test_nearest_among_copies(spark):
             assert found == want
 
 
+def test_one_long_vector_does_not_spoil_the_graph(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((600, 12))
+    x[599] = x[599] * 1e20
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    old = neighbours.BLOCK
+    try:
+        neighbours.BLOCK = 150
+        got = neighbours.nearest(frame, frame.vec_id % 20 == 0).collect()
+    finally:
+        neighbours.BLOCK = old
+    hits = 0
+    for q in range(0, 600, 20):
+        scores = x[:599] @ x[q]
+        scores[q] = -np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-scores)[:19]))
+    assert hits >= 0.9 * 19 * 30
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200), (None, 3)] + [(300, i) for i in range(301, 340)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
