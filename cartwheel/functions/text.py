@@ -14,13 +14,16 @@ def contains_ci(column: Column, text: str | None) -> Column:
     return column.ilike(pattern)
 
 
-# white space by Unicode, and the four separators among the control characters
-_BLANK = r"[\s\p{Z}\x85\x1C-\x1F]+"
+# White space by Unicode (U+0085 and the separators, general category Z), and the
+# control characters that count as such.
+_BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+           "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+           "\u2028\u2029\u202f\u205f\u3000")
 
 
 def stripped(text: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(text, f"^{_BLANK}|{_BLANK}\\z", "")
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def normal_code(code: Column) -> Column:
@@ -46,7 +49,9 @@ def matches_fully(column: Column, pattern: str) -> Column:
     return column.rlike(f"^(?:{pattern})$")
 
 
-_CODES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+# In a coded text a backslash is always followed by one of these letters, never by another
+# backslash, so each code can be undone on its own, that of the backslash last.
+_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 _EMPTY = "\\e"
 
@@ -60,9 +65,8 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """The opposite of ``escaped``. A pair of backslashes is set aside first, as a character that
-    no text has."""
-    aside = F.replace(text, F.lit("\\\\"), F.lit("\uffff"))
-    for plain, code in _CODES[1:]:
-        aside = F.replace(aside, F.lit(code), F.lit(plain))
-    return F.when(text == _EMPTY, "").otherwise(F.replace(aside, F.lit("\uffff"), F.lit("\\")))
+    """The opposite of ``escaped``, whatever characters the text has."""
+    out = text
+    for plain, code in reversed(_CODES):
+        out = F.replace(out, F.lit(code), F.lit(plain))
+    return F.when(text == _EMPTY, "").otherwise(out)

@@ -595,6 +595,16 @@ ORACLES: dict[str, str] = {
         WHERE window_end <= date_trunc('millisecond', (
             SELECT max(event_time) FROM shop_events WHERE event_type <> 'error')) - INTERVAL 10 MINUTE""",
         "shop_events"),
+    "traffic_windows_merged": _sql("""
+        SELECT * FROM (
+            SELECT date_trunc('minute', event_time) AS window_start,
+                   date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end,
+                   count(*) AS event_count,
+                   round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
+            FROM shop_events WHERE event_type <> 'error' GROUP BY 1, 2) AS t
+        WHERE window_end <= date_trunc('millisecond', (
+            SELECT max(event_time) FROM shop_events WHERE event_type <> 'error')) - INTERVAL 10 MINUTE""",
+        "shop_events"),
     "stream_replay": _sql("""
         SELECT product_id, count(*) FILTER (WHERE event_type = 'view') AS view_count,
                count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
@@ -602,12 +612,24 @@ ORACLES: dict[str, str] = {
         FROM shop_events WHERE product_id IS NOT NULL AND event_type <> 'error'
         GROUP BY product_id""", "shop_events"),
     "live_jobs_agree": _sql("""
+        SELECT * FROM (WITH timed AS (
+            SELECT CASE WHEN CAST(floor(epoch(event_time)) AS BIGINT) % 11 = 3 THEN event_time + INTERVAL 30 SECONDS
+                        ELSE event_time END AS event_time FROM shop_events WHERE event_type <> 'error')
         SELECT window_start, count(*) AS event_count, count(*) AS stored_events FROM (
-            SELECT date_trunc('minute', event_time) AS window_start FROM shop_events
-            WHERE event_type <> 'error') AS t
+            SELECT date_trunc('minute', event_time) AS window_start FROM timed) AS t
         WHERE window_start + INTERVAL 1 MINUTE <= date_trunc('millisecond', (
-            SELECT max(event_time) FROM shop_events WHERE event_type <> 'error')) - INTERVAL 10 MINUTE
-        GROUP BY window_start""", "shop_events"),
+            SELECT max(event_time) FROM timed)) - INTERVAL 10 MINUTE
+        GROUP BY window_start) AS agreed""", "shop_events"),
+    "late_events_after_compaction": _sql("""
+        SELECT stage, CAST("timestamp" AS DATE) AS event_date, count(*) AS event_count, round(sum(price), 2) AS price_sum
+        FROM raw_events, (VALUES ('late'), ('merged')) AS s(stage) GROUP BY 1, 2""", "raw_events"),
+    "dimension_csv_rejected": """
+        SELECT outcome, count(*) AS row_count, CAST(sum(p_partkey) FILTER (p_partkey % 29 <> 4) AS BIGINT) AS key_sum,
+               count(*) FILTER (p_partkey % 7 NOT IN (3, 5)) AS priced FROM (
+            SELECT p_partkey, CASE WHEN p_partkey % 7 = 3 THEN 'price malformed'
+                        WHEN p_partkey % 11 = 6 THEN 'total_purchase_count malformed'
+                        WHEN p_partkey % 29 = 4 THEN 'product_id missing' ELSE 'read' END AS outcome FROM part) AS r
+        GROUP BY outcome""",
     "live_malformed_rejected": """
         SELECT reason, count(*) AS messages, min(text) AS first_text, CAST(max(length(text)) AS INTEGER) AS longest FROM (
             SELECT CASE WHEN event_id % 19 = 6 THEN left(whole, 12) ELSE whole END AS text,
@@ -627,7 +649,9 @@ ORACLES: dict[str, str] = {
                    CASE WHEN l_partkey % 7 <> 3 THEN CAST(l_quantity AS INTEGER) END AS units
             FROM lineitem) AS l GROUP BY outcome""",
     "csv_texts_come_back": """
-        SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN '' WHEN doc_id % 50 <> 8 THEN text END AS text FROM documents""",
+        SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN ''
+                            WHEN doc_id % 50 = 9 THEN '\\n' || chr(65535) || '\\' || text || '\\\\' || chr(65535) || '\\e'
+                            WHEN doc_id % 50 <> 8 THEN text END AS text FROM documents""",
     "product_search_backslash": _sql(
         "SELECT * FROM shop_products WHERE lower(description) LIKE '%red%'", "shop_products"),
     "gauge_of_one_database": """

@@ -17,13 +17,13 @@ from cartwheel.operators import (cleaning, commerce, dimensions, events as ev, m
 from cartwheel.plans import checkout as checkout_plan, daily as daily_plan, preparation
 from cartwheel.session import apply_settings, cut_lineage, scratch_folder
 from cartwheel.sinks.files import write_csv
-from cartwheel.sinks.batches import append_raw, compact_days, read_raw
+from cartwheel.sinks.batches import append_raw, compact_days, raw_table, read_raw, windows_table
 from cartwheel.sinks.kafka import to_messages
 from cartwheel.sinks.snapshots import publish_snapshot, read_snapshot
 from cartwheel.sources import warehouse as w
 from cartwheel.sources.events import decode_checked, decode_events, decode_events_as_text
 from cartwheel.sources.files import (read_csv, read_event_log, read_invoice_lines, read_products,
-                                     rejected_invoice_lines, sample_lines)
+                                     rejected_invoice_lines, rejected_rows, sample_lines)
 from cartwheel.sources.tables import ensure_tables, query_table
 from cartwheel.streaming import jobs, replay
 from cartwheel.streaming.progress import lag_samples
@@ -815,17 +815,30 @@ def live_malformed_rejected(spark, folder):
 @query
 def live_jobs_agree(spark, folder):
     """Closed minutes: events stored by the raw job against events counted by the traffic job, both
-    started together over one stream."""
+    started together over one stream, where one event in eleven comes without a time and gets that
+    of its message, half a minute later."""
     folders = jobs.StreamFolders(scratch_folder(spark, "stream"))
-    for started in jobs.start_all(w.shop_event_stream(spark, folder), folders, once=True):
+    stream = (w.shop_event_stream(spark, folder)
+              .withColumn("ingest_time", F.col("event_time") + F.expr("INTERVAL 30 SECONDS"))
+              .withColumn("event_time", F.when(F.pmod(F.unix_seconds("event_time"), F.lit(11)) != 3, F.col("event_time"))))
+    for started in jobs.start_all(stream, folders, once=True):
         started.awaitTermination()
-    stored = (spark.read.parquet(folders.table("raw_events"))
+    stored = (read_raw(spark, folders.table("raw_events"))
               .groupBy(F.date_trunc("minute", "timestamp").alias("window_start"))
               .agg(F.count(F.lit(1)).alias("stored_events")))
-    counted = spark.read.parquet(folders.table("traffic_stats")).select("window_start", "event_count")
+    counted = windows_table(folders.table("traffic_stats")).read(spark).select("window_start", "event_count")
     return counted.join(stored, "window_start", "left")
 
 
+@query
+def traffic_windows_merged(spark, folder):
+    """Closed minutes, one folder per batch, gathered into few files and read back."""
+    folders = _streamed(spark, folder, jobs.start_traffic_stats)
+    stored = windows_table(folders.table("traffic_stats"))
+    stored.merge(spark)
+    return _round(stored.read(spark).select("window_start", "window_end", "event_count", "revenue"), "revenue")
+
+
 @query
 def invoice_csv_rejected(spark, folder):
     """Lines of which some are damaged by a rule on their number: how many are rejected, and why."""
@@ -847,9 +860,11 @@ def invoice_csv_rejected(spark, folder):
 
 @query
 def csv_texts_come_back(spark, folder):
-    """Texts with line breaks, written and read without loss."""
+    """Texts with line breaks, backslashes and characters no text should have, written and read
+    without loss."""
     path = scratch_folder(spark, "texts-csv")
     docs = w.table(spark, folder, "documents").select("doc_id", F.when(F.col("doc_id") % 50 == 7, "").when(
+        F.col("doc_id") % 50 == 9, F.concat(F.lit("\\n\uffff\\"), F.col("text"), F.lit("\\\\\uffff\\e"))).when(
         F.col("doc_id") % 50 != 8, F.col("text")).alias("text"))
     write_csv(docs, path, lossless=True)
     return read_csv(spark, path, docs.schema, lossless=True)
@@ -897,6 +912,45 @@ def raw_events_compacted(spark, folder):
         F.count(F.lit(1)).alias("event_count"), F.round(F.sum("price"), 2).alias("price_sum"))
 
 
+@query
+def late_events_after_compaction(spark, folder):
+    """A third of the events comes after its days were merged: counted at once, and again after the
+    next merge took it in and the batches it stands for were removed."""
+    path = scratch_folder(spark, "raw") + "/tables/raw_events"
+    valid = _valid_events(spark, folder)
+    part = F.pmod(F.xxhash64("event_time"), F.lit(3))
+    for batch_id in range(2):
+        append_raw(valid.filter(part == batch_id), batch_id, path, "main")
+    compact_days(spark, path, REPORT_DAY)
+    append_raw(valid.filter(part == 2), 2, path, "main")
+
+    def per_day(stage: str) -> DataFrame:
+        return read_raw(spark, path).groupBy(F.lit(stage).alias("stage"), "event_date").agg(
+            F.count(F.lit(1)).alias("event_count"), F.round(F.sum("price"), 2).alias("price_sum"))
+
+    late = cut_lineage(per_day("late"))
+    compact_days(spark, path, REPORT_DAY)
+    raw_table(path).forget(spark, keep_hours=0.0)
+    return late.unionByName(per_day("merged"))
+
+
+@query
+def dimension_csv_rejected(spark, folder):
+    """A products file damaged by a rule on its keys: what is rejected, and why."""
+    path = scratch_folder(spark, "product-csv")
+    number = F.col("p_partkey")
+    write_csv(w.table(spark, folder, "part").select(
+        F.when(number % 29 != 4, number.cast("string")).alias("product_id"), F.col("p_name").alias("description"),
+        F.when(number % 7 == 3, "cheap").when(number % 7 != 5, F.col("p_retailprice").cast("string")).alias("price"),
+        F.when(number % 11 == 6, "2.5").otherwise("3.0").alias("total_purchase_count"), F.lit("4").alias("stock")), path)
+    good = read_products(spark, path).agg(
+        F.lit("read").alias("outcome"), F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("product_id").cast("long")).alias("key_sum"), F.count("price").alias("priced"))
+    bad = rejected_rows(spark, path, schemas.PRODUCTS).groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("product_id").cast("long")).alias("key_sum"), F.count("price").alias("priced"))
+    return good.unionByName(bad)
+
+
 @query
 def tables_ensured(spark, folder):
     """One day of the catalog table that lies over the folders of the raw job."""

@@ -49,12 +49,15 @@ def decode_checked(df: DataFrame) -> DataFrame:
     where a message is no valid event; ``raw`` keeps its text as it came.
 
     A field with a value that is not of its type is a reason, and so is a message that is no
-    JSON object; a field may be absent. The one decoder of the live jobs.
+    JSON object; a field may be absent. The time the source gives a message (``timestamp``, as
+    topics do) is kept as ``ingest_time``. The one decoder of the live jobs.
     """
+    ingest = [F.col("timestamp").alias("ingest_time")] if "timestamp" in df.columns else []
     schema = StructType([*EVENT_WIRE_TEXT.fields, StructField("_broken", StringType())])
     raw = F.col("value").cast("string")
-    parsed = (df.select(raw.alias("raw"), F.from_json(raw, schema, {
-        "columnNameOfCorruptRecord": "_broken"}).alias("e")).select("raw", "e.*"))
+    parsed = (df.select(raw.alias("raw"), *ingest, F.from_json(raw, schema, {
+        "columnNameOfCorruptRecord": "_broken"}).alias("e"))
+        .select("raw", *(["ingest_time"] if ingest else []), "e.*"))
     checked = validate_events(parsed)
     broken = F.col("raw").isNull() | F.col("_broken").isNotNull()
     return (checked.withColumn("reason", F.when(broken, "message unreadable").otherwise(F.col("reason")))

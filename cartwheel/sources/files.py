@@ -29,40 +29,66 @@ def _number(text: Column, kind: str) -> Column:
     return F.coalesce(value, F.when(wide == F.floor(wide), wide.try_cast(kind)))
 
 
-def check_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Invoice lines with ``reason``, null where every field is of its type, and ``raw``, the text
-    of a line that has too few or too many fields.
+def _checked(spark: SparkSession, path: str, schema: StructType, names: list[str],
+             options: dict[str, str], restore=lambda text: text) -> DataFrame:
+    """Rows as typed columns ``names``, with ``reason``, null where every field is of its type, and
+    ``raw``, the text of a line that has too few or too many fields.
 
     The file is read as text, so that a bad field is told from an absent one.
     """
-    as_text = StructType([StructField(f.name, StringType()) for f in schemas.INVOICE_CSV])
+    as_text = StructType([StructField(f.name, StringType()) for f in schema])
     lines = _csv(spark, path, StructType([*as_text.fields, StructField("_raw", StringType())]),
-                 columnNameOfCorruptRecord="_raw")
+                 columnNameOfCorruptRecord="_raw", **options)
     reason = F.when(F.col("_raw").isNotNull(), "line malformed")
     columns = []
-    for field, name in zip(schemas.INVOICE_CSV, schemas.INVOICE_LINES.names):
-        text, kind = F.col(field.name), field.dataType.simpleString()
-        value = text if kind == "string" else _number(text, kind)
+    for field, name in zip(schema, names):
+        text, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        value = restore(text) if kind == "string" else _number(text, kind)
         reason = F.coalesce(reason, F.when(text.isNotNull() & value.isNull(), f"{name} malformed"))
         columns.append(value.alias(name))
     return lines.select(*columns, reason.alias("reason"), F.col("_raw").alias("raw"))
 
 
-def read_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
+def check_invoice_lines(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """Invoice lines with ``reason`` and ``raw``. With ``line_breaks`` a quoted text may span lines;
+    a file is then read by one task, as nothing in it tells where a row begins."""
+    return _checked(spark, path, schemas.INVOICE_CSV, schemas.INVOICE_LINES.names,
+                    {"multiLine": str(line_breaks).lower()})
+
+
+def _good(checked: DataFrame) -> DataFrame:
+    return checked.filter("reason is null").drop("reason", "raw")
+
+
+def read_invoice_lines(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """The lines that can be read; ``rejected_invoice_lines`` has the others."""
-    return check_invoice_lines(spark, path).filter("reason is null").drop("reason", "raw")
+    return _good(check_invoice_lines(spark, path, line_breaks))
 
 
-def rejected_invoice_lines(spark: SparkSession, path: str) -> DataFrame:
-    return check_invoice_lines(spark, path).filter("reason is not null")
+def rejected_invoice_lines(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    return check_invoice_lines(spark, path, line_breaks).filter("reason is not null")
+
+
+def check_dimension(spark: SparkSession, path: str, schema: StructType, lossless: bool = False) -> DataFrame:
+    """Rows of a products or users file with ``reason`` and ``raw``, as for invoice lines. A row
+    without its key, the first column, is rejected too: it could be upserted nowhere."""
+    rows = _checked(spark, path, schema, schema.names, LOSSLESS if lossless else {}, unescaped if lossless else lambda t: t)
+    key = schema.names[0]
+    return rows.withColumn("reason", F.coalesce("reason", F.when(F.col(key).isNull(), f"{key} missing")))
 
 
 def read_products(spark: SparkSession, path: str, lossless: bool = False) -> DataFrame:
-    return read_csv(spark, path, schemas.PRODUCTS, lossless)
+    """The products that can be read; a bad price or count is never upserted as null."""
+    return _good(check_dimension(spark, path, schemas.PRODUCTS, lossless))
 
 
 def read_users(spark: SparkSession, path: str, lossless: bool = False) -> DataFrame:
-    return read_csv(spark, path, schemas.USERS, lossless)
+    return _good(check_dimension(spark, path, schemas.USERS, lossless))
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: StructType, lossless: bool = False) -> DataFrame:
+    """What ``read_products`` or ``read_users`` leaves out, and why."""
+    return check_dimension(spark, path, schema, lossless).filter("reason is not null")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, lossless: bool = False) -> DataFrame:

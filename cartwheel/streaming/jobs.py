@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.operators.events import default_event_time, split_valid, validate_events
@@ -92,8 +92,17 @@ def start_traffic_stats(events: DataFrame, folders: StreamFolders, once: bool =
                   write, once)
 
 
+def timed(events: DataFrame) -> DataFrame:
+    """Events without a time get that of their message (``ingest_time``), or where the source has
+    none, the time of their batch."""
+    ingest = F.col("ingest_time") if "ingest_time" in events.columns else F.current_timestamp()
+    return events.withColumn("event_time", F.coalesce("event_time", ingest)).drop("ingest_time")
+
+
 def start_all(events: DataFrame, folders: StreamFolders, once: bool = False) -> list[StreamingQuery]:
-    """The three jobs over one decoded stream; each keeps its own place in the source."""
+    """The three jobs over one stream; each reads and decodes the source on its own and keeps its
+    own place in it. Missing times are filled before, so all of them count the same events."""
+    events = timed(checked(events))
     return [start(events, folders, once)
             for start in (start_raw_events, start_product_stats, start_traffic_stats)]
 

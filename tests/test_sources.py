@@ -108,7 +108,31 @@ def test_bad_invoice_lines_are_told_from_good_ones(spark, tmp_path):
 
 
 def test_lossless_csv(spark, tmp_path):
-    texts = [None, "", " ", "a\nb", "a\\nb", "\\", "\\\\n", 'say "hi"', "\r\n", " padded ", "\\N", ",", "#"]
+    texts = [None, "", " ", "a\nb", "a\\nb", "\\", "\\\\n", 'say "hi"', "\r\n", " padded ", "\\N", ",", "#",
+             "a\uffffb", "\\\uffff\\n", "\\s", "\\e", "\\\\e", "\u2028"]
     data = spark.createDataFrame([(str(i), t, 1.0, 1, 1) for i, t in enumerate(texts)], schemas.PRODUCTS)
     write_csv(data, str(tmp_path / "p"), lossless=True)
     assert rows(files.read_products(spark, str(tmp_path / "p"), lossless=True)) == rows(data)
+
+
+def test_bad_dimension_rows_are_rejected(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("product_id,description,price,total_purchase_count,stock\n"
+                                    "A,x,1.5,3,4.0\nB,x,cheap,3,4\nC,x,,3,\n,x,1,3,4\nD,x\n")
+    assert rows(files.read_products(spark, str(tmp_path / "p.csv"))) == [("A", "x", 1.5, 3, 4), ("C", "x", None, 3, None)]
+    bad = files.rejected_rows(spark, str(tmp_path / "p.csv"), schemas.PRODUCTS).collect()
+    assert {(r.product_id, r.reason, r.raw) for r in bad} == {
+        ("B", "price malformed", None), (None, "product_id missing", None), ("D", "line malformed", "D,x")}
+    (tmp_path / "u.csv").write_text("user_id,country,first_purchase_at,last_purchase_at\n"
+                                    "1.0,UK,2024-01-01 10:00:00,\n2,UK,yesterday,\nx,UK,,\n")
+    assert rows(files.read_users(spark, str(tmp_path / "u.csv"))) == [(1, "UK", at("2024-01-01 10:00"), None)]
+    assert {r.reason for r in files.rejected_rows(spark, str(tmp_path / "u.csv"), schemas.USERS).collect()} == {
+        "first_purchase_at malformed", "user_id malformed"}
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "lines.csv").write_text(
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        '1,A,"red\nmug",6,12/1/2010 8:26,2.55,17850,UK\n')
+    assert [r.description for r in files.read_invoice_lines(spark, str(tmp_path / "lines.csv"), line_breaks=True).collect()] == ["red\nmug"]
+    assert files.rejected_invoice_lines(spark, str(tmp_path / "lines.csv"), line_breaks=True).count() == 0
+    assert files.rejected_invoice_lines(spark, str(tmp_path / "lines.csv")).count() == 2

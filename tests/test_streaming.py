@@ -8,7 +8,8 @@ from cartwheel.operators import metrics, telemetry
 from cartwheel.schemas import PRODUCT_STATS, RAW_EVENTS
 from cartwheel.operators.events import split_valid
 from cartwheel.plans.live import start_live
-from cartwheel.sinks.batches import append_raw, compact_days, read_raw
+from cartwheel.sinks.batches import (BatchTable, append_raw, append_windows, compact_days, raw_table, read_raw,
+                                     windows_table)
 from cartwheel.sinks.snapshots import publish_snapshot, read_snapshot
 from cartwheel.sources.events import decode_checked, decode_events, read_event_files
 from cartwheel.sources.tables import ensure_tables, refresh_tables
@@ -104,13 +105,122 @@ def test_days_are_compacted_once(spark, tmp_path):
     for batch_id in range(4):
         append_raw(day(1, 3).unionByName(day(2, 2)), batch_id, path, "main")
     before = rows(read_raw(spark, path))
-    for _ in range(2):
-        compact_days(spark, path, "2024-01-02")
-        assert rows(read_raw(spark, path)) == before and len(before) == 20
+    assert compact_days(spark, path, "2024-01-02") == ["2024-01-01"]
+    assert compact_days(spark, path, "2024-01-02") == []        # nothing new, nothing written
+    assert rows(read_raw(spark, path)) == before and len(before) == 20
     append_raw(day(2, 1), 4, path, "main")
     assert read_raw(spark, path).count() == 21
-    files = [f for f in os.listdir(f"{path}_compacted/event_date=2024-01-01") if f.endswith(".parquet")]
-    assert len(files) <= 8 and os.listdir(f"{path}_compacted").count("event_date=2024-01-02") == 0
+
+
+def raw_day(spark, day, n, start=0):
+    made = [(i, "view", "A", 1.0, at(f"2024-01-0{day} 10:00")) for i in range(start, start + n)]
+    return spark.createDataFrame(made, RAW_EVENTS).withColumnRenamed("timestamp", "event_time")
+
+
+def pieces(path):
+    found = {}
+    for root, _, files in os.walk(f"{path}_merged/data"):
+        for f in files:
+            if f.endswith(".parquet"):
+                found.setdefault(os.path.basename(root), []).append((root, f, os.stat(f"{root}/{f}").st_mtime_ns))
+    return {day: sorted(files) for day, files in found.items()}
+
+
+def test_late_rows_of_a_merged_day_are_seen_and_taken_in(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for batch_id in range(3):
+        append_raw(raw_day(spark, 1, 4, 10 * batch_id).unionByName(raw_day(spark, 2, 3, 10 * batch_id)), batch_id, path, "main")
+    reader = read_raw(spark, path)                         # open before the merge
+    compact_days(spark, path, "2024-01-03")
+    first = pieces(path)
+    append_raw(raw_day(spark, 1, 5, 100), 3, path, "main")     # late
+    assert read_raw(spark, path).count() == 26             # at once
+    append_raw(raw_day(spark, 1, 5, 100), 3, path, "main")     # delivered again
+    assert compact_days(spark, path, "2024-01-03") == ["2024-01-01"]
+    assert rows(read_raw(spark, path).groupBy("event_date").count()) == [(at("2024-01-01").date(), 17), (at("2024-01-02").date(), 9)]
+    later = pieces(path)
+    assert later["event_date=2024-01-02"] == first["event_date=2024-01-02"]                   # not touched
+    assert set(first["event_date=2024-01-01"]) < set(later["event_date=2024-01-01"])    # one more piece
+    assert reader.count() == 21
+    append_raw(raw_day(spark, 1, 2, 200), 0, path, "second")      # another life counts from 0
+    assert read_raw(spark, path).count() == 28
+
+    raw_table(path).forget(spark, keep_hours=0.0)
+    assert read_raw(spark, path).count() == 28
+    assert spark.read.parquet(path).count() == 2           # the merged batches are gone
+    plan = read_raw(spark, path).filter("event_date = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1:]
+    assert len(filters) == 2 and all("isnotnull(event_date" in f[:f.index("PushedFilters")] for f in filters)
+
+
+def test_a_batch_in_the_middle_of_its_write_is_not_merged(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    append_raw(raw_day(spark, 1, 3), 0, path, "main")
+    half = raw_day(spark, 1, 2, 50).withColumnRenamed("event_time", "timestamp")
+    half.write.parquet(f"{path}/event_date=2024-01-01/run=main/batch_id=1")      # no mark yet
+    compact_days(spark, path, "2024-01-02")
+    assert read_raw(spark, path).count() == 5
+    append_raw(raw_day(spark, 1, 4, 50), 1, path, "main")
+    assert read_raw(spark, path).count() == 7
+    compact_days(spark, path, "2024-01-02")
+    assert read_raw(spark, path).count() == 7
+
+
+def test_many_pieces_are_gathered_again(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for batch_id in range(10):
+        append_raw(raw_day(spark, 1, 2, 10 * batch_id), batch_id, path, "main")
+        compact_days(spark, path, "2024-01-02")
+    assert read_raw(spark, path).count() == 20
+    raw_table(path).forget(spark, keep_hours=0.0)
+    assert len(pieces(path)["event_date=2024-01-01"]) == 2       # nine gathered, one on top
+    assert read_raw(spark, path).count() == 20
+
+
+def test_one_large_day_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100000")
+    try:
+        big = spark.range(100_000).selectExpr("id AS user_id", "'view' AS event_type", "cast(rand(1) AS string) AS product_id",
+                                              "1.0D AS price", "timestamp'2024-01-01' AS event_time")
+        append_raw(big, 0, str(tmp_path / "raw"), "main")
+    finally:
+        spark.conf.unset(size)
+    assert len([f for f in os.listdir(tmp_path / "raw/event_date=2024-01-01/run=main/batch_id=0") if f.endswith(".parquet")]) > 3
+    assert read_raw(spark, str(tmp_path / "raw")).count() == 100_000
+
+
+def test_windows_and_rejects_are_merged_too(spark, tmp_path):
+    path = str(tmp_path / "windows")
+    stored = windows_table(path)
+    assert stored.read(spark).count() == 0
+    for n in range(4):
+        append_windows(spark.createDataFrame([(at(f"2024-01-01 00:0{n}"), at(f"2024-01-01 00:0{n + 1}"), n, n, 0.0)], stored.fields), n, path, "main")
+    append_windows(spark.createDataFrame([], stored.fields), 4, path, "main")        # an empty batch leaves nothing
+    before = rows(stored.read(spark))
+    assert stored.merge(spark) == [""] and stored.merge(spark) == []
+    stored.forget(spark, keep_hours=0.0)
+    assert rows(stored.read(spark)) == before and len(before) == 4
+    assert not any(f.endswith(".parquet") for _, _, files in os.walk(path) for f in files)
+    other = BatchTable(str(tmp_path / "any"), spark.range(1).schema)
+    other.append(spark.range(5), 0, "a")
+    other.merge(spark)
+    assert other.read(spark).count() == 5
+
+
+def test_missing_times_are_filled_before_all_jobs(spark, tmp_path):
+    """An event without a time counts in its message's minute, in both tables."""
+    lines = [(json.dumps(event(None)), at("2024-01-01 00:00:20")), (json.dumps(event("00:00:50")), at("2024-01-01 00:01:10")),
+             (json.dumps(event("00:30:00")), at("2024-01-01 00:30:01"))]
+    spark.createDataFrame(lines, "value string, timestamp timestamp").write.parquet(str(tmp_path / "topic"))
+    stream = spark.readStream.schema("value string, timestamp timestamp").parquet(str(tmp_path / "topic"))
+    folders = jobs.StreamFolders(str(tmp_path / "out"))
+    for q in start_live(stream, folders, once=True):
+        q.awaitTermination()
+    assert sorted(r.timestamp for r in read_raw(spark, folders.table("raw_events")).collect()) == [
+        at("2024-01-01 00:00:20"), at("2024-01-01 00:00:50"), at("2024-01-01 00:30")]
+    assert [(r.window_start, r.event_count) for r in windows_table(folders.table("traffic_stats")).read(spark).collect()] == [
+        (at("2024-01-01 00:00"), 2)]
 
 
 def test_tables_show_what_the_sinks_wrote(spark, tmp_path):
