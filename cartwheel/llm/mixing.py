@@ -23,7 +23,7 @@ from cartwheel.operators.ordering import running_total
 
 WEIGHTS = (5, 2, 1)     # of the sources in the order of their names, over and over
 MOST = 3                # copies of a document, and with them of a source, at most
-CHUNK = 1 << 16         # open documents of a source that meet in one task
+CHUNK = 1 << 12         # open documents of a source that meet in one task
 LONG = 2                # times the mean of its source: such a document goes first
 EXACT = 1e-12           # a fraction this near to 0 or 1 is there
 PARTS = 64              # of the equal rows that are numbered
