@@ -620,6 +620,32 @@ ORACLES: dict[str, str] = {
         WHERE window_start + INTERVAL 1 MINUTE <= date_trunc('millisecond', (
             SELECT max(event_time) FROM timed)) - INTERVAL 10 MINUTE
         GROUP BY window_start) AS agreed""", "shop_events"),
+    "contested_orders_decided": _sql("""
+        SELECT order_id, admitted FROM (
+          WITH RECURSIVE line AS (
+            SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity, min(added_at) AS added_at FROM carts GROUP BY 1, 2),
+          demand AS (SELECT product_id, sum(quantity) AS wanted FROM line GROUP BY 1),
+          short AS (
+            SELECT product_id, CAST(stock AS BIGINT) AS stock, row_number() OVER (ORDER BY product_id) AS place
+            FROM shop_products JOIN demand USING (product_id) WHERE wanted > stock),
+          per_order AS (
+            SELECT order_id, min(added_at) AS arrival, list(place) FILTER (place IS NOT NULL) AS places,
+                   list(quantity) FILTER (place IS NOT NULL) AS amounts,
+                   count(*) = count(p.stock) AND bool_and(quantity <= p.stock) AS possible
+            FROM line LEFT JOIN shop_products AS p USING (product_id) LEFT JOIN short USING (product_id) GROUP BY order_id),
+          queue AS (
+            SELECT *, row_number() OVER (ORDER BY arrival, order_id) AS turn FROM per_order WHERE possible AND places IS NOT NULL),
+          served AS (
+            SELECT CAST(0 AS BIGINT) AS turn, (SELECT list(stock ORDER BY place) FROM short) AS remaining,
+                   CAST(NULL AS BIGINT) AS order_id, false AS admitted
+            UNION ALL
+            SELECT q.turn, CASE WHEN q.fits THEN list_transform(q.remaining, lambda v, i: v - coalesce(q.amounts[list_position(q.places, i)], 0))
+                                ELSE q.remaining END, q.order_id, q.fits
+            FROM (SELECT o.turn, o.order_id, o.places, o.amounts, s.remaining,
+                         list_min(list_transform(o.places, lambda p, k: s.remaining[p] - o.amounts[k])) >= 0 AS fits
+                  FROM served AS s JOIN queue AS o ON o.turn = s.turn + 1) AS q)
+          SELECT order_id, admitted FROM served WHERE turn > 0
+          UNION ALL SELECT order_id, possible FROM per_order WHERE NOT possible OR places IS NULL) AS decided""", "carts", "shop_products"),
     "late_events_after_compaction": _sql("""
         SELECT stage, CAST("timestamp" AS DATE) AS event_date, count(*) AS event_count, round(sum(price), 2) AS price_sum
         FROM raw_events, (VALUES ('late'), ('merged')) AS s(stage) GROUP BY 1, 2""", "raw_events"),

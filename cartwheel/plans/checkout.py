@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.functions.times import Instant
 from cartwheel.operators import commerce as c
+from cartwheel.operators.allocation import decide_by_arrival
 from cartwheel.session import remove_folder, scratch_folder, settle
 
 
@@ -20,7 +21,7 @@ class Checkout:
     products: DataFrame    # catalog after the sale
     cart: DataFrame        # carts after the sale: refused and contested lines stay
     shortages: DataFrame   # lines that void their order
-    contested: DataFrame   # orders that fit alone but not together; not decided here
+    contested: DataFrame   # orders that fit alone but not together, and were not sold
     work: str              # folder that the outputs read from
 
     def close(self) -> None:
@@ -35,11 +36,12 @@ class Checkout:
 
 
 def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "user_id",
-             work: str | None = None) -> Checkout:
+             work: str | None = None, by_arrival: bool = False) -> Checkout:
     """Sell the orders that have no shortage and want no oversold product. Runs jobs.
 
     An order stands or falls as a whole. Which of several contenders came first is not
-    guessed: their lines are returned as ``contested``.
+    guessed: their lines are returned as ``contested``. With ``by_arrival`` the time of their lines
+    decides, and only those that come too late are returned.
     """
     spark = cart.sparkSession
     work = work or scratch_folder(spark, "checkout")
@@ -48,6 +50,11 @@ def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "us
     lines = settle(c.merge_lines(cart, owner), f"{work}/lines")
     admissible = settle(c.admissible_orders(lines, products, owner), f"{work}/admissible")
     uncontested, contested = c.split_contested(admissible, products, owner)
+    if by_arrival:
+        verdicts = decide_by_arrival(contested, products, owner, f"{work}/allocation")
+        admitted = verdicts.filter("admitted").select(owner)
+        uncontested = uncontested.unionByName(contested.join(admitted, owner, "left_semi"))
+        contested = contested.join(admitted, owner, "left_anti")
     sold = settle(uncontested, f"{work}/sold")
     return Checkout(
         events=c.checkout_events(sold, products, at),

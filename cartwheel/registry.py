@@ -14,6 +14,7 @@ from cartwheel import schemas
 from cartwheel.functions.times import date_label, minute_label
 from cartwheel.operators import (cleaning, commerce, dimensions, events as ev, metrics, quality,
                                  serving, synthesis, telemetry)
+from cartwheel.operators.allocation import decide_by_arrival
 from cartwheel.plans import checkout as checkout_plan, daily as daily_plan, preparation
 from cartwheel.session import apply_settings, cut_lineage, scratch_folder
 from cartwheel.sinks.files import write_csv
@@ -951,6 +952,13 @@ def dimension_csv_rejected(spark, folder):
     return good.unionByName(bad)
 
 
+@query
+def contested_orders_decided(spark, folder):
+    """Every order by arrival against the stock that earlier ones leave."""
+    lines = commerce.merge_lines(w.carts(spark, folder), "order_id")
+    return decide_by_arrival(lines, w.shop_products(spark, folder), "order_id").select("order_id", "admitted")
+
+
 @query
 def tables_ensured(spark, folder):
     """One day of the catalog table that lies over the folders of the raw job."""
