@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cartwheel.functions.draws import content_hash
 from cartwheel.session import cut_lineage
 
 
@@ -25,6 +26,39 @@ def ordered_segments(df: DataFrame, order: Sequence[str], segments: int | None =
                          .withColumn("segment", F.spark_partition_id()))
 
 
+FEW_ROWS = 10_000           # what a task or the driver may sort at once
+SEGMENT_ROWS = 1_000_000
+
+
+def rows_between(df: DataFrame, order: Sequence[str], start: int, stop: int) -> DataFrame:
+    """Rows ``start`` up to ``stop`` (from 0, the last not included) of ``df`` by ``order``, in that
+    order. Runs jobs.
+
+    Near the beginning Spark keeps the first rows of each task. Further on, rows are dealt by
+    ranges of the order into segments of bounded size, and counting these tells which ones lie
+    inside; only the two at the ends are numbered. Rows equal in ``order`` come by a hash of
+    their content; equal rows are interchangeable, but all in one segment.
+    """
+    if stop <= FEW_ROWS:
+        return df.orderBy(*order, content_hash(df)).offset(start).limit(max(0, stop - start))
+    count = max(1, -(-df.count() // SEGMENT_ROWS))
+    placed = ordered_segments(df.withColumn("_tie", content_hash(df)), [*order, "_tie"], count)
+    before, whole, ends = 0, [], []
+    # a row per segment of SEGMENT_ROWS rows
+    for row in placed.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).orderBy("segment").collect():
+        first, before = before, before + row["n"]
+        if first >= start and before <= stop:
+            whole.append(row["segment"])
+        elif first < stop and before > start:
+            ends.append((row["segment"], start - first, stop - first))
+    kept = placed.filter(F.col("segment").isin(whole))
+    for segment, low, high in ends:
+        number = F.row_number().over(Window.partitionBy("segment").orderBy(*order, "_tie")) - 1
+        kept = kept.unionByName(placed.filter(F.col("segment") == segment).withColumn("_at", number)
+                                .filter((F.col("_at") >= low) & (F.col("_at") < high)).drop("_at"))
+    return kept.orderBy(*order, "_tie").drop("segment", "_tie")
+
+
 def running_total(df: DataFrame, order: Sequence[str], value: str, upto: str,
                   keys: Sequence[str] = (), total: str | None = None,
                   segments: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cartwheel.functions.draws import content_hash
 from cartwheel.functions.text import contains_ci
 from cartwheel.functions.times import Instant, since
+from cartwheel.operators.ordering import rows_between
 
 FALLBACK_WINDOWS = 60  # fixed value: windows shown when none is recent
 
@@ -20,15 +21,18 @@ def search_products(products: DataFrame, text: str | None) -> DataFrame:
     return products.filter(contains_ci(F.col("description"), text))
 
 
-def page(ordered: DataFrame, skip: int = 0, limit: int = 20) -> DataFrame:
+def page(rows: DataFrame, order: list[str], skip: int = 0, limit: int = 20) -> DataFrame:
+    """Rows ``skip`` to ``skip + limit`` by ``order``, however far down they lie."""
     if skip < 0 or not 1 <= limit <= 100:
         raise ValueError("skip must be 0 or more and limit from 1 to 100")
-    return ordered.offset(skip).limit(limit)
+    return rows_between(rows, order, skip, skip + limit)
 
 
 def list_products(products: DataFrame, skip: int = 0, limit: int = 20,
                   search: str | None = None) -> DataFrame:
-    return page(by_popularity(search_products(products, search)), skip, limit)
+    found = search_products(products, search).withColumn(
+        "_rank", F.coalesce(-F.col("total_purchase_count").cast("long"), F.lit(1 << 62)))
+    return page(found, ["_rank", "product_id"], skip, limit).drop("_rank")
 
 
 def lookup(df: DataFrame, key: str, value) -> DataFrame:

@@ -195,6 +195,25 @@ def _quantile(q: float) -> str:
         GROUP BY window_start, handler""", "ladder")
 
 
+_STREAM_TOTALS = _sql("""
+        SELECT product_id, count(*) FILTER (WHERE event_type = 'view') AS view_count,
+               count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
+               round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
+        FROM shop_events WHERE product_id IS NOT NULL AND event_type <> 'error'
+        GROUP BY product_id""", "shop_events")
+
+_UPSERTED = _sql("""
+        SELECT coalesce(n.product_id, c.product_id) AS product_id,
+               CASE WHEN n.product_id IS NOT NULL THEN n.description ELSE c.description END AS description,
+               CASE WHEN n.product_id IS NOT NULL THEN n.price ELSE c.price END AS price,
+               CASE WHEN n.product_id IS NOT NULL THEN n.total_purchase_count
+                    ELSE c.total_purchase_count END AS total_purchase_count,
+               CASE WHEN c.product_id IS NOT NULL THEN c.stock
+                    ELSE n.total_purchase_count + 1 END AS stock
+        FROM shop_products AS c FULL JOIN products_built AS n ON c.product_id = n.product_id""",
+        "shop_products", "products_built")
+
+
 ORACLES: dict[str, str] = {
     # -- sources
     "invoice_csv_source": _sql("""
@@ -253,16 +272,8 @@ ORACLES: dict[str, str] = {
     "product_stock_bounds": _sql("""
         SELECT product_id, total_purchase_count, true AS in_bounds FROM products_built""",
         "products_built"),
-    "products_upserted": _sql("""
-        SELECT coalesce(n.product_id, c.product_id) AS product_id,
-               CASE WHEN n.product_id IS NOT NULL THEN n.description ELSE c.description END AS description,
-               CASE WHEN n.product_id IS NOT NULL THEN n.price ELSE c.price END AS price,
-               CASE WHEN n.product_id IS NOT NULL THEN n.total_purchase_count
-                    ELSE c.total_purchase_count END AS total_purchase_count,
-               CASE WHEN c.product_id IS NOT NULL THEN c.stock
-                    ELSE n.total_purchase_count + 1 END AS stock
-        FROM shop_products AS c FULL JOIN products_built AS n ON c.product_id = n.product_id""",
-        "shop_products", "products_built"),
+    "products_upserted": _UPSERTED,
+    "products_upserted_by_slot": _UPSERTED,
     "users_upserted": _sql("""
         SELECT coalesce(n.user_id, c.user_id) AS user_id,
                CASE WHEN n.user_id IS NOT NULL THEN n.country ELSE 'unknown' END AS country,
@@ -579,12 +590,8 @@ ORACLES: dict[str, str] = {
     "stream_rejected_events": _sql("""
         SELECT user_id, event_type, product_id, price, event_time, 'event_type unknown' AS reason
         FROM shop_events WHERE event_type = 'error'""", "shop_events"),
-    "stream_product_stats": _sql("""
-        SELECT product_id, count(*) FILTER (WHERE event_type = 'view') AS view_count,
-               count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
-               round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
-        FROM shop_events WHERE product_id IS NOT NULL AND event_type <> 'error'
-        GROUP BY product_id""", "shop_events"),
+    "stream_product_totals": _STREAM_TOTALS,
+    "stream_product_stats": _STREAM_TOTALS,
     "stream_traffic_windows": _sql("""
         SELECT * FROM (
             SELECT date_trunc('minute', event_time) AS window_start,
@@ -646,6 +653,20 @@ ORACLES: dict[str, str] = {
                   FROM served AS s JOIN queue AS o ON o.turn = s.turn + 1) AS q)
           SELECT order_id, admitted FROM served WHERE turn > 0
           UNION ALL SELECT order_id, possible FROM per_order WHERE NOT possible OR places IS NULL) AS decided""", "carts", "shop_products"),
+    "product_search_indexed": _sql(
+        "SELECT * FROM shop_products WHERE description ILIKE '%ALL%_lt%'", "shop_products"),
+    "product_search_short_text": _sql(
+        "SELECT * FROM shop_products WHERE description ILIKE '%r_d%g%'", "shop_products"),
+    "users_from_minute_sketches": _sql("""
+        SELECT '1 hour' AS span, date_trunc('hour', event_time) AS window_start, count(DISTINCT user_id) AS users,
+               count(*) AS events, true AS near FROM shop_events
+        WHERE event_type <> 'error' AND event_time IS NOT NULL GROUP BY 2
+        UNION ALL
+        SELECT '1 day', date_trunc('day', event_time), count(DISTINCT user_id), count(*), true FROM shop_events
+        WHERE event_type <> 'error' AND event_time IS NOT NULL GROUP BY 2""", "shop_events"),
+    "quantiles_from_minute_sketches": """
+        SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS "values", true AS all_counted, true AS p50_near,
+               true AS p95_near FROM events WHERE value IS NOT NULL GROUP BY 1, 2""",
     "late_events_after_compaction": _sql("""
         SELECT stage, CAST("timestamp" AS DATE) AS event_date, count(*) AS event_count, round(sum(price), 2) AS price_sum
         FROM raw_events, (VALUES ('late'), ('merged')) AS s(stage) GROUP BY 1, 2""", "raw_events"),

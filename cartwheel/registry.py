@@ -14,12 +14,15 @@ from cartwheel import schemas
 from cartwheel.functions.times import date_label, minute_label
 from cartwheel.operators import (cleaning, commerce, dimensions, events as ev, metrics, quality,
                                  serving, synthesis, telemetry)
+from cartwheel.operators import sketches
 from cartwheel.operators.allocation import decide_by_arrival
+from cartwheel.operators.text_index import TextIndex
 from cartwheel.plans import checkout as checkout_plan, daily as daily_plan, preparation
 from cartwheel.session import apply_settings, cut_lineage, scratch_folder
 from cartwheel.sinks.files import write_csv
 from cartwheel.sinks.batches import append_raw, compact_days, raw_table, read_raw, windows_table
 from cartwheel.sinks.kafka import to_messages
+from cartwheel.sinks.keyed import KeyedTable
 from cartwheel.sinks.snapshots import publish_snapshot, read_snapshot
 from cartwheel.sources import warehouse as w
 from cartwheel.sources.events import decode_checked, decode_events, decode_events_as_text
@@ -959,6 +962,83 @@ def contested_orders_decided(spark, folder):
     return decide_by_arrival(lines, w.shop_products(spark, folder), "order_id").select("order_id", "admitted")
 
 
+def _product_index(spark: SparkSession, folder: str) -> TextIndex:
+    index = TextIndex(scratch_folder(spark, "text-index"))
+    index.build(w.shop_products(spark, folder))
+    return index
+
+
+@query
+def product_search_indexed(spark, folder):
+    """The rows of ``product_search_wildcards``, for another text, by posting lists."""
+    return _product_index(spark, folder).search(spark, "ALL%_lt")
+
+
+@query
+def product_search_short_text(spark, folder):
+    """No three letters in a row: the index cannot tell, and the catalog is read."""
+    return _product_index(spark, folder).search(spark, "r_d%g")
+
+
+@query
+def users_from_minute_sketches(spark, folder):
+    """Users of hours and of the whole time from sketches stored per minute: within the stated
+    error of the exact count, which is told as well."""
+    valid = _valid_events(spark, folder)
+    minutes = cut_lineage(sketches.minute_sketches(valid))
+    checked = None
+    for span in ("1 hour", "1 day"):
+        exact = (valid.filter("event_time is not null").groupBy(F.window("event_time", span).start.alias("window_start"))
+                 .agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("events")))
+        near = F.abs(F.col("unique_users") - F.col("users")) <= 1 + sketches.USERS_ERROR * F.col("users")
+        one = sketches.traffic_over(minutes, span).join(exact, "window_start").select(
+            F.lit(span).alias("span"), "window_start", "users", F.col("event_count").alias("events"), near.alias("near"))
+        checked = one if checked is None else checked.unionByName(one)
+    return checked
+
+
+@query
+def quantiles_from_minute_sketches(spark, folder):
+    """p50 and p95 per event type and day from sketches stored per minute: the share of values below
+    and up to each is within the stated rank error."""
+    samples = w.table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    minutes = cut_lineage(sketches.value_sketches(samples, "value", ["event_type"]))
+    found = sketches.quantiles_over(minutes, {"p50": 0.50, "p95": 0.95}, ["event_type"], "1 day")
+    days = samples.filter("value is not null").withColumn("window_start", F.window("ts", "1 day").start)
+    ranked = days.join(found, ["window_start", "event_type"]).groupBy("window_start", "event_type").agg(
+        F.count(F.lit(1)).alias("values"), F.first("value_count").alias("sketched"),
+        *[F.avg((F.col("value") < F.col(p)).cast("int")).alias(f"below_{p}") for p in ("p50", "p95")],
+        *[F.avg((F.col("value") <= F.col(p)).cast("int")).alias(f"upto_{p}") for p in ("p50", "p95")])
+    slack = sketches.RANK_ERROR + 1 / F.col("values")
+    near = [(F.col(f"below_{p}") <= q + slack) & (F.col(f"upto_{p}") >= q - slack) for p, q in (("p50", 0.5), ("p95", 0.95))]
+    return ranked.select("window_start", "event_type", "values", (F.col("values") == F.col("sketched")).alias("all_counted"),
+                         near[0].alias("p50_near"), near[1].alias("p95_near"))
+
+
+@query
+def stream_product_totals(spark, folder):
+    """Totals kept up by deltas: several batches, a base in between, merged on read."""
+    path = scratch_folder(spark, "event-files")
+    events = w.shop_events(spark, folder)
+    events.repartitionByRange(6, "event_time").write.parquet(path)
+    folders = jobs.StreamFolders(scratch_folder(spark, "stream"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    jobs.start_product_totals(stream, folders, once=True).awaitTermination()
+    return _round(jobs.product_totals(folders).read(spark), "revenue")
+
+
+@query
+def products_upserted_by_slot(spark, folder):
+    """The result of ``products_upserted``, where only the slots of arrivals were rewritten."""
+    name = "products_" + scratch_folder(spark, "x").rsplit("-", 1)[-1]
+    new = (dimensions.build_products(_cleaned(spark, folder))
+           .withColumn("stock", F.col("total_purchase_count") + 1))
+    held = KeyedTable(name, "product_id", slots=16, buckets=4)
+    held.create(w.shop_products(spark, folder).to(schemas.PRODUCTS))
+    held.upsert(new, dimensions.upsert_products)
+    return held.read(spark)
+
+
 @query
 def tables_ensured(spark, folder):
     """One day of the catalog table that lies over the folders of the raw job."""

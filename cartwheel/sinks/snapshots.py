@@ -38,6 +38,19 @@ def _versions(spark: SparkSession, base: str) -> list[tuple[int, str, str, bool]
     return sorted(found)
 
 
+def complete_versions(spark: SparkSession, base: str) -> list[tuple[str, str]]:
+    """(tag, path) of what readers may see, oldest first."""
+    return [(tag, path) for _, tag, path, done in _versions(spark, base) if done]
+
+
+def settled_version(spark: SparkSession, base: str, keep_hours: float) -> str | None:
+    """Tag of the newest version that has been complete for ``keep_hours``: whoever reads now began
+    after it was there."""
+    limit = time.time() * 1000 - keep_hours * 3_600_000
+    old = [tag for tag, path in complete_versions(spark, base) if _completed(spark, path) <= limit]
+    return old[-1] if old else None
+
+
 def publish_snapshot(df: DataFrame, base: str, tag: str, keep_hours: float = KEEP_HOURS) -> bool:
     """Publish ``df`` as the newest version of ``base``.
 

@@ -7,6 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cartwheel import schemas
 from cartwheel.functions.text import unescaped
+from cartwheel.operators.ordering import rows_between
 from cartwheel.operators.serving import time_ordered
 from cartwheel.session import scratch_folder, settle
 from cartwheel.sinks.files import LOSSLESS
@@ -103,8 +104,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, lossless: bool
 def read_event_log(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Event log in time order, optionally only its first ``limit`` events."""
     log = _csv(spark, path, schemas.EVENT_LOG)
-    log = time_ordered(log.withColumn("user_id", F.col("user_id").cast("long")))
-    return log.limit(limit) if limit else log
+    log = log.withColumn("user_id", F.col("user_id").cast("long"))
+    return rows_between(log, ["timestamp"], 0, limit) if limit else time_ordered(log)
 
 
 def sample_lines(df: DataFrame, fraction: float, seed: int = schemas.SEED,

@@ -10,7 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from cartwheel.operators.events import default_event_time, split_valid, validate_events
 from cartwheel.operators.metrics import product_stats, traffic_stats
 from cartwheel.sinks.batches import append_raw, append_windows, write_batch
+from cartwheel.operators.sketches import minute_sketches
+from cartwheel.schemas import PRODUCT_STATS
 from cartwheel.sinks.snapshots import publish_snapshot
+from cartwheel.sinks.totals import RunningTotals
 
 WATERMARK = "10 minutes"  # fixed value: how late an event may come
 
@@ -83,6 +86,28 @@ def start_product_stats(events: DataFrame, folders: StreamFolders, once: bool =
     return _start(product_stats(valid_only(events)), folders, "product_stats", "complete", write, once)
 
 
+def start_product_totals(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
+    """The same totals, but each batch writes only the products it changed; see ``product_totals``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        product_totals(folders).write(batch, batch_id)
+
+    return _start(product_stats(valid_only(events)), folders, "product_totals", "update", write, once)
+
+
+def product_totals(folders: StreamFolders) -> RunningTotals:
+    """Where this run's totals are kept, to be read."""
+    return RunningTotals(f"{folders.table('product_totals')}/{folders.run}", PRODUCT_STATS, "product_id")
+
+
+def start_traffic_sketches(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
+    """Closed minutes with a sketch of their users, from which ``operators.sketches`` counts the users
+    of any longer span."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, folders.table("traffic_sketches"), folders.run)
+
+    return _start(minute_sketches(valid_only(events), WATERMARK), folders, "traffic_sketches", "append", write, once)
+
+
 def start_traffic_stats(events: DataFrame, folders: StreamFolders, once: bool = False) -> StreamingQuery:
     """Minute windows of valid events, each written once the watermark has passed its end."""
     def write(batch: DataFrame, batch_id: int) -> None:
