@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cartwheel.functions.draws import content_hash
 from cartwheel.functions.text import contains_ci
 from cartwheel.functions.times import Instant, since
+from cartwheel.operators.metrics import traffic_stats
 from cartwheel.operators.ordering import rows_between
 
 FALLBACK_WINDOWS = 60  # fixed value: windows shown when none is recent
@@ -70,6 +71,22 @@ def recent_traffic(traffic: DataFrame, minutes: int = 60, as_of: Instant = None)
     return recent.unionByName(last).orderBy("window_start")
 
 
+def recent_traffic_of_events(events: DataFrame, minutes: int = 60, as_of: Instant = None, exact: bool = False) -> DataFrame:
+    """What ``recent_traffic`` shows, from events: only those of the minutes shown are counted.
+
+    Where the first of these minutes lies is asked first, of the times alone: of the recent events, or, if
+    there are none, of the last minutes that have any. The events are then read from there on.
+    """
+    minute = F.date_trunc("minute", "event_time")
+    is_recent = since(F.col("event_time"), as_of, minutes=minutes)      # bounds the scan
+    begun = events.filter(is_recent).select(minute.alias("m")).filter(since(F.col("m"), as_of, minutes=minutes))
+    last = (events.filter(F.col("event_time").isNotNull()).select(minute.alias("m")).distinct()
+            .orderBy(F.desc("m")).limit(FALLBACK_WINDOWS))
+    first = F.coalesce(begun.agg(F.min("m")).scalar(), last.agg(F.min("m")).scalar())
+    counted = traffic_stats(events.filter(F.col("event_time") >= first), exact=exact)
+    return counted.select("window_start", "unique_users", "event_count", "revenue").orderBy("window_start")
+
+
 def daily_trend(daily: DataFrame, n: int = 30, newest_first: bool = False) -> DataFrame:
     """The latest ``n`` days, oldest first for charts or newest first for the table."""
     latest = daily.orderBy(F.desc("metric_date")).limit(n)

@@ -403,14 +403,14 @@ def top_products(spark, folder):
 
 @query
 def recent_traffic(spark, folder):
-    shown = serving.recent_traffic(_traffic(spark, folder), 60, AS_OF)
+    shown = serving.recent_traffic_of_events(_valid_events(spark, folder), 60, AS_OF, exact=True)
     return _round(shown, "revenue").withColumn("minute", minute_label(F.col("window_start")))
 
 
 @query
 def recent_traffic_fallback(spark, folder):
     """Asked long after the last event: the last 60 windows are shown."""
-    return _round(serving.recent_traffic(_traffic(spark, folder), 60, "2030-01-01 00:00:00"),
+    return _round(serving.recent_traffic_of_events(_valid_events(spark, folder), 60, "2030-01-01 00:00:00", exact=True),
                   "revenue")
 
 

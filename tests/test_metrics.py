@@ -108,7 +108,7 @@ def test_pages_do_not_overlap(spark):
     assert len(seen) == 50 == len(set(seen))
     for skip, limit in ((-1, 20), (0, 0), (0, 101)):
         with pytest.raises(ValueError):
-            serving.page(df, skip, limit)
+            serving.page(df, ["product_id"], skip, limit)
 
 
 def test_top_products_keep_unknown_ones(spark):
@@ -131,3 +131,14 @@ def test_dashboard_frames(spark):
     assert [r.day for r in day["chart"].collect()] == ["2024-01-01"]
     assert day["latest"].count() == 1
     assert dashboard.daily(spark.createDataFrame([], DAILY_METRICS))["latest"].count() == 0
+
+
+def test_recent_traffic_of_events_counts_the_shown_minutes_only(spark):
+    times = [at(f"2024-01-01 {h:02d}:{m:02d}:30") for h in range(4) for m in range(0, 60, 2)] + [None]
+    events = spark.createDataFrame([(i % 7, "purchase", "A", 1.0, t) for i, t in enumerate(times)],
+                                   "user_id long, event_type string, product_id string, price double, event_time timestamp")
+    for as_of, minutes in (("2024-01-01 03:58:40", 20), ("2024-01-01 03:58:00", 20), ("2024-01-01 02:00:30", 1), ("2030-01-01 00:00:00", 5)):
+        want = serving.recent_traffic(metrics.traffic_stats(events, exact=True), minutes, as_of)
+        got = serving.recent_traffic_of_events(events, minutes, as_of, exact=True)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], as_of
+    assert serving.recent_traffic_of_events(events.limit(0), 5, "2024-01-01").collect() == []
