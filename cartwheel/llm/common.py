@@ -55,10 +55,19 @@ def free_names(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def settled(df: DataFrame, purpose: str) -> DataFrame:
+def settled_in(df: DataFrame, purpose: str, compression: str | None = None) -> tuple[DataFrame, str]:
+    """As ``settled``, with the folder, so that it can be removed when it has been replaced."""
+    folder = scratch_folder(df.sparkSession, f"llm-{purpose}")
+    if not compression:
+        return settle(df, folder), folder
+    df.write.mode("overwrite").option("compression", compression).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def settled(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: every later step sees the same
     rows, and a lost executor costs no recomputation beyond this point."""
-    return settle(df, scratch_folder(df.sparkSession, f"llm-{purpose}"))
+    return settled_in(df, purpose, compression)[0]
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:

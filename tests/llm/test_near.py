@@ -115,15 +115,47 @@ def test_hot_segments_meet_in_blocks(spark):
     rows = [(i, "the very same beginning of a line " + words(rng, 5)) for i in range(200)]
     rows += [(300 + i, t + "!") for i, t in rows[:40]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    old = line_dedup.BLOCK
+    old = line_dedup.BLOCK, line_dedup.SPLIT, line_dedup.SAMPLE, line_dedup.PIECE
     try:
-        line_dedup.BLOCK = 32
+        line_dedup.BLOCK, line_dedup.SPLIT, line_dedup.SAMPLE, line_dedup.PIECE = 32, 20, 1, 100
         removed = {r.doc_id for r in line_dedup.dedup_lines(docs).filter("n_removed > 0").collect()}
     finally:
-        line_dedup.BLOCK = old
+        line_dedup.BLOCK, line_dedup.SPLIT, line_dedup.SAMPLE, line_dedup.PIECE = old
     assert removed == set(range(300, 340))
 
 
+def test_a_crowded_key_is_met_in_pieces(monkeypatch):
+    """Twenty thousand lines under one segment: no more than a piece of their pairs at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+    n = 20_000
+    order = np.arange(n, dtype=np.uint16)
+    tall = (np.arange(n) // 40 % 250).astype(np.uint8)
+    group = pa.table({"load": [7], "filed": [1000], "keys": [line_dedup._planes(np.full(n, 5, np.uint64), "<u4")],
+                      "lines": [line_dedup._planes(order, "<u2")], "tall": [tall.tobytes()]})
+    tracemalloc.start()
+    pairs = line_dedup._meet(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    wide = tall.astype(int)
+    want = sum(int((np.abs(wide[i] - wide) <= 8).sum()) - 1 - int((np.abs(wide[i] - wide[:i]) <= 8).sum()) for i in range(1000))
+    assert pairs.num_rows == want and peak < 400 << 20
+
+
+def test_pair_counts_never_tell_near_lines_apart():
+    rng = random.Random(3)
+    for _ in range(200):
+        a = words(rng, rng.randint(4, 90))[:rng.randint(20, 600)].ljust(20, "x")
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 20)):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(0, 1)] = rng.choice(["", "Z", "é"])
+        b = "".join(b)
+        one, two = line_dedup.pair_counts([a, b]).astype(int)
+        assert np.abs(one - two).sum() <= 4 * distance(a, b)
+
+
 def test_edit_distances():
     rng = random.Random(2)
     pairs = []
