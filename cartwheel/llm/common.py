@@ -55,6 +55,12 @@ def free_names(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def as_given(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names, where ``out`` has them first, renamed perhaps by
+    ``free_names``, and in the same order."""
+    return out.select(*[F.col(f"`{new}`").alias(old) for new, old in zip(out.columns, docs.columns)])
+
+
 def settled_in(df: DataFrame, purpose: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """As ``settled``, with the folder, so that it can be removed when it has been replaced."""
     folder = scratch_folder(df.sparkSession, f"llm-{purpose}")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from cartwheel.llm.common import batches, free_names, map_batches, map_groups, partitions_for, settled
+from cartwheel.llm.common import as_given, batches, free_names, map_batches, map_groups, partitions_for, settled
 from cartwheel.llm.components import components
 from cartwheel.llm.shingles import _BASE, shingle_sets, signature
 
@@ -467,7 +467,8 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90, key: str
     a component. An empty table gives an empty result.
     """
     placed = settled(_components(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), size, percent), "placed")
-    smallest = placed.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id"))
+    # settled before it is joined, so that a component with very many rows can be split
+    smallest = settled(placed.filter("root is not null").groupBy("root").agg(F.min("key").alias("component_id")), "smallest")
     return (placed.filter("root is not null").join(smallest, "root")
             .select("key", "n_shingles", "component_id", "n_links")
             .unionByName(placed.filter("root is null").select(
@@ -477,7 +478,9 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90, key: str
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id",
                text: str = "text") -> DataFrame:
     """The row with the smallest key of every component, whole; ties go to a hash of the text, and
-    of rows equal in both any one stays. Rows without a shingle all stay. A null key goes last."""
+    of rows equal in both any one stays. Rows without a shingle all stay. A null key goes last. An
+    empty table stays empty, and all columns keep their names, whatever they are."""
+    given, docs = docs, free_names(docs, "_key")
     order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(text).alias("tie"))
     placed = settled(_components(docs.select(order.alias("key"), F.col(text).alias("text")), size, percent), "placed")
     first = (placed.filter("root is not null").groupBy("root").agg(F.min("key").alias("key")))
@@ -486,4 +489,4 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "do
     chosen = marked.join(first.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
     chosen = chosen.dropDuplicates(["_key"])
     bare = marked.join(placed.filter("root is null").select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
-    return chosen.unionByName(bare).select(*docs.columns)
+    return as_given(chosen.unionByName(bare).select(*docs.columns), given)

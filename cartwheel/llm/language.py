@@ -26,10 +26,10 @@ from cartwheel.llm.common import free_names, map_batches
 
 SAMPLE = 300          # training texts per language
 LANDMARKS = 40        # of these, per language
-LANGUAGES = 100       # most frequent labels that can be learned
 ALL_SAMPLE = 2400     # training texts and landmarks of all languages together: with very many
-ALL_LANDMARKS = 400   # languages each of them gets fewer, so the fit stays small
+ALL_LANDMARKS = 400   # languages each of them gets fewer, but one text at least
 SAMPLE_CHARS = 20_000  # of a longer text the sample takes a window
+ALL_CHARS = 48 << 20  # of all these texts together: with very many languages windows are shorter
 RIDGE = 1e-2
 SHARPNESS = 8.0       # of the score as a function of the margin
 SIZES = (1, 2, 3, 4)
@@ -44,7 +44,8 @@ _LETTER = regex.compile(r"\p{L}")
 class Model:
     languages: tuple[str, ...]
     places: np.ndarray      # for each hash: row of ``weights``, or -1
-    weights: np.ndarray     # n-grams of the landmarks x languages
+    weights: np.ndarray     # n-grams of the landmarks x languages, or x landmarks if these are fewer
+    marks: np.ndarray | None    # landmarks x languages, then
     bias: np.ndarray
 
 
@@ -75,11 +76,11 @@ def training_rows(docs: DataFrame) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
 
 
-def _window(text: Column, draw: Column) -> Column:
-    """A text of the sample: whole, or some ``SAMPLE_CHARS`` of a longer one with a letter in them."""
-    some = F.substring(text, (F.pmod(draw, F.length(text) - SAMPLE_CHARS + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    lettered = F.regexp_substr(text, F.lit(rf"\p{{L}}[\s\S]{{0,{SAMPLE_CHARS - 1}}}"))
-    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(
+def _window(text: Column, draw: Column, chars: int) -> Column:
+    """A text of the sample: whole, or some ``chars`` of a longer one with a letter in them."""
+    some = F.substring(text, (F.pmod(draw, F.length(text) - chars + 1) + 1).cast("int"), F.lit(chars))
+    lettered = F.regexp_substr(text, F.lit(rf"\p{{L}}[\s\S]{{0,{chars - 1}}}"))
+    return F.when(F.length(text) <= chars, text).otherwise(
         F.when(F.rlike(some, F.lit(r"\p{L}")), some).otherwise(lettered))
 
 
@@ -102,24 +103,25 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, t
     """Learn from rows with a text with letters and a label; None if there are none.
 
     The distinct texts of each label are counted; then each label keeps the ``sample`` of them with
-    the smallest hashes, however often each is repeated, so that the driver sees about
-    ``ALL_SAMPLE`` texts of bounded length at most.
+    the smallest hashes, however often each is repeated. Every label is learned. The driver sees
+    about ``ALL_SAMPLE`` texts of bounded length, or one of each label if there are more of these.
     """
     usable = (labelled.filter(F.col(lang).isNotNull() & F.rlike(text, F.lit(r"\p{L}")))
               .select(F.col(lang).alias("lang"), F.xxhash64(text, F.lit(11)).alias("draw"),
                       F.xxhash64(F.lit(5), text).alias("other"), F.col(text).alias("text")))
     counts = (usable.groupBy("lang", "draw", "other").agg(F.lit(1)).groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
+              .orderBy(F.desc("count"), "lang").collect())
     if not counts:
         return None
-    sample = max(2, min(sample, ALL_SAMPLE // len(counts)))
-    landmarks = max(2, min(landmarks, ALL_LANDMARKS // len(counts)))
+    sample = max(1, min(sample, ALL_SAMPLE // len(counts)))
+    landmarks = min(landmarks, ALL_LANDMARKS // len(counts))
+    chars = max(100, min(SAMPLE_CHARS, ALL_CHARS // (sample * len(counts))))
     picked, missing, wide = [], {r["lang"]: r["count"] for r in counts}, 1.3 * sample + 50
     while missing:   # the smallest hashes lie below a bar; if too few do, look further up
         bar = F.create_map(*[F.lit(x) for name, n in missing.items()
                              for x in (name, min(1.0, wide / n) * 2.0 ** 64 - 2.0 ** 63)])
         drawn = usable.filter(F.col("draw") <= F.element_at(bar, F.col("lang")))
-        drawn = drawn.withColumn("text", _window(F.col("text"), F.col("other")))
+        drawn = drawn.withColumn("text", _window(F.col("text"), F.col("other"), chars))
         once = map_batches(drawn, _once, drawn.schema).dropDuplicates(["lang", "draw", "other"])
         order = Window.partitionBy("lang").orderBy("draw", "other")
         rows = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).collect()
@@ -132,7 +134,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, t
         by_lang.setdefault(row["lang"], []).append(row["text"])
     names = tuple(sorted(by_lang))
     grams = {n: [_present(t) for t in by_lang[n]] for n in names}
-    marks = [g for n in names for g in grams[n][:landmarks]]
+    # with more languages than landmarks, those of some languages, evenly dealt, serve them all
+    lent = names if landmarks else [names[i * len(names) // ALL_LANDMARKS] for i in range(ALL_LANDMARKS)]
+    marks = [g for n in lent for g in grams[n][:max(landmarks, 1)]]
     vocabulary = np.unique(np.concatenate(marks))
     places = np.full(1 << _BITS, -1, np.int32)
     places[vocabulary] = np.arange(len(vocabulary))
@@ -157,7 +161,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, t
     mean = (weigh * y).sum(0) / weigh.sum()
     gram = x.T @ (weigh * x) + RIDGE / x.shape[1] * np.eye(x.shape[1])
     ridge = np.linalg.solve(gram, x.T @ (weigh * (y - mean)))
-    return Model(names, places, (marked.T @ (root @ ridge)).astype(np.float32), mean)
+    of_marks = (root @ ridge).astype(np.float32)
+    if len(marks) < len(names):
+        return Model(names, places, np.ascontiguousarray(marked.T), of_marks, mean)
+    return Model(names, places, (marked.T @ of_marks).astype(np.float32), None, mean)
 
 
 def _scores(model: Model, texts: list[str]) -> np.ndarray:
@@ -169,7 +176,8 @@ def _scores(model: Model, texts: list[str]) -> np.ndarray:
             at = model.places[grams]
             presence[i, at[at >= 0]] = 1
         norms[i] = max(1.0, presence[i].sum())
-    return presence @ model.weights / np.sqrt(norms)[:, None] + model.bias
+    found = presence @ model.weights
+    return (found if model.marks is None else found @ model.marks) / np.sqrt(norms)[:, None] + model.bias
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

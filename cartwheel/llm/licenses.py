@@ -90,7 +90,7 @@ def scan_licenses(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame
     that have one of the new names get ``_in`` appended.
     """
     new = ("n_words", "n_base", "first_word", "last_word", "base_labels", "licenses", "labels", "score")
-    docs = free_names(docs, *new)
+    docs = free_names(docs, *new, "_norm", "_pieces", "_base", "_kept")
     whole = F.coalesce(F.col(text), F.lit(""))
     lower = F.translate(whole, _UPPER, _UPPER.lower())
     norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(lower, _NOT_WORD + "++", " ")), F.lit(" "))

@@ -187,10 +187,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     # balls: in each fine cell the first row is the centre; who is close enough to it belongs to it
     fine = settled(_cells(good.select(F.col("row").alias("node"), "vector"), dims, 10, 1, 0.5, SEED + 1), "fine")
-    centres = fine.groupBy("cell").agg(F.min_by(F.struct("node", "vector"), "node").alias("c"))
+    centres = settled(fine.groupBy("cell").agg(F.min_by(F.struct("node", "vector"), "node").alias("c")), "centres")
     balls = settled(_near_centre(fine.join(centres, "cell").select("node", "vector", F.col("c.node").alias("centre"),
                                                                    F.col("c.vector").alias("centre_vector"))), "balls")
-    heads = balls.groupBy("ball").agg(F.count(F.lit(1)).alias("members"), F.max("angle").alias("radius"))
+    # what is joined to all members of a ball or component is settled first: a large one can then be split
+    heads = settled(balls.groupBy("ball").agg(F.count(F.lit(1)).alias("members"), F.max("angle").alias("radius")), "heads")
     ends = (balls.filter("node = ball").select("node", "vector"))
     most = balls.agg(F.max("angle")).first()[0] or 0.0
     limit = math.acos(threshold)
@@ -215,9 +216,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         threshold), "single-links")
 
     sure = settled(sure.select("a", "b", "a_n", "b_n"), "ball-links")
-    of_ball = (sure.select(F.col("a").alias("ball"), F.col("b_n").alias("n"))
+    of_ball = settled(sure.select(F.col("a").alias("ball"), F.col("b_n").alias("n"))
                .unionByName(sure.select(F.col("b").alias("ball"), F.col("a_n").alias("n")))
-               .groupBy("ball").agg(F.sum("n").alias("ball_links")))
+               .groupBy("ball").agg(F.sum("n").alias("ball_links")), "links-of-balls")
     of_node = (single.select(F.col("x").alias("node")).unionByName(single.select(F.col("y").alias("node")))
                .groupBy("node").agg(F.count(F.lit(1)).alias("node_links")))
     ball_of = balls.select("node", "ball")
@@ -234,7 +235,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                       (F.col("members") - 1 + F.coalesce("ball_links", F.lit(0))
                        + F.coalesce("node_links", F.lit(0))).alias("n_links")))
     placed = settled(placed, "placed")
-    smallest = placed.groupBy("root").agg(F.min("key").alias("component_id"))
+    smallest = settled(placed.groupBy("root").agg(F.min("key").alias("component_id")), "smallest")
     linked = placed.join(smallest, "root").select("row", "key", "n_links", "component_id")
     rest = (rows.join(good.select("row"), "row", "left_anti")
             .select("row", "key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))

@@ -37,7 +37,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, pattern: str, capacity: int =
                   end_id: int = END_ID) -> DataFrame:
     """Pieces of every document: its ids by the vocabulary in the file ``tokenizer``, then
     ``end_id``. ``worker``, ``k`` and ``place`` say which task made the piece and the how-many-th
-    of its class it is there. A null or empty text is the end id alone."""
+    of its class it is there. A null or empty text is the end id alone. Rows that repeat an id or a
+    text are documents of their own; a null id stays null. An empty table gives no piece. Other columns are left out."""
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("the capacity must be a power of two")
 
@@ -67,7 +68,10 @@ def cut_documents(docs: DataFrame, tokenizer: str, pattern: str, capacity: int =
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` (gapless from 0) and ``offset``. The pieces are settled first, so that
-    numbers, counts and places belong together even if a task runs twice."""
+    numbers, counts and places belong together even if a task runs twice. Every piece is placed,
+    repeated ones too; no piece gives no sequence. ``pieces`` come from ``cut_documents``, with other columns than
+    the two added, or those get ``_in`` appended."""
+    pieces = free_names(pieces, "sequence_id", "offset", "_n", "_base", "_rank", "_rest", "_tail")
     pieces = settled(pieces, "pieces")
     counts = pieces.groupBy("k", "worker").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("k").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,7 +122,8 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def packing_digest(docs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
-    """One row per piece, with a checksum for its ids."""
+    """One row per piece, with a checksum for its ids; an empty table gives none, and columns besides
+    ``doc_id`` and ``text`` are not looked at."""
     pieces = cut_documents(docs, tokenizer, pattern).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack_pieces(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                       "sequence_id", "offset")

@@ -51,7 +51,7 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 40, seed: int = SEE
                  text: str = "text") -> DataFrame:
     """The two passes: files below ``folder``, one folder per shard, read back as a frame."""
     spark = docs.sparkSession
-    docs = free_names(docs, "shard", "bucket", "place", "slot")
+    docs = free_names(docs, "shard", "bucket", "place", "slot", "_row", "_draw", "_records", "_record")
     placed = docs.withColumn("shard", rendezvous(F.col(key), shards, seed))
     # one number per shard: bounded by the parameter, not by the data
     sizes = placed.groupBy("shard").agg(F.sum(size_of(text)).alias("bytes")).collect()

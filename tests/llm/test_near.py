@@ -217,6 +217,20 @@ def test_empty_lines_table(spark):
         "doc_id", "text", "n_lines_in", "n_lines", "n_removed"]
 
 
+def test_stages_keep_columns_whose_names_clash(spark):
+    """Columns that stages use themselves come out as they went in."""
+    names = ["lang_pred", "score", "n_lines", "n_removed", "_k1", "_gone", "_key"]
+    rows = [(i, f"a line of some words, number {i} of them\nand one more line {i * 7}", "en" if i % 2 else "de", "s", 1, *[f"{n}{i}" for n in names])
+            for i in range(12)]
+    docs = spark.createDataFrame(rows, DOCS + "".join(f", {n} string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[n] == f"{n}{r.doc_id}" for r in kept for n in names)
+        assert stage(spark, docs.limit(0), "").count() == 0
+
+
 def vectors(seed: int = 3) -> list[tuple]:
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((150, 16))

@@ -243,6 +243,20 @@ def test_copies_and_long_texts_leave_no_language_out(spark):
     assert np.array_equal(model.places, again.places) and np.allclose(model.weights, again.weights)
 
 
+@pytest.mark.parametrize("landmarks", [400, 60])
+def test_every_label_is_learned(spark, monkeypatch, landmarks):
+    """More labels than landmarks, and more than any list of frequent ones would hold."""
+    monkeypatch.setattr(language, "ALL_LANDMARKS", landmarks)
+    rng = random.Random(9)
+    stems = {f"l{i:03d}": " ".join("".join(chr(0x61 + rng.randrange(26)) for _ in range(3)) for _ in range(4)) for i in range(150)}
+    rows = [(name, sentences(rng, stems[name], 40)) for name in stems for _ in range(3 if name > "l010" else 30)]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == tuple(sorted(stems))
+    fresh = [(name, sentences(rng, stems[name], 60)) for name in stems]
+    got = language.identify(spark.createDataFrame(fresh, "lang string, text string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= (145 if landmarks == 400 else 50)     # landmarks of few labels tell the others apart less well
+
+
 def test_kernel_sees_whole_texts():
     assert {int(g) for g in language._present("a" * 300_000 + "zq")} >= {int(g) for g in language._present("azq")[:0]}
     tail = set(language._present("zq")) - set(language._present("a"))
