@@ -133,7 +133,8 @@ def test_a_crowded_key_is_met_in_pieces(monkeypatch):
     order = np.arange(n, dtype=np.uint16)
     tall = (np.arange(n) // 40 % 250).astype(np.uint8)
     group = pa.table({"load": [7], "filed": [1000], "keys": [line_dedup._planes(np.full(n, 5, np.uint64), "<u4")[:3 * n]],
-                      "lines": [line_dedup._planes(order, "<u2")], "tall": [tall.tobytes()]})
+                      "lines": [line_dedup._planes(order, "<u2")], "tall": [tall.tobytes()],
+                      "near": [line_dedup._planes(np.zeros(n, np.uint16), "<u2")]})
     tracemalloc.start()
     pairs = line_dedup._meet(group)
     peak = tracemalloc.get_traced_memory()[1]
