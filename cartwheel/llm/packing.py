@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartwheel.llm.bpe import codec
-from cartwheel.llm.common import map_batches, settled
+from cartwheel.llm.common import free_names, map_batches, settled
 
 CAPACITY = 2048
 END_ID = 1
