@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.functions.draws import whole
 from cartwheel.functions.money import to_step
-from cartwheel.schemas import SEED
+from cartwheel.schemas import SEED, STOCK_LEAST, STOCK_NOISE, STOCK_SHARE
 
 
 def build_products(cleaned: DataFrame) -> DataFrame:
@@ -31,8 +31,8 @@ def build_products(cleaned: DataFrame) -> DataFrame:
 
 def assign_stock(products: DataFrame, seed: int = SEED) -> DataFrame:
     """Stock in proportion to past lines, plus seeded noise of -3 to 9, never negative."""
-    base = F.greatest(F.col("total_purchase_count") * 0.3, F.lit(5.0)).cast("long")
-    noise = whole([F.col("product_id")], "stock", -3, 10, seed)
+    base = F.greatest(F.col("total_purchase_count") * STOCK_SHARE, F.lit(STOCK_LEAST)).cast("long")
+    noise = whole([F.col("product_id")], "stock", *STOCK_NOISE, seed)
     return products.withColumn("stock", F.greatest(base + noise, F.lit(0)))
 
 

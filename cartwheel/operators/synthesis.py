@@ -10,7 +10,7 @@ from cartwheel.functions.draws import below, bucket, whole
 from cartwheel.functions.times import plus_minutes
 from cartwheel.operators.ordering import previous_value
 from cartwheel.operators.rows import number_copies
-from cartwheel.schemas import FUNNEL, RANDOM_MIX, SEED
+from cartwheel.schemas import CART_MINUTES, FUNNEL, RANDOM_MIX, SEED, VIEW_MINUTES
 
 _BUCKETS = 1024
 EVENT_COLUMNS = ("user_id", "event_type", "product_id", "price", "timestamp")
@@ -76,8 +76,8 @@ def conversion_path(purchases: DataFrame, key: Sequence[str] | None = None,
     """
     cols = [F.col(c) for c in (key or purchases.columns)]
     minute = F.date_trunc("minute", "timestamp")
-    cart = whole(cols, "cart", 1, 15, seed)
-    view = cart + whole(cols, "view", 5, 60, seed)
+    cart = whole(cols, "cart", *CART_MINUTES, seed)
+    view = cart + whole(cols, "view", *VIEW_MINUTES, seed)
     steps = F.array(
         F.struct(F.lit("view").alias("event_type"), plus_minutes(minute, -view).alias("timestamp")),
         F.struct(F.lit("add_to_cart").alias("event_type"),

@@ -18,6 +18,14 @@ FUNNEL = {"view": 10, "add_to_cart": 3, "purchase": 1}
 RANDOM_MIX = {"view": 10, "search": 2, "add_to_cart": 3, "purchase": 1}
 SEED = 42
 
+# Bounds of draws, the upper one not included. Minutes from cart to purchase and from
+# view to cart; units added to a share of past lines for a product's stock, and the least of that.
+CART_MINUTES = (1, 15)
+VIEW_MINUTES = (5, 60)
+STOCK_SHARE = 0.3
+STOCK_LEAST = 5.0
+STOCK_NOISE = (-3, 10)
+
 
 _TYPES = {"STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
           "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(),
