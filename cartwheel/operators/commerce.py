@@ -6,7 +6,7 @@ one user has several.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.functions.times import Instant, instant
 from cartwheel.operators.ordering import running_total
@@ -73,6 +73,23 @@ def order_totals(priced: DataFrame, owner: str = "user_id") -> DataFrame:
         F.bround(F.sum(F.col("price") * F.col("quantity")), 2).alias("total_price"))
 
 
+def with_catalog(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with ``stock`` and ``price`` of their product, null where it is unknown."""
+    return lines.join(products.select("product_id", "stock", "price"), "product_id", "left").select(*lines.columns, "stock", "price")
+
+
+def is_short() -> Column:
+    """Whether a line ``with_catalog`` wants what is unknown, or more than there is."""
+    return F.col("stock").isNull() | (F.col("stock") < F.col("quantity"))
+
+
+def wants_oversold(known: DataFrame, owner: str = "user_id") -> DataFrame:
+    """Owners with a line, of lines ``with_catalog``, of which all together want more than there is."""
+    oversold = (known.groupBy("product_id").agg(F.sum("quantity").alias("_demand"), F.max("stock").alias("_stock"))
+                .filter("_demand > _stock").select("product_id"))
+    return known.join(oversold, "product_id", "left_semi").select(owner).distinct()
+
+
 def stock_shortages(cart: DataFrame, products: DataFrame) -> DataFrame:
     """Lines whose product is unknown or has less stock than asked for."""
     return (cart.join(products.select("product_id", "stock"), "product_id", "left")
@@ -130,7 +147,11 @@ def split_contested(lines: DataFrame, products: DataFrame,
 
 def checkout_events(lines: DataFrame, products: DataFrame, at: Instant = None) -> DataFrame:
     """One purchase event per unit, at catalog price and one common time."""
-    priced = lines.join(products.select("product_id", "price"), "product_id")
+    return unit_events(lines.join(products.select("product_id", "price"), "product_id"), at)
+
+
+def unit_events(priced: DataFrame, at: Instant = None) -> DataFrame:
+    """The same of lines that have their ``price``."""
     units = repeat_rows(priced.select("user_id", "product_id", "price", "quantity"),
                         "quantity", "unit")
     return units.select("user_id", F.lit("purchase").alias("event_type"), "product_id", "price",

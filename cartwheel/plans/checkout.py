@@ -47,9 +47,14 @@ def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "us
     work = work or scratch_folder(spark, "checkout")
     # one time for all outputs, whenever they are computed
     at = at if at is not None else spark.range(1).select(F.current_timestamp()).first()[0]
-    lines = settle(c.merge_lines(cart, owner), f"{work}/lines")
-    admissible = settle(c.admissible_orders(lines, products, owner), f"{work}/admissible")
-    uncontested, contested = c.split_contested(admissible, products, owner)
+    # stock and price are attached once; every verdict and output derives from these lines
+    merged = c.merge_lines(cart, owner)
+    lines = settle(c.with_catalog(merged, products), f"{work}/lines")
+    refused = lines.filter(c.is_short()).select(owner).distinct()
+    admissible = settle(lines.join(refused, owner, "left_anti"), f"{work}/admissible")
+    contenders = c.wants_oversold(admissible, owner)
+    uncontested = admissible.join(contenders, owner, "left_anti")
+    contested = admissible.join(contenders, owner, "left_semi")
     if by_arrival:
         verdicts = decide_by_arrival(contested, products, owner, f"{work}/allocation")
         admitted = verdicts.filter("admitted").select(owner)
@@ -57,9 +62,10 @@ def checkout(cart: DataFrame, products: DataFrame, at: Instant, owner: str = "us
         contested = contested.join(admitted, owner, "left_anti")
     sold = settle(uncontested, f"{work}/sold")
     return Checkout(
-        events=c.checkout_events(sold, products, at),
-        totals=c.order_totals(c.price_cart(sold, products), owner),
+        events=c.unit_events(sold, at),
+        totals=c.order_totals(sold.withColumn("price", F.coalesce("price", F.lit(0.0))), owner),
         products=c.apply_stock(products, sold),
-        cart=c.clear_carts(lines, sold, owner),
-        shortages=c.stock_shortages(lines, products),
-        contested=contested, work=work)
+        cart=c.clear_carts(lines.select(*merged.columns), sold, owner),
+        shortages=lines.filter(c.is_short()).select(
+            "product_id", *[n for n in merged.columns if n != "product_id"], "stock"),
+        contested=contested.select(*merged.columns), work=work)
