@@ -27,7 +27,7 @@ PROJECTIONS = 48
 WINDOW = 1.5
 RECALL = 0.999
 CELL = 1.5            # width of a cell on one projection
-BALL = 0.9995         # cosine to the centre within which vectors count as one ball
+BALL = 0.9995         # cosine to the centre within which vectors count as one ball, or nearer
 BLOCK = 2048          # vectors that meet in one task
 SEED = 99
 
@@ -64,6 +64,11 @@ def cell_plan(vectors: int, threshold: float, recall: float = RECALL) -> tuple[i
     return depth, math.ceil(math.log(1 - recall) / math.log(1 - min(near, 0.9999)))
 
 
+def ball_angle(threshold: float) -> float:
+    """How far from its centre a member of a ball may be: any two members link for certain."""
+    return min(math.acos(BALL), math.acos(threshold) / 2 - 1e-7)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     rows = column.to_pylist()
     return np.array(rows, dtype=float).reshape(len(rows), -1)
@@ -169,27 +174,34 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     """One row per row of ``vectors``: its key, ``n_links`` (other rows linked directly),
     ``component_id`` (smallest key reachable) and ``kept`` (whether that is its own).
 
-    Vectors that are null, empty, zero, hold null or non-finite components, or have another
-    number of components than most link with nothing. Equal vectors are linked; rows that repeat
-    a key are rows of their own. A null key stays null, is never the smallest of a component, and
-    its row is kept only where it links with nothing. An empty table gives an empty result.
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing;
+    vectors of another number of components link among themselves. Equal vectors are linked; rows
+    that repeat a key are rows of their own. A null key stays null, is never the smallest of a
+    component, and its row is kept only where it links with nothing. An empty table gives an empty
+    result.
     """
     rows = settled(vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
                    .withColumn("row", F.monotonically_increasing_id())
-                   .withColumn("ok", usable("vector")), "vectors")
-    width = (rows.filter("ok").groupBy(F.size("vector").alias("n")).count()
-             .orderBy(F.desc("count"), "n").limit(1).collect())
-    if not width:
-        return rows.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"),
-                           F.col("key").alias("component_id"), F.lit(True).alias("kept"))
-    dims = width[0]["n"]
-    good = rows.filter(F.col("ok") & (F.size("vector") == dims))
+                   .withColumn("ok", usable("vector"))
+                   .withColumn("width", F.when(F.col("ok"), F.size("vector"))), "vectors")
+    # a vector without another of its width is alone
+    widths = [r["width"] for r in rows.filter("ok").groupBy("width").count().filter("count > 1").orderBy("width").collect()]
+    found = (rows.filter(~F.coalesce(F.col("width").isin(widths), F.lit(False)))
+             .select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))
+    for width in widths:
+        found = found.unionByName(_linked(rows.filter(F.col("width") == width), width, threshold))
+    return found.select(
+        F.col("key").alias(key), F.col("n_links").cast("long").alias("n_links"), "component_id",
+        F.coalesce(F.col("key") == F.col("component_id"), F.col("n_links") == 0).alias("kept"))
+
 
+def _linked(good: DataFrame, dims: int, threshold: float) -> DataFrame:
+    """(key, n_links, component_id) of usable rows of ``dims`` components: (row, key, vector)."""
     # balls: in each fine cell the first row is the centre; who is close enough to it belongs to it
     fine = settled(_cells(good.select(F.col("row").alias("node"), "vector"), dims, 10, 1, 0.5, SEED + 1), "fine")
     centres = settled(fine.groupBy("cell").agg(F.min_by(F.struct("node", "vector"), "node").alias("c")), "centres")
     balls = settled(_near_centre(fine.join(centres, "cell").select("node", "vector", F.col("c.node").alias("centre"),
-                                                                   F.col("c.vector").alias("centre_vector"))), "balls")
+                                                                   F.col("c.vector").alias("centre_vector")), ball_angle(threshold)), "balls")
     # what is joined to all members of a ball or component is settled first: a large one can then be split
     heads = settled(balls.groupBy("ball").agg(F.count(F.lit(1)).alias("members"), F.max("angle").alias("radius")), "heads")
     ends = (balls.filter("node = ball").select("node", "vector"))
@@ -236,19 +248,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                        + F.coalesce("node_links", F.lit(0))).alias("n_links")))
     placed = settled(placed, "placed")
     smallest = settled(placed.groupBy("root").agg(F.min("key").alias("component_id")), "smallest")
-    linked = placed.join(smallest, "root").select("row", "key", "n_links", "component_id")
-    rest = (rows.join(good.select("row"), "row", "left_anti")
-            .select("row", "key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))
-    return linked.unionByName(rest).select(
-        F.col("key").alias(key), F.col("n_links").cast("long").alias("n_links"), "component_id",
-        F.coalesce(F.col("key") == F.col("component_id"), F.col("n_links") == 0).alias("kept"))
-
-
-def _angle(cosine: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(cosine, -1.0, 1.0))
+    return placed.join(smallest, "root").select("key", "n_links", "component_id")
 
 
-def _near_centre(frame: DataFrame) -> DataFrame:
+def _near_centre(frame: DataFrame, widest: float) -> DataFrame:
     """``ball`` and ``angle`` of every node: the centre of its cell, or itself."""
     schema = "node long, ball long, angle double, vector array<double>"
 
@@ -258,10 +261,9 @@ def _near_centre(frame: DataFrame) -> DataFrame:
                 continue
             own, centre = (_unit(_matrix(batch.column(c))) for c in ("vector", "centre_vector"))
             node, head = (batch.column(c).to_numpy() for c in ("node", "centre"))
-            cosine = np.einsum("ij,ij->i", own, centre)
-            inside = (cosine >= BALL) | (node == head)
             # the arc cosine is blunt near 1: the chord gives the small angles
             angle = 2 * np.arcsin(np.clip(np.linalg.norm(own - centre, axis=1) / 2, 0, 1))
+            inside = (angle <= widest) | (node == head)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(np.where(inside, head, node)),
                  pa.array(np.where(inside & (node != head), angle, 0.0)), batch.column("vector")],

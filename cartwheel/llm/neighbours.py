@@ -1,13 +1,14 @@
 """Nearest neighbours by inner product: NN-descent builds a graph, greedy search reads it.
 
 Vectors get one more component that makes them equally long, so that the graph of nearest
-directions serves the largest inner product for any query. A first graph comes from blocks that
-are neighbours on a random projection. Then every node introduces its neighbours, forward and
-reverse, to one another, and each keeps the best it has met, until few lists change. A query starts
-from the list of its own vector, and expands the best nodes it knows until none of them is new.
+directions serves the largest inner product for any query. A first graph comes from short runs of
+nodes that follow one another on a random projection. Then every node introduces its neighbours,
+forward and reverse, to one another, and each keeps the best it has met, until few lists change. A
+query starts from the list of its own vector, and expands the best nodes it knows until none of them
+is new. Both go on until that is so, for tables of any size.
 
-Equal vectors are one node, so that copies do not fill the lists; the rows that have a vector follow
-when it is found, the smallest keys first.
+Equal vectors (by 128 bits of hash) are one numbered node, so that copies do not fill the lists; the
+rows that have a vector follow when it is found, the smallest keys first.
 
 Vectors travel to the blocks of nodes that need them, once per block; lists of ids travel packed.
 """
@@ -28,12 +29,11 @@ LIST = 24             # neighbours kept for each node
 REVERSE = 24          # and nodes that name it, of which so many are asked
 BLOCK = 8192          # nodes that share a task
 STARTS = 3            # random projections for the first graph
-ROUNDS = 8            # of introductions, unless fewer than SETTLED of the entries change
-SETTLED = 0.01
+RUN = 256             # nodes next to one another on a projection that meet for it
+SETTLED = 0.01        # introductions end when fewer of the entries change
 BEAM = 96             # candidates a query keeps
 SURE = 48             # a query has ended when so many of its best are expanded
 EXPAND = 48           # nodes expanded at a time
-SEARCH_ROUNDS = 8
 SEED = 7
 
 _FOUND = "node long, found array<struct<s:double,n:long>>"
@@ -118,21 +118,21 @@ def _merge_news(keys, held: pa.Table, news: pa.Table) -> pa.Table:
 
 
 def _first_lists(blocks: int):
-    """All against all inside one range of a projection."""
+    """All against all inside the runs of one range of a projection."""
     def first(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in rows if b.num_rows]
         if not parts:
             return
         block = pa.Table.from_batches(parts)
-        nodes, vectors = block.column("node").to_numpy(), _matrix(block.column("vector"))
-        k = min(LIST, len(nodes) - 1)
-        found: list[list[np.ndarray]] = [[], [], []]
-        for start in range(0, len(nodes), 512):
-            scores = _closeness(vectors[start:start + 512], vectors)
-            n = len(scores)
-            scores[np.arange(n), np.arange(start, start + n)] = -np.inf
+        order = np.lexsort((block.column("node").to_numpy(), block.column("place").to_numpy()))
+        nodes, vectors = block.column("node").to_numpy()[order], _matrix(block.column("vector"))[order]
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]]
+        for run in np.array_split(np.arange(len(nodes)), -(-len(nodes) // RUN)):
+            k = min(LIST, len(run) - 1)
+            scores = _closeness(vectors[run], vectors[run])
+            np.fill_diagonal(scores, -np.inf)
             top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
-            for out, x in zip(found, (np.repeat(nodes[start:start + n], k), np.take_along_axis(scores, top, 1).ravel(), nodes[top].ravel())):
+            for out, x in zip(found, (np.repeat(nodes[run], k), np.take_along_axis(scores, top, 1).ravel(), nodes[run][top].ravel())):
                 out.append(x)
         yield pa.RecordBatch.from_pydict(_news(*(np.concatenate(x) for x in found), blocks))
 
@@ -148,12 +148,12 @@ def _taken_in(graph: DataFrame, news: DataFrame, blocks: int) -> DataFrame:
 def _first_graph(vectors: DataFrame, dims: int, nodes: int, blocks: int) -> DataFrame:
     rng = np.random.default_rng(SEED)
     found = None
-    for turn in range(STARTS if blocks > 1 else 1):
+    for turn in range(STARTS):
         axis = F.array(*[F.lit(float(x)) for x in rng.standard_normal(dims)])
         place = F.aggregate(F.zip_with("vector", axis, lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y)
         # the second column deals equal places over several ranges
         dealt = (vectors.select("node", "vector", place.alias("place"))
-                 .repartitionByRange(blocks, "place", F.xxhash64("node", F.lit(turn))).select("node", "vector"))
+                 .repartitionByRange(blocks, "place", F.xxhash64("node", F.lit(turn))))
         lists = map_batches(dealt, _first_lists(blocks), _NEWS)
         found = lists if found is None else found.unionByName(lists)
     bare = vectors.select("node", F.array().cast("array<struct<s:double,n:bigint>>").alias("found"))
@@ -250,18 +250,17 @@ def _round(graph: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
 
 
 def build_graph(vectors: DataFrame, dims: int, nodes: int) -> DataFrame:
-    """(node, found): the best neighbours of each node, with their scores. Up to ``BLOCK`` nodes
-    share one block: all pairs of it met for the first lists, so a round could not better them."""
+    """(node, found): the best neighbours of each node, with their scores. Every round betters some
+    lists and spoils none, so the rounds come to an end."""
     blocks = partitions_for(nodes, BLOCK)
     graph = settled(_first_graph(vectors, dims, nodes, blocks), "graph")
-    for _ in range(ROUNDS if blocks > 1 else 0):
+    while True:
         new = settled(_round(graph, vectors, blocks), "graph")
         old = graph.select("node", F.col("found.n").alias("before"))
         fresh = new.join(old, "node").agg(F.sum(F.size(F.array_except("found.n", "before")))).first()[0] or 0
         graph = new
-        if fresh < SETTLED * nodes * LIST:
-            break
-    return graph
+        if fresh <= SETTLED * nodes * LIST:
+            return graph
 
 
 def _next_nodes(rows: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
@@ -335,11 +334,15 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, nodes: int)
     held = vectors.select(F.pmod("node", F.lit(blocks)).alias("at"), "node", "vector", F.lit(False).alias("guest"))
     state = queries.select("query", "vector", F.array().cast("array<struct<s:double,n:bigint>>").alias("found"),
                            F.array().cast("array<bigint>").alias("done"))
-    fresh = F.array("query")
-    for _ in range(SEARCH_ROUNDS):
+    fresh, ended = F.array("query"), None
+    while True:
         state = settled(state.withColumn("next", fresh).withColumn("done", F.array_union("done", "next")), "search")
-        if state.filter(F.size("next") > 0).isEmpty():
-            break
+        # a query whose best are all expanded has ended, and takes no part in later rounds
+        over = state.filter(F.size("next") == 0).select("query", "found")
+        ended = over if ended is None else ended.unionByName(over)
+        state = state.filter(F.size("next") > 0)
+        if state.isEmpty():
+            return ended
         asked = map_batches(state.select("query", "next"), lambda rows: _next_nodes(rows, blocks), _ASKED)
         spread = settled(reachable(asked).groupBy("target").cogroup(around.groupBy("block"))
                          .applyInArrow(lambda keys, a, b: _spread(keys, a, b, blocks), _ASKED), "spread")
@@ -350,16 +353,15 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, nodes: int)
                    .applyInArrow(lambda keys, a, b: _score(keys, a, b, blocks), _ANSWER))
         own = state.drop("next").withColumn("block", F.pmod("query", F.lit(blocks)))
         state = own.groupBy("block").cogroup(answers.groupBy("home")).applyInArrow(_learn, _STATE)
-        # next the best that were not expanded yet; a query whose best are all expanded has ended
+        # next the best that were not expanded yet
         fresh = F.slice(F.array_except(F.transform(F.slice("found", 1, SURE), lambda e: e["n"]), "done"), 1, EXPAND)
-    return state.select("query", "found")
 
 
 def _first_members(members: DataFrame, size: int) -> DataFrame:
-    """The ``size`` members of each node with the smallest keys. A node that very many rows have is
+    """The ``size`` members of each vector with the smallest keys. A vector that very many rows have is
     thinned out in parts before its parts meet."""
     part = members.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(64)))
-    for keys in (["node", "part"], ["node"]):
+    for keys in (["name", "part"], ["name"]):
         order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("key"), "row")
         part = part.withColumn("order", F.row_number().over(order)).filter(F.col("order") <= size)
     return part
@@ -370,41 +372,49 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     """The ``k`` nearest rows of each query row by inner product: query_id, rank, vec_id, score.
 
     Every row but the query's own is a candidate, also one with the same key. Vectors that are
-    null, empty, zero, hold null or non-finite components, or have another number of components
-    than most take no part, as query or candidate. Fewer than ``k`` candidates give fewer rows, an
-    empty table none. Ties go to the smaller key; a null key is the largest.
+    null, empty, zero, or hold null or non-finite components take no part, as query or candidate.
+    Vectors of another number of components are searched among themselves. Fewer than ``k``
+    candidates give fewer rows, an empty table none. Ties go to the smaller key; a null key is the
+    largest.
     """
     rows = settled(vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
                                   F.coalesce(is_query, F.lit(False)).alias("asks"))
                    .filter(usable("vector")).withColumn("row", F.monotonically_increasing_id()), "nearest-rows")
-    width = (rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect())
-    if not width:
-        return rows.select(F.col("key").alias("query_id"), F.lit(0).alias("rank"), F.col("key").alias("vec_id"),
-                           F.lit(0.0).alias("score"))
+    found = rows.filter("false").select(F.col("key").alias("query_id"), F.lit(0).alias("rank"),
+                                        F.col("key").alias("vec_id"), F.lit(0.0).alias("score"))
+    for width in rows.groupBy(F.size("vector").alias("n")).agg(F.max("asks").alias("asked")).filter("asked").orderBy("n").collect():
+        found = found.unionByName(_nearest_of(rows.filter(F.size("vector") == width["n"]), width["n"], k))
+    return found
+
+
+def _nearest_of(rows: DataFrame, dims: int, k: int) -> DataFrame:
+    """``nearest`` among usable rows of ``dims`` components: (row, key, vector, asks)."""
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    rows = rows.filter(F.size("vector") == width[0]["n"])
     longest = rows.agg(F.max(square)).first()[0]
     # what the component lacks to the longest vector: distances are the same, and no digits are lost
     rest = square / (F.lit(longest ** 0.5) + F.sqrt(F.greatest(F.lit(longest) - square, F.lit(0.0))))
     # a node of the graph is a vector; the rows that have it are its members
-    node = F.xxhash64(F.transform("vector", lambda x: x + F.lit(0.0)))    # -0.0 is 0.0
-    members = settled(rows.select(node.alias("node"), "row", "key", "asks"), "nearest-members")
-    held = settled(rows.select(node.alias("node"), F.concat("vector", F.array(rest)).alias("vector"), "asks")
-                   .groupBy("node").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks")), "nearest-vectors")
+    plain = F.transform("vector", lambda x: x + F.lit(0.0))    # -0.0 is 0.0
+    name = F.struct(F.xxhash64(plain).alias("one"), F.xxhash64(F.lit(1), plain).alias("two"))
+    members = settled(rows.select(name.alias("name"), "row", "key", "asks"), "nearest-members")
+    held = settled(rows.select(name.alias("name"), F.concat("vector", F.array(rest)).alias("vector"), "asks")
+                   .groupBy("name").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks"))
+                   .withColumn("node", F.monotonically_increasing_id()), "nearest-vectors")
+    names, vectors = held.select("node", "name"), held.select("node", "vector")
     nodes = held.count()
-    graph = build_graph(held, width[0]["n"] + 1, nodes)
+    graph = build_graph(vectors, dims + 1, nodes)
     queries = held.filter("asks").select(F.col("node").alias("query"), "vector")
-    best = search(queries, graph, held, nodes)
-    own = F.aggregate(F.slice("vector", 1, width[0]["n"]), F.lit(0.0), lambda s, x: s + x * x)
+    best = search(queries, graph, vectors, nodes)
+    own = F.aggregate(F.slice("vector", 1, dims), F.lit(0.0), lambda s, x: s + x * x)
     near = (best.select("query", F.explode("found").alias("e")).select("query", "e.n", F.col("e.s").alias("score"))
             .unionByName(queries.select("query", F.col("query").alias("n"), own.alias("score"))))
-    first = _first_members(members, k + 1).select(F.col("node").alias("n"), "key", "row")
+    first = (_first_members(members, k + 1).join(names, "name").select(F.col("node").alias("n"), "key", "row"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("key"), "row")
     best = settled(near.join(first, "n").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
-                   .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "key", "row", "score"))).alias("found")),
-                   "nearest-found")
+                   .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "key", "row", "score"))).alias("found"))
+                   .join(names.withColumnRenamed("node", "query"), "query").select("name", "found"), "nearest-found")
     # the row that asks is one of the candidates of its vector, or they are more than enough
-    asking = members.filter("asks").select(F.col("node").alias("query"), F.col("row").alias("me"), F.col("key").alias("query_id"))
-    return (asking.join(broadcast_if_small(best, 48 * (k + 1)), "query")
+    asking = members.filter("asks").select("name", F.col("row").alias("me"), F.col("key").alias("query_id"))
+    return (asking.join(broadcast_if_small(best, 48 * (k + 1)), "name")
             .select("query_id", F.posexplode(F.slice(F.filter("found", lambda e: e["row"] != F.col("me")), 1, k)).alias("at", "e"))
             .select("query_id", (F.col("at") + 1).alias("rank"), F.col("e.key").alias("vec_id"), F.col("e.score").alias("score")))

@@ -356,6 +356,49 @@ def test_one_long_vector_does_not_spoil_the_graph(spark):
     assert hits >= 0.9 * 19 * 30
 
 
+def test_nearest_of_a_small_table_comes_through_rounds(spark, monkeypatch):
+    """With production blocks: the first lists know only short runs, the rounds find the rest. Vectors of another width are
+    searched among themselves."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((500, 12))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    rows += [(1000, [1.0, 0.0]), (1001, [2.0, 1.0]), (1002, [-1.0, 0.0]), (1003, [3.0])]
+    monkeypatch.setattr(neighbours, "RUN", 40)
+    rounds, one_round = [], neighbours._round
+    monkeypatch.setattr(neighbours, "_round", lambda *given: rounds.append(1) or one_round(*given))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, frame.vec_id % 20 == 0).collect()
+    assert len(rounds) >= 3
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 1000] == [
+        (1, 1001, 2.0), (2, 1002, -1.0)]
+    hits = 0
+    for q in range(0, 500, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-scores)[:20]))
+    assert hits >= 0.95 * 20 * 25
+
+
+def test_balls_follow_the_threshold_and_widths_stay_apart(spark):
+    """Members of a ball are linked unchecked, so a ball is never wider than half the threshold."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(16)
+    centre /= np.linalg.norm(centre)
+    rows = []
+    for i in range(60):
+        side = rng.standard_normal(16)
+        side -= (side @ centre) * centre
+        rows.append((i, [float(v) for v in centre + side / np.linalg.norm(side) * 0.02]))
+    rows += [(100, [1.0, 2.0]), (101, [2.0, 4.0]), (102, [5.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    x = np.array([v for _, v in rows[:60]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for threshold in (0.9999, 0.9996, 0.95):
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors.near_vectors(frame, threshold=threshold).collect()}
+        assert [got[i][0] for i in range(60)] == ((x @ x.T >= threshold).sum(1) - 1).tolist()
+        assert (got[100], got[101], got[102]) == ((1, 100, True), (1, 100, False), (0, 102, True))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200), (None, 3)] + [(300, i) for i in range(301, 340)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
