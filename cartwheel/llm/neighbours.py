@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product: NN-descent builds a graph, greedy search reads it.
 
 Vectors get one more component that makes them equally long, so that the graph of nearest
-directions serves the largest inner product for any query. A first graph comes from short runs of
+directions serves the largest inner product for any query. A first graph comes from runs of
 nodes that follow one another on a random projection. Then every node introduces its neighbours,
 forward and reverse, to one another, and each keeps the best it has met, until few lists change. A
 query starts from the list of its own vector, and expands the best nodes it knows until none of them
@@ -29,10 +29,10 @@ LIST = 24             # neighbours kept for each node
 REVERSE = 24          # and nodes that name it, of which so many are asked
 BLOCK = 8192          # nodes that share a task
 STARTS = 3            # random projections for the first graph
-RUN = 256             # nodes next to one another on a projection that meet for it
+RUN = 4096            # nodes next to one another on a projection that meet for it
 SETTLED = 0.01        # introductions end when fewer of the entries change
-BEAM = 96             # candidates a query keeps
-SURE = 48             # a query has ended when so many of its best are expanded
+BEAM = 128            # candidates a query keeps
+SURE = 64             # a query has ended when so many of its best are expanded
 EXPAND = 48           # nodes expanded at a time
 SEED = 7
 
@@ -129,11 +129,13 @@ def _first_lists(blocks: int):
         found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]]
         for run in np.array_split(np.arange(len(nodes)), -(-len(nodes) // RUN)):
             k = min(LIST, len(run) - 1)
-            scores = _closeness(vectors[run], vectors[run])
-            np.fill_diagonal(scores, -np.inf)
-            top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
-            for out, x in zip(found, (np.repeat(nodes[run], k), np.take_along_axis(scores, top, 1).ravel(), nodes[run][top].ravel())):
-                out.append(x)
+            for start in range(0, len(run), 512):
+                some = run[start:start + 512]
+                scores = _closeness(vectors[some], vectors[run])
+                scores[np.arange(len(some)), some - run[0]] = -np.inf
+                top = np.argpartition(-scores, max(k - 1, 0), axis=1)[:, :k]
+                for out, x in zip(found, (np.repeat(nodes[some], k), np.take_along_axis(scores, top, 1).ravel(), nodes[run][top].ravel())):
+                    out.append(x)
         yield pa.RecordBatch.from_pydict(_news(*(np.concatenate(x) for x in found), blocks))
 
     return first
