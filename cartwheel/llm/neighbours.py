@@ -29,10 +29,10 @@ LIST = 24             # neighbours kept for each node
 REVERSE = 24          # and nodes that name it, of which so many are asked
 BLOCK = 8192          # nodes that share a task
 STARTS = 3            # random projections for the first graph
-RUN = 4096            # nodes next to one another on a projection that meet for it
+RUN = 8192            # nodes next to one another on a projection that meet for it
 SETTLED = 0.01        # introductions end when fewer of the entries change
-BEAM = 128            # candidates a query keeps
-SURE = 64             # a query has ended when so many of its best are expanded
+BEAM = 96             # candidates a query keeps
+SURE = 48             # a query has ended when so many of its best are expanded
 EXPAND = 48           # nodes expanded at a time
 SEED = 7
 
