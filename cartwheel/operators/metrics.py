@@ -31,12 +31,13 @@ def product_stats(events: DataFrame) -> DataFrame:
 def traffic_stats(events: DataFrame, exact: bool = False, watermark: str | None = None) -> DataFrame:
     """Users, events and revenue per minute; events without a time are left out.
 
-    Users are estimated as in the live job; ``exact`` counts them (batch only). On a stream
-    give the ``watermark``, after which a minute is closed.
+    Users are estimated as in the live job, by a sketch that has few users practically one by one
+    and of many a standard error of 1.6 %; ``exact`` counts them (batch only). On a stream give the
+    ``watermark``, after which a minute is closed.
     """
     if watermark:
         events = events.withWatermark("event_time", watermark)
-    users = F.count_distinct("user_id") if exact else F.approx_count_distinct("user_id")
+    users = F.count_distinct("user_id") if exact else F.hll_sketch_estimate(F.hll_sketch_agg("user_id", F.lit(12)))
     return (events.groupBy(F.window("event_time", "1 minute"))
             .agg(users.alias("unique_users"),
                  F.count(F.lit(1)).alias("event_count"),
