@@ -19,11 +19,11 @@ from cartwheel.session import cut_lineage
 def ordered_segments(df: DataFrame, order: Sequence[str], segments: int | None = None) -> DataFrame:
     """``df`` with a ``segment`` number that grows with ``order``. Runs a job.
 
-    Rows equal in ``order`` share a segment, so make the order unique where copies abound.
+    Rows equal in ``order`` share a segment, so make the order unique where copies abound. Unless
+    their number is given, AQE cuts segments of about its advisory size, more of them for more rows.
     """
-    count = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartitionByRange(count, *order)
-                         .withColumn("segment", F.spark_partition_id()))
+    placed = df.repartitionByRange(segments, *order) if segments else df.repartitionByRange(*order)
+    return cut_lineage(placed.withColumn("segment", F.spark_partition_id()))
 
 
 FEW_ROWS = 10_000           # what a task or the driver may sort at once
