@@ -23,10 +23,13 @@ def _csv(spark: SparkSession, path: str, schema, **options: str) -> DataFrame:
 
 def _number(text: Column, kind: str) -> Column:
     """Text as a number, or null; a whole number may be written as 6.0."""
-    value = text.try_cast(kind)
     if kind not in ("int", "bigint"):
-        return value
-    wide = text.try_cast("double")
+        return text.try_cast(kind)
+    # each failing cast throws and catches an error per row, so what surely fails is not tried:
+    # a text without a digit is no number, and 6.0 is no whole number as it is written
+    digits = text.rlike("[0-9]")
+    value = F.when(digits & ~text.rlike("^[+-]?[0-9]+[.][0-9]*$"), text.try_cast(kind))
+    wide = F.when(digits, text.try_cast("double"))
     return F.coalesce(value, F.when(wide == F.floor(wide), wide.try_cast(kind)))
 
 
