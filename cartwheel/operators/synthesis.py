@@ -43,7 +43,9 @@ def weighted_pick(rows: DataFrame, row_key: Sequence[str], dim: DataFrame, key:
     The weight axis is cut into as many cells as ``dim`` has rows, and intervals are listed
     under each cell they touch. A draw is joined on its cell, an equi-join with two candidates
     on average; draws are uniform over cells, so a product with a third of the weight owns a
-    third of the cells instead of being a hot key.
+    third of the cells instead of being a hot key. So the cells of a partition fit a hash table,
+    and the rows, which may be far more, are not sorted. A draw is worked out from its row again
+    where it is needed, as it would be the larger part of what is shuffled.
     """
     sums = dim.agg(F.sum(F.greatest(weight.cast("long"), F.lit(0))).alias("total"),
                    F.count_if(weight > 0).alias("n"))
@@ -56,11 +58,10 @@ def weighted_pick(rows: DataFrame, row_key: Sequence[str], dim: DataFrame, key:
 
     cells = (cumulative_intervals(dim, key, weight)
              .withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1)))))
-    drawn = (rows.withColumn("_at", below([F.col(c) for c in row_key], purpose, total, seed))
-             .withColumn("_cell", cell(F.col("_at"))))
-    return (drawn.join(cells, "_cell")
-            .filter((F.col("lo") <= F.col("_at")) & (F.col("_at") < F.col("hi")))
-            .drop("_cell", "_at", "lo", "hi"))
+    at = below([F.col(c) for c in row_key], purpose, total, seed)
+    return (rows.join(cells.hint("shuffle_hash"), cell(at) == F.col("_cell"))
+            .filter((F.col("lo") <= at) & (at < F.col("hi")))
+            .drop("_cell", "lo", "hi"))
 
 
 def filler_counts(purchases: int) -> dict[str, int]:

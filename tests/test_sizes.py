@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import metrics
+from cartwheel.operators.synthesis import weighted_pick
 from cartwheel.registry import QUERIES
 from cartwheel.sources.files import _number
 
@@ -60,3 +61,12 @@ def test_csv_is_read_once(spark):
     df = QUERIES["invoice_csv_rejected"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Scan csv") == 1 or plan.count("FileScan csv") == 1
+
+
+def test_rows_that_draw_are_not_sorted_and_draws_not_shuffled(spark):
+    """Rows that draw may be far more than what is drawn: only they go to its cells, as they came."""
+    dim = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    plan = weighted_pick(spark.range(10), ["id"], dim, "k", F.col("w"), "x")._jdf.queryExecution().sparkPlan().toString()
+    pick = next(line for line in plan.splitlines() if "Join" in line)
+    assert "ShuffledHashJoin" in pick and "BuildRight" in pick
+    assert "_at" not in plan
