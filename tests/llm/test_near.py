@@ -166,6 +166,16 @@ def test_edit_distances():
     assert [min(3, distance(a, b)) for a, b in pairs] == list(line_dedup.edit_distances(pairs, 2))
 
 
+def test_copies_of_a_line_are_not_linked_each_with_each(spark):
+    """Eighty lines, each a word away from the others, are one class by about as many links."""
+    line = words(random.Random(9), 30)
+    docs = spark.createDataFrame([(f"{line[:60]}{i:02d}{line[62:]}",) for i in range(80)], "text string").repartition(3)
+    links = line_dedup.line_links(docs).collect()
+    classes = components.components(spark.createDataFrame(links, "a binary, b binary")).collect()
+    assert len(classes) == 80 and len({r.root for r in classes}) == 1
+    assert len(links) < 160
+
+
 def test_long_lines_may_differ_by_more(spark):
     """Five edits in a hundred characters, in one word or dealt over the line, whatever its length."""
     rng = random.Random(12)
