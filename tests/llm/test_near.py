@@ -417,3 +417,34 @@ def test_components(spark):
         groups.setdefault(r.root, set()).add(r.node)
     assert sorted(map(min, groups.values())) == [0, 100, 200, 300] and len(got) == 41 + 3 + 1 + 40
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_far_copies_in_a_crowd_are_no_rows(spark, monkeypatch):
+    """Sixty changed copies of a line, a third of them too far from most others: classes as of all pairs, and
+    no table of pairs that grows with the square of the group."""
+    rng = random.Random(21)
+    line = words(rng, 40)[:120]
+    copies = {line}
+    while len(copies) < 60:
+        new = list(line)
+        for at in rng.sample(range(8, 112), rng.choice((1, 2, 3, 5, 6))):
+            new[at] = rng.choice("QXYZ")
+        copies.add("".join(new))
+    copies = sorted(copies)
+    made, old = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "_linked", lambda every, pairs: (made.append(pairs.count()), old(every, pairs))[1])
+    docs = spark.createDataFrame([(t,) for t in copies], "text string").repartition(3)
+    links = line_dedup.line_links(docs).collect()
+    groups = Groups(len(copies))
+    for i, a in enumerate(copies):
+        for j in range(i):
+            if distance(a, copies[j]) <= int(line_dedup.allowed(np.array(min(len(a), len(copies[j]))))):
+                groups.join(i, j)
+    want = {}
+    for i, t in enumerate(copies):
+        want.setdefault(groups.find(i), set()).add(line_dedup.line_id(t))
+    found = {}
+    for r in components.components(spark.createDataFrame(links, "a binary, b binary")).collect():
+        found.setdefault(r.root, set()).add(bytes(r.node))
+    assert sorted(map(sorted, found.values())) == sorted(sorted(map(bytes, c)) for c in want.values() if len(c) > 1)
+    assert sum(made) < 4 * len(copies)
