@@ -126,16 +126,20 @@ def refund_events(refunds: DataFrame) -> DataFrame:
 
 def synthesize_events(purchases: DataFrame, refunds: DataFrame, users: DataFrame,
                       products: DataFrame, key: Sequence[str] | None = None,
-                      seed: int = SEED) -> DataFrame:
+                      seed: int = SEED, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """All events, view : cart : purchase at 10 : 3 : 1 exactly, plus refunds; not sorted.
 
     ``key`` names columns that identify a purchase line. Without it, equal lines are numbered
-    so that each makes draws of its own.
+    so that each makes draws of its own. With ``part`` (i, n) only the events of the i-th of n parts
+    of the lines, the same ones as without; equal lines are in one part.
     """
-    lines = purchases if key else number_copies(purchases)
+    def mine(df: DataFrame) -> DataFrame:
+        return df.filter(bucket([F.col(c) for c in df.columns], part[1]) == part[0]) if part[1] > 1 else df
+
+    lines = mine(purchases) if key else number_copies(mine(purchases))
     made = [conversion_path(lines, key, seed),
             browse_events(browse_slots(lines, key), users, products, purchases, seed),
-            refund_events(refunds)]
+            refund_events(mine(refunds))]
     columns = [F.col(c) if c != "price" else F.col(c).cast("double").alias(c)
                for c in EVENT_COLUMNS]
     out = made[0].select(*columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,8 @@ from cartwheel.session import scratch_folder, settle
 from cartwheel.sinks.files import write_csv
 from cartwheel.sources.files import read_invoice_lines, sample_lines
 
+PART_PURCHASES = 8_000_000  # purchases whose draws are shuffled at a time
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -23,6 +26,7 @@ class Prepared:
     purchases: DataFrame
     refunds: DataFrame
     events: DataFrame
+    seed: int = SEED
 
 
 def prepare(lines: DataFrame, work: str | None = None, seed: int = SEED) -> Prepared:
@@ -33,7 +37,20 @@ def prepare(lines: DataFrame, work: str | None = None, seed: int = SEED) -> Prep
     users = settle(build_users(cleaned), f"{work}/users")
     purchases, refunds = split_transactions(cleaned)
     events = synthesize_events(purchases, refunds, users, products, seed=seed)
-    return Prepared(products, users, purchases, refunds, events)
+    return Prepared(products, users, purchases, refunds, events, seed)
+
+
+def event_totals(made: Prepared, total: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``total`` of the events of each part of the purchases, all parts in one table; the caller adds them up.
+    A purchase makes eleven draws that are shuffled twice, so parts are worked on one after the other, and what one
+    shuffled goes before the next. Runs a job for each part; a single part stays lazy."""
+    parts = -(-made.purchases.count() // PART_PURCHASES)
+    if parts <= 1:
+        return total(made.events)
+    work = scratch_folder(made.events.sparkSession, "event-totals")
+    done = [settle(total(synthesize_events(made.purchases, made.refunds, made.users, made.products, seed=made.seed,
+                                           part=(i, parts))), f"{work}/{i:05d}") for i in range(parts)]
+    return made.events.sparkSession.read.schema(done[0].schema).parquet(*[f"{work}/{i:05d}" for i in range(parts)])
 
 
 def row_counts(made: Prepared) -> DataFrame:

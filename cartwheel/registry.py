@@ -617,14 +617,15 @@ def prepared_row_counts(spark, folder):
 @query
 def synthetic_event_integrity(spark, folder):
     """Synthetic events whose user, product or time lies outside what the purchases allow."""
-    events, made = _synthetic(spark, folder)
+    _, made = _synthetic(spark, folder)
     first = made.purchases.agg(F.min("timestamp") - F.expr("INTERVAL 73 MINUTES")).scalar()
     last = made.purchases.unionByName(made.refunds).agg(F.max("timestamp")).scalar()
     earliest = F.least(first, made.refunds.agg(F.min("timestamp")).scalar())
-    return events.groupBy("event_type").agg(
+    parts = preparation.event_totals(made, lambda events: events.groupBy("event_type").agg(
         F.count_if(F.col("user_id").isNull() | F.col("product_id").isNull()
                    | F.col("price").isNull()).alias("incomplete"),
-        F.count_if(~F.col("timestamp").between(earliest, last)).alias("out_of_period"))
+        F.count_if(~F.col("timestamp").between(earliest, last)).alias("out_of_period")))
+    return parts.groupBy("event_type").agg(*[F.sum(c).alias(c) for c in ("incomplete", "out_of_period")])
 
 
 @query
