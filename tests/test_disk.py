@@ -45,3 +45,41 @@ def test_parts_of_the_events_are_all_events(spark, monkeypatch):
     monkeypatch.setattr(preparation, "PART_PURCHASES", 30)
     assert rows(preparation.event_totals(made, total)) == whole
     assert len(sizes) > 2 and max(sizes) < len(whole) and sum(sizes) == len(whole)
+
+
+def test_line_dedup_keeps_only_what_its_result_reads(spark):
+    import random
+
+    from cartwheel.llm import line_dedup
+    rng = random.Random(5)
+    line = lambda: "".join(rng.choice("abcdefgh ") for _ in range(80))
+    base = [line() for _ in range(30)]
+    docs = spark.createDataFrame([(i, "\n".join([line(), base[i % 30][:40] + rng.choice("xyz") + base[i % 30][41:]]))
+                                  for i in range(90)], "doc_id long, text string")
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark, "x")).getParent()
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders():
+        return {f.getPath().getName() for f in store.listStatus(root)} if store.exists(root) else set()
+
+    before = folders()
+    out = line_dedup.dedup_lines(docs)
+    left = folders() - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["llm-gone-lines"]
+    assert out.agg(F.sum("n_removed")).first()[0] == 60
+
+
+def test_keys_of_the_two_ends_are_dealt_apart():
+    """Entries of one end of the lines, then of the other, are all entries: each shelf is dealt on its own."""
+    import random
+
+    import numpy as np
+
+    from cartwheel.llm import line_dedup
+    rng = random.Random(6)
+    lines = sorted({"".join(rng.choice("abcdefgh ") for _ in range(rng.randint(20, 700))) for _ in range(300)})
+    named = lambda e: sorted(zip(*(e[c].tolist() for c in ("key", "line", "filed", "tall", "near"))))
+    whole, ends = line_dedup.entries(lines), [line_dedup.entries(lines, (shelf,)) for shelf in (0, line_dedup.PLACES)]
+    assert named(whole) == sorted(named(ends[0]) + named(ends[1]))
+    assert max(len(e["key"]) for e in ends) < 0.7 * len(whole["key"])
+    assert not np.isin(ends[0]["key"], ends[1]["key"]).any()
